@@ -50,23 +50,42 @@ def members(value: Column) -> Column:
     return value.try_cast(T.MapType(T.StringType(), T.VariantType()))
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    The optimizer copies a column's expression into every filter and expression that uses it; for
+    parsed JSON each copy would parse again. Generated columns are never copied.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    packed = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*kept, F.inline(F.array(packed)))
+
+
+# JSON kinds as the engine names them, by the class a rule asks for.
+KINDS = {
+    "str": ("STRING",), "num": ("BIGINT", "DECIMAL", "DOUBLE"), "bool": ("BOOLEAN",),
+    "list": ("ARRAY",), "obj": ("OBJECT",),
+}
+NULL_KIND = "VOID"
+
+
+def json_kind(value: Column) -> Column:
+    """STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, ARRAY, OBJECT, VOID (JSON null); null if absent."""
+    return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+
+
+def member_kinds(value: Column) -> Column:
+    """map<member, kind> of a JSON object."""
+    return F.transform_values(members(value), lambda _, v: json_kind(v))
+
+
 def canonical(value: Column) -> Column:
     """Text that is equal for equal JSON values; null for absent and JSON null."""
-    number = F.to_json(F.to_variant_object(value.try_cast("double").try_cast("decimal(38,9)")))
-    text = F.when(F.schema_of_variant(value) == "DOUBLE", F.coalesce(number, F.to_json(value)))
-    return F.when(present(value), text.otherwise(F.to_json(value)))
-
-
-def json_class(value: Column) -> Column:
-    """'str', 'num', 'bool', 'list', 'obj' or null (absent and JSON null)."""
-    kind = F.schema_of_variant(value)
-    return (
-        F.when(~present(value), F.lit(None).cast("string"))
-        .when(kind == "STRING", "str")
-        .when((kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL"), "num")
-        .when(kind == "BOOLEAN", "bool")
-        .when(kind.startswith("ARRAY"), "list")
-        .otherwise("obj")
+    number = value.try_cast("double").try_cast("decimal(38,9)")
+    text = F.to_json(value)
+    plain = F.regexp_replace(number.cast("string"), r"\.?0+$", "")
+    return F.nullif(
+        F.when(F.schema_of_variant(value) == "DOUBLE", F.coalesce(plain, text)).otherwise(text), F.lit("null")
     )
 
 
@@ -84,7 +103,7 @@ def encode_nested(df: DataFrame, skip: Iterable[str] = ()) -> DataFrame:
         if isinstance(field.dataType, T.VariantType):
             value = F.col(field.name)
             plain = value.try_cast("string")
-            nested = json_class(value).isin("list", "obj")
+            nested = json_kind(value).isin("ARRAY", "OBJECT")
             out[field.name] = F.when(nested, F.to_json(value)).otherwise(plain)
         elif isinstance(field.dataType, (T.StructType, T.MapType, T.ArrayType)):
             value = F.col(field.name)
@@ -113,13 +132,16 @@ def changed_fields(
             F.when(~F.col(before)[n].eqNullSafe(F.col(after)[n]), F.lit(n)) for n in names if n in both
         ]
         return F.array_compact(F.array(*differs)) if differs else F.array().cast("array<string>")
-    b, a = (_canonical_members(F.col(c)) for c in (before, after))
-    if tracked:
-        names = F.array(*[F.lit(n) for n in sorted(set(tracked) - skipped)])
-    else:
-        found = F.array_union(F.map_keys(b), F.map_keys(a))
-        names = F.array_sort(F.array_except(found, F.array(*[F.lit(n) for n in sorted(skipped)])))
-    return F.filter(names, lambda n: ~F.try_element_at(b, n).eqNullSafe(F.try_element_at(a, n)))
+    wanted = set(tracked) - skipped if tracked else None
+
+    def counts(name: Column, differs: Column) -> Column:
+        kept = name.isin(*sorted(wanted)) if wanted is not None else ~name.isin(*sorted(skipped))
+        return differs & kept
+
+    both = F.map_zip_with(
+        _canonical_members(F.col(before)), _canonical_members(F.col(after)), lambda _, b, a: ~b.eqNullSafe(a)
+    )
+    return F.array_sort(F.map_keys(F.map_filter(both, counts)))
 
 
 def _canonical_members(value: Column) -> Column:
@@ -128,16 +150,9 @@ def _canonical_members(value: Column) -> Column:
 
 
 def field_changes(changed: Column, before: Column, after: Column) -> Column:
-    """map<field, struct<before, after>> of canonical texts for VARIANT states."""
-    b, a = _canonical_members(before), _canonical_members(after)
-    return F.map_from_entries(
-        F.transform(
-            changed,
-            lambda n: F.struct(
-                n.alias("key"),
-                F.struct(
-                    F.try_element_at(b, n).alias("before"), F.try_element_at(a, n).alias("after")
-                ).alias("value"),
-            ),
-        )
+    """map<field, struct<before, after>> of the canonical texts of changed fields."""
+    both = F.map_zip_with(
+        _canonical_members(before), _canonical_members(after),
+        lambda _, b, a: F.struct(b.alias("before"), a.alias("after")),
     )
+    return F.map_filter(both, lambda name, _: F.array_contains(changed, name))

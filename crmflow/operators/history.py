@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crmflow.functions.values import METADATA_FIELDS, changed_fields
+from crmflow.functions.values import METADATA_FIELDS, changed_fields, once
 from crmflow.operators.ordered import (
     MAX_ROWS_PER_TASK, HotKeys, find_hot_keys, with_latest, with_neighbour,
 )
@@ -46,14 +46,16 @@ def boundaries(
     are structs, or VARIANT. No shuffle: the decision looks at one event. ``keep`` names further
     columns to carry along.
     """
-    changed = changed_fields(events, "before", "after", tracked_fields, skip)
     kind = F.col("event_type")
+    usable = events.where(
+        F.col("record_id").isNotNull() & F.col("event_timestamp").isNotNull()
+        & kind.isin("INSERT", "UPDATE", "DELETE")
+    )
+    changed = changed_fields(events, "before", "after", tracked_fields, skip)
+    listed = {"changed_fields": F.when(kind == "UPDATE", changed).otherwise(F.array().cast("array<string>"))}
+    typed = isinstance(events.schema["before"].dataType, T.StructType)
     return (
-        events.where(
-            F.col("record_id").isNotNull() & F.col("event_timestamp").isNotNull()
-            & kind.isin("INSERT", "UPDATE", "DELETE")
-        )
-        .withColumn("changed_fields", F.when(kind == "UPDATE", changed).otherwise(F.array().cast("array<string>")))
+        (usable.withColumns(listed) if typed else once(usable, listed))
         .where((kind != "UPDATE") | (F.size("changed_fields") > 0))
         .select(
             F.col("record_id").alias("id"),

@@ -11,22 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crmflow.functions.rules import has_required_keys, quality_score
-from crmflow.functions.values import iso_text, iso_timestamp, member, present, text_member
+from crmflow.functions.values import iso_text, iso_timestamp, member, once, present, text_member
 from crmflow.registry import OBJECTS, SOURCE_CDC, SPARK_TYPES
 
 
 def parse_messages(messages: DataFrame, ingestion_time: Column | None = None) -> DataFrame:
     """Add ``text``, ``event`` (VARIANT, null on failure), ``parse_error``, ``ingestion_time``."""
-    text = F.try_validate_utf8(F.col("value").cast("string"))
-    return (
-        messages.withColumn("text", text)
-        .withColumn("event", F.try_parse_json("text"))
-        .withColumn(
-            "parse_error",
-            F.when(F.col("text").isNull(), "invalid utf-8").when(F.col("event").isNull(), "invalid json"),
-        )
-        .withColumn("ingestion_time", F.current_timestamp() if ingestion_time is None else ingestion_time)
-    )
+    read = once(messages, {"text": F.try_validate_utf8(F.col("value").cast("string"))})
+    read = once(read, {"event": F.try_parse_json("text")})
+    return read.withColumns({
+        "parse_error": F.when(F.col("text").isNull(), "invalid utf-8").when(F.col("event").isNull(), "invalid json"),
+        "ingestion_time": F.current_timestamp() if ingestion_time is None else ingestion_time,
+    })
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
@@ -54,7 +50,7 @@ def envelope(parsed: DataFrame) -> DataFrame:
     """
     event = F.col("event")
     ts = text_member(event, "event_timestamp")
-    return parsed.where(event.isNotNull()).withColumns({
+    return once(parsed.where(event.isNotNull()), {
         "event_id": text_member(event, "event_id"),
         "event_type": text_member(event, "event_type"),
         "object_type": text_member(event, "object_type"),

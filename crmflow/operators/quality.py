@@ -175,7 +175,7 @@ def late_events(df: DataFrame, ts: str, arrived: str, lateness: str = "600 secon
     return df.where(F.col(arrived) > F.col(ts) + F.expr(f"interval {lateness}"))
 
 
-def metric_columns(validated: DataFrame, at: Column) -> list[Column]:
+def metric_columns(at: Column) -> list[Column]:
     """Named pipeline metrics, for ``observe`` during a write or for one aggregate."""
     kind = F.col("event_type")
     lag = (F.unix_micros(at) - F.unix_micros("event_timestamp")) / 1e6

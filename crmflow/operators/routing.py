@@ -7,14 +7,14 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crmflow.functions.rules import ERRORS_TYPE, cdc_errors, messages
+from crmflow.functions.rules import messages, with_cdc_errors
 from crmflow.registry import ALERT_SEVERITY, ALERT_TYPE, OBJECT_TYPES
 
 
 def validate_events(events: DataFrame, as_of: Column, selected: Iterable[str] | None = None) -> DataFrame:
     """Add ``errors``, ``is_valid`` and ``route`` (valid / invalid) to change events."""
     return (
-        events.withColumn("errors", cdc_errors(as_of, selected).cast(ERRORS_TYPE))
+        with_cdc_errors(events, as_of, selected)
         .withColumn("is_valid", F.size("errors") == 0)
         .withColumn("route", F.when(F.col("is_valid"), "valid").otherwise("invalid"))
     )
