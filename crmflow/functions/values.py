@@ -24,7 +24,7 @@ VARIANT_MAP = "map<string,variant>"
 
 def iso_timestamp(text: Column) -> Column:
     """Timestamp of extended ISO-8601 text, null for anything else."""
-    return F.when(text.rlike(ISO_TIMESTAMP), F.regexp_replace(text, ",", ".").try_cast("timestamp"))
+    return F.when(text.rlike(ISO_TIMESTAMP), F.translate(text, ",", ".").try_cast("timestamp"))
 
 
 def iso_text(ts: Column) -> Column:
@@ -54,11 +54,11 @@ def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns that are computed once per row.
 
     The optimizer copies a column's expression into every filter and expression that uses it; for
-    parsed JSON each copy would parse again. Generated columns are never copied.
+    parsed JSON each copy would parse again. Columns that come out of a generator are not copied.
     """
     kept = [c for c in df.columns if c not in columns]
-    packed = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return df.select(*kept, F.inline(F.array(packed)))
+    packed = F.struct(*[c.alias(n) for n, c in columns.items()]).alias("__packed")
+    return df.select(*kept, packed).select(*kept, F.inline(F.array("__packed")))
 
 
 # JSON kinds as the engine names them, by the class a rule asks for.

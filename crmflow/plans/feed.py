@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from crmflow.functions.values import once
 from crmflow.operators.history import hot_records
 from crmflow.operators.ordered import HotKeys, with_neighbour
+from crmflow.sources.readers import spread
 
 # Clock of every query: nothing reads the wall clock.
 AS_OF_TEXT = "2024-02-01 00:00:00"
@@ -73,7 +74,7 @@ def k() -> Column:
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``k``, the number in their props; rules on it make some events dirty."""
     number = F.get_json_object("props", "$.k").cast("int")
-    return once(events(spark, sf_dir), {"k": number})
+    return once(spread(events(spark, sf_dir)), {"k": number})
 
 
 def cdc_kind() -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crmflow.functions.rules import (
-    EVENT_ID_CHARS, RECORD_RULES, apply_rules, check_timestamp, codes, messages, with_schema_errors,
+    EVENT_ID_CHARS, RECORD_RULES, apply_rules, codes, messages, with_cdc_errors, with_schema_errors,
 )
 from crmflow.functions.values import iso_text, once
 from crmflow.operators import parse, quality, routing
@@ -40,7 +40,8 @@ FROM cdc WHERE NOT broken AND k IN (29, 31, 37) GROUP BY 1""")
 def stale_or_future(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed, future and stale event times."""
     rows = parse.envelope(parse.parse_messages(cdc_messages(spark, sf_dir), as_of()))
-    found = rows.select(F.explode(messages(check_timestamp(as_of()))).alias("message"))
+    checked = with_cdc_errors(rows, as_of(), ["validate_timestamp_format"])
+    found = checked.select(F.explode(messages(F.col("errors"))).alias("message"))
     return found.groupBy(F.substring_index("message", ":", 1).alias("problem")).agg(F.count("*").alias("events"))
 
 

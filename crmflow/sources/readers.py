@@ -78,6 +78,15 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet", include: str
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input has too few splits for CPU-heavy work.
+
+    A large input has more splits than cores and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_messages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     """A message stream from files of the message schema (parquet)."""
     return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
