@@ -268,13 +268,14 @@ def as_of_join(
     ts: str,
     payload: Iterable[str],
     unique: Iterable[str],
-    max_rows: int = MAX_ROWS_PER_TASK,
+    hot: HotKeys | None,
 ) -> DataFrame:
     """Facts with the version valid at ``ts`` (start inclusive, end exclusive).
 
     Both sides are stacked and each fact takes the last version at or before it, so the work is
     one sort per key instead of facts x versions. ``history`` has ``id, valid_from, valid_to``;
-    facts without a valid version are dropped. ``unique`` columns make facts distinct in order.
+    facts without a valid version are dropped. ``unique`` columns make facts distinct in order;
+    ``hot`` are record ids with very many facts or versions.
     """
     payload, unique = list(payload), list(unique)
     version = F.struct("valid_from", "valid_to", *payload)
@@ -288,9 +289,8 @@ def as_of_join(
     )
     left, right = left.where(F.col("__key").isNotNull()), right.where(F.col("__key").isNotNull())
     stacked = left.unionByName(right, allowMissingColumns=True)
-    hot = find_hot_keys(left.select("__key").unionByName(right.select("__key")), ["__key"], max_rows)
     found = with_latest(stacked, ["__key"], ["__ts", "__kind", "__tie"], "__found",
-                        F.col("__version"), hot)
+                        F.col("__version"), hot and hot.renamed("__key"))
     valid = F.col("__found").isNotNull() & (
         F.col("__found.valid_to").isNull() | (F.col("__ts") < F.col("__found.valid_to"))
     )

@@ -138,12 +138,10 @@ def row_rules(df: DataFrame, rules: dict[str, tuple[Column, float]]) -> DataFram
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
-    """Count and percent (one decimal) per value; the total comes from the grouped rows."""
+    """Count and percent (one decimal) per value; the total is a scalar subquery."""
+    total = df.agg(F.count("*").alias("total")).scalar()
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(  # one row
-        column, "n", F.round(F.col("n") * 100.0 / F.col("total"), 1).alias("percent")
-    )
+    return counts.select(column, "n", F.round(F.col("n") * 100.0 / total, 1).alias("percent"))
 
 
 def tumbling_counts(df: DataFrame, width: str, by: Iterable[str] = (), ts: str = "event_timestamp") -> DataFrame:

@@ -10,7 +10,10 @@ from crmflow.functions.values import FEED_METADATA_FIELDS, changed_fields
 from crmflow.operators import history as h
 from crmflow.operators import quality
 from crmflow.plans.catalog import query
-from crmflow.plans.feed import FEED_SQL, OPPORTUNITY_SQL, TRACKED, as_of, events, opportunities, record_id, result, state_feed
+from crmflow.plans.feed import (
+    FEED_SQL, OPPORTUNITY_SQL, TRACKED, as_of, events, opportunities, record_id, result, state_feed,
+)
+from crmflow.session import reliable
 
 _VERSION_SQL = f"""WITH {FEED_SQL}
 SELECT id, valid_from, valid_to, is_current, change_type, changed_fields, state_type, state_value FROM versions"""
@@ -40,7 +43,7 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same history in two merges: low values first, then high ones (late, interleaved in
     time) with all purchases replayed."""
     feed, hot = state_feed(spark, sf_dir)
-    moves = h.boundaries(feed, TRACKED)
+    moves = reliable(h.boundaries(feed, TRACKED))
     low = F.col("record_data.value") < 50
     first, second = moves.where(low), moves.where(~low | (F.col("record_data.event_type") == "purchase"))
     store = h.as_history(h.chain(first, hot), emit_tombstones=True)
@@ -208,6 +211,6 @@ def history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = events(spark, sf_dir).select(
         "event_id", record_id().alias("record_id"), (F.col("ts") + F.expr("interval 30 minutes")).alias("at")
     )
-    found = h.as_of_join(facts, history, "record_id", "at", ["record_data"], ["event_id"])
+    found = h.as_of_join(facts, history, "record_id", "at", ["record_data"], ["event_id"], hot)
     return result(found.select("event_id", "record_id", "at", "valid_from",
                                F.col("record_data.event_type").alias("state_type")))

@@ -2,8 +2,9 @@
 
 Layout: ``<path>/period=<open | closing day>/bucket=<n>``. A batch in time order changes open
 versions only and adds closed ones to recent days; a late event rewrites just the days it falls
-into. A partition takes part in a merge only if a row of it changes. Files split a large
-partition, so a record with very many versions is spread over days and files.
+into. A partition takes part in a merge only if a row of it changes. Rows are written in ranges
+of (period, bucket, id, valid_from), so a record with very many versions is spread over days,
+tasks and files.
 
 The append-only boundary log is the truth: ``rebuild`` makes the table from it, for instance
 after a driver died while a merge was replacing files.
@@ -25,12 +26,12 @@ PLACE = ["period", "bucket"]
 
 class VersionsTable:
     def __init__(self, spark: SparkSession, path: str, record_type: T.DataType | None = None,
-                 buckets: int = 64, files_per_place: int = 1, event_id_type: T.DataType | None = None):
-        """``buckets`` x days is the number of partitions; ``files_per_place`` splits a large one."""
+                 buckets: int = 64, event_id_type: T.DataType | None = None):
+        """``buckets`` x days is the number of partitions."""
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             raise ValueError("closing days are UTC days: set spark.sql.session.timeZone to UTC")
         self.spark, self.path = spark, path.rstrip("/")
-        self.buckets, self.files = buckets, files_per_place
+        self.buckets = buckets
         self.schema = T.StructType([
             T.StructField("id", T.StringType()),
             T.StructField("valid_from", T.TimestampType()),
@@ -99,27 +100,23 @@ class VersionsTable:
             .join(replaced.select("id", "valid_from"), ["id", "valid_from"], "left_anti")
         )
         result = kept.select(*self.schema.fieldNames()).unionByName(rebuilt.select(*self.schema.fieldNames()))
-        self._replace(reliable(result), places)
+        result = reliable(result)
+        self._write(result, "dynamic")
+        self._clear_emptied(result, places)
 
     def rebuild(self, log: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> None:
         """Write the table anew from all boundaries."""
         hot = find_hot_keys(log.select("id"), ["id"], max_rows)
         rows = self._placed(as_history(chain(log, hot), emit_tombstones=True))
-        spread = F.pmod(F.xxhash64("id", "valid_from"), F.lit(self.files))
-        (
-            rows.repartition(*PLACE, spread).sortWithinPartitions(*PLACE, "id", "valid_from")
-            .write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy(*PLACE).parquet(self.path)
-        )
+        self._write(reliable(rows), "static")
 
-    def _replace(self, rows: DataFrame, places: DataFrame) -> None:
-        spread = F.pmod(F.xxhash64("id", "valid_from"), F.lit(self.files))
+    def _write(self, rows: DataFrame, overwrite: str) -> None:
+        ordered = [*PLACE, "id", "valid_from"]
         (
-            rows.repartition(*PLACE, spread).sortWithinPartitions(*PLACE, "id", "valid_from")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            rows.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+            .write.mode("overwrite").option("partitionOverwriteMode", overwrite)
             .partitionBy(*PLACE).parquet(self.path)
         )
-        self._clear_emptied(rows, places)
 
     def _clear_emptied(self, rows: DataFrame, places: DataFrame) -> None:
         """Dynamic overwrite leaves partitions that received no row: their versions moved on."""
