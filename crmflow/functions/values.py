@@ -66,6 +66,7 @@ KINDS = {
     "str": ("STRING",), "num": ("BIGINT", "DECIMAL", "DOUBLE"), "bool": ("BOOLEAN",),
     "list": ("ARRAY",), "obj": ("OBJECT",),
 }
+PARAMETRIC_KINDS = ("DECIMAL", "ARRAY", "OBJECT")
 NULL_KIND = "VOID"
 
 
@@ -74,11 +75,6 @@ def json_kind(value: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
 
 
-def member_kinds(value: Column) -> Column:
-    """map<member, kind> of a JSON object."""
-    return F.transform_values(members(value), lambda _, v: json_kind(v))
-
-
 def canonical(value: Column) -> Column:
     """Text that is equal for equal JSON values; null for absent and JSON null."""
     number = value.try_cast("double").try_cast("decimal(38,9)")

@@ -16,6 +16,7 @@ from crmflow.plans.feed import (
     cdc_messages, events, opportunities, result, table,
 )
 from crmflow.registry import OBJECTS
+from crmflow.sources.readers import spread
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +146,7 @@ SELECT o_orderkey AS "row", concat_ws(',', CASE WHEN stage_name = '' THEN 'Missi
 FROM opportunities""")
 def validate_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Required fields and JSON types of opportunities as semi-structured records."""
-    rows = opportunities(spark, sf_dir)
+    rows = spread(opportunities(spark, sf_dir))
     number = F.col("amount").cast("decimal(18,2)")
     record = F.concat(
         F.lit('{"id":'), F.when(F.col("amount") <= 1000, F.lit("7")).otherwise(F.concat(F.lit('"'), F.col("id"), F.lit('"'))),
