@@ -20,6 +20,8 @@ from crmflow.session import reliable
 MAX_ROWS_PER_TASK = 2_000_000
 # Expected split points per key: bounds the arrays that travel with a broadcast.
 MAX_SPLITS_PER_KEY = 2048
+# Rows (or split points) up to which a helper table is broadcast; measured, beyond it a join.
+MAX_BROADCAST = 1_000_000
 _SLICE, _BOUNDS, _VALUE, _CARRY = "__slice", "__bounds", "__value", "__carry"
 
 
@@ -30,11 +32,16 @@ class HotKeys:
     table: DataFrame
     keys: tuple[str, ...]
     max_rows: int
+    count: int
+
+    def rows_of(self, df: DataFrame) -> DataFrame:
+        """The rows of ``df`` that belong to hot keys."""
+        return df.join(_sized(self.table.select(*self.keys), self.count), list(self.keys), "left_semi")
 
     def renamed(self, *keys: str) -> HotKeys:
         """The same keys under other column names."""
         table = self.table.withColumnsRenamed(dict(zip(self.keys, keys, strict=True)))
-        return HotKeys(table, keys, self.max_rows)
+        return HotKeys(table, keys, self.max_rows, self.count)
 
 
 def find_hot_keys(
@@ -46,9 +53,13 @@ def find_hot_keys(
     may be larger than those of the frame to be ordered. One row of totals reaches the driver.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > max_rows)
-    if counts.agg(F.count("*")).first()[0] == 0:
-        return None
-    return HotKeys(reliable(counts), tuple(keys), max_rows)
+    found = counts.agg(F.count("*")).first()[0]
+    return HotKeys(reliable(counts), tuple(keys), max_rows, found) if found else None
+
+
+def _sized(helper: DataFrame, size: int) -> DataFrame:
+    """Broadcast a helper table of known, checked size; leave a larger one to the optimizer."""
+    return F.broadcast(helper) if size <= MAX_BROADCAST else helper
 
 
 def _split_points(df: DataFrame, order: Sequence[str], hot: HotKeys) -> DataFrame:
@@ -60,7 +71,7 @@ def _split_points(df: DataFrame, order: Sequence[str], hot: HotKeys) -> DataFram
     every = F.greatest(F.lit(max(1, hot.max_rows // 8)), (F.col("n") / MAX_SPLITS_PER_KEY).cast("long"))
     return (
         df.select(*hot.keys, *order)
-        .join(F.broadcast(hot.table), list(hot.keys))  # bounded: see HotKeys
+        .join(_sized(hot.table, hot.count), list(hot.keys))
         .where(F.pmod(F.xxhash64(*hot.keys, *order), every) == 0)
         .groupBy(*hot.keys)
         .agg(F.array_sort(F.collect_set(F.struct(*order))).alias(_BOUNDS))
@@ -80,8 +91,9 @@ def _slice_number(bounds: Column, position: Column) -> Column:
 
 def _sliced(df: DataFrame, order: Sequence[str], hot: HotKeys) -> DataFrame:
     points = reliable(_split_points(df, order, hot))
+    size = points.agg(F.coalesce(F.sum(F.size(_BOUNDS)), F.lit(0))).first()[0]
     return (
-        df.join(F.broadcast(points), list(hot.keys), "left")  # bounded: rows / max_rows * 8 positions
+        df.join(_sized(points, size), list(hot.keys), "left")
         .withColumn(_SLICE, _slice_number(F.col(_BOUNDS), F.struct(*order)))
         .drop(_BOUNDS)
     )
@@ -103,11 +115,7 @@ def with_neighbour(
 
     packed = F.struct(*[c.alias(n) for n, c in values.items()])
     rows = _sliced(df, order, hot).withColumn(_VALUE, packed)
-    edges = (
-        rows.groupBy(*keys, _SLICE)
-        .agg(pick(_VALUE, F.struct(*order)).alias(_CARRY))
-        .join(F.broadcast(hot.table.select(*keys)), list(keys), "left_semi")
-    )
+    edges = hot.rows_of(rows).groupBy(*keys, _SLICE).agg(pick(_VALUE, F.struct(*order)).alias(_CARRY))
     across = Window.partitionBy(*keys).orderBy(_SLICE)
     edges = edges.withColumn(_CARRY, shift(_CARRY).over(across))
     inside = Window.partitionBy(*keys, _SLICE).orderBy(*order)
@@ -133,21 +141,11 @@ def with_latest(
         return df.withColumn(name, F.last(value, ignorenulls=True).over(w))
 
     rows = _sliced(df, order, hot).withColumn(_VALUE, value)
-    edges = (
-        rows.where(F.col(_VALUE).isNotNull())
-        .groupBy(*keys, _SLICE)
-        .agg(F.max_by(_VALUE, F.struct(*order)).alias(_CARRY))
-        .join(F.broadcast(hot.table.select(*keys)), list(keys), "left_semi")
-    )
-    # Slices without a value still need the carry: number them all, then look back.
-    slots = (
-        rows.groupBy(*keys, _SLICE).agg(F.count("*").alias("__n"))
-        .join(F.broadcast(hot.table.select(*keys)), list(keys), "left_semi")
-    )
+    # A slice without a value gets a null edge and still receives the carry of earlier ones.
+    at = F.when(F.col(_VALUE).isNotNull(), F.struct(*order))
+    edges = hot.rows_of(rows).groupBy(*keys, _SLICE).agg(F.max_by(_VALUE, at).alias(_CARRY))
     back = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    edges = slots.join(edges, [*keys, _SLICE], "left").select(
-        *keys, _SLICE, F.last(_CARRY, ignorenulls=True).over(back).alias(_CARRY)
-    )
+    edges = edges.withColumn(_CARRY, F.last(_CARRY, ignorenulls=True).over(back))
     inside = (
         Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )

@@ -81,6 +81,14 @@ def write_json_lines(df: DataFrame, path: str, disposition: str = "WRITE_TRUNCAT
     df.write.mode(DISPOSITIONS[disposition]).option("ignoreNullFields", "false").json(path)
 
 
+def publish(messages: DataFrame, servers: str, topic: str, **options: str) -> None:
+    """Send ``value`` rows (messages, alerts) to a Kafka topic (needs the Kafka connector)."""
+    (
+        messages.select("value").write.format("kafka").option("kafka.bootstrap.servers", servers)
+        .option("topic", topic).options(**options).save()
+    )
+
+
 def drop_expired(spark: SparkSession, path: str, as_of: dt.date, days: int = 30, column: str = "ingest_date") -> int:
     """Delete day directories older than the retention period; returns how many.
 

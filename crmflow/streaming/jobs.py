@@ -7,10 +7,10 @@ a replayed batch replaces its own output. Offsets live in the query's checkpoint
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -53,6 +53,7 @@ class CdcJob:
     lateness: str = LATENESS
     buckets: int = 64
     tracked_fields: tuple[str, ...] | None = None
+    last_metrics: dict = field(default_factory=dict)
 
     def _clock(self) -> Column:
         return F.current_timestamp() if self.as_of is None else self.as_of
@@ -70,8 +71,11 @@ class CdcJob:
         events = self._events(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._write_raw(events, batch_id)
-            write_batch(routing.alert_messages(routing.quality_alerts(events, self._clock())),
+            seen = Observation("cdc_events")
+            measured = events.observe(seen, *quality.metric_columns(self._clock()))
+            write_batch(routing.alert_messages(routing.quality_alerts(measured, self._clock())),
                         f"{self.base}/alerts", batch_id)
+            self.last_metrics = seen.get
             late = quality.late_events(events.where("is_valid"), "event_timestamp", "publish_time", self.lateness)
             write_batch(late.select("event_id", "object_type", "record_id", "event_timestamp", "publish_time", "text"),
                         f"{self.base}/late", batch_id)

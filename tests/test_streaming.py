@@ -50,6 +50,8 @@ def test_raw_job(spark, messages_dir, validated, tmp_path):
     failed = parse.dead_letters(parse.parse_messages(feed.cdc_messages(spark, "/root/testdata/sf0.001"), feed.as_of()))
     assert spark.read.parquet(f"{job.base}/dead_letters").count() == failed.count() > 0
     assert spark.read.parquet(f"{job.base}/late").count() == 0
+    assert job.last_metrics["events_received"] == validated.count()
+    assert job.last_metrics["events_processed"] == sum(want.values())
     # A replayed batch replaces its own output.
     batch = spark.read.schema(readers.MESSAGE_SCHEMA).option("recursiveFileLookup", True).parquet(messages_dir)
     job.raw_batch(batch, 0)
