@@ -46,7 +46,7 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     moves = reliable(h.boundaries(feed, TRACKED))
     low = F.col("record_data.value") < 50
     first, second = moves.where(low), moves.where(~low | (F.col("record_data.event_type") == "purchase"))
-    store = h.as_history(h.chain(first, hot), emit_tombstones=True)
+    store = reliable(h.as_history(h.chain(first, hot), emit_tombstones=True))
     return _flat(h.without_tombstones(h.merged_store(store, second, hot)))
 
 
