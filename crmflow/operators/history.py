@@ -17,6 +17,7 @@ from crmflow.functions.values import METADATA_FIELDS, changed_fields, once
 from crmflow.operators.ordered import (
     MAX_ROWS_PER_TASK, HotKeys, find_hot_keys, with_latest, with_neighbour,
 )
+from crmflow.session import reliable
 
 BOUNDARY = ("id", "valid_from", "event_id", "change_type", "changed_fields", "record_data")
 
@@ -90,7 +91,7 @@ def chain(rows: DataFrame, hot: HotKeys | None) -> DataFrame:
         nxt = with_neighbour(rows, ["id"], ["valid_from", "event_id"],
                              {"valid_to": F.col("valid_from")}, "next", None)
         return nxt.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
-    return with_neighbour(collapse(rows), ["id"], ["valid_from"],
+    return with_neighbour(reliable(collapse(rows)), ["id"], ["valid_from"],
                           {"valid_to": F.col("valid_from")}, "next", hot)
 
 

@@ -4,7 +4,8 @@ A window partitioned by a key sorts that key's rows in one task. Where no key ex
 ``max_rows`` that is the best plan (one exchange) and it is used. A key above the limit is cut
 into slices along its order; slices are processed like keys, and the value that crosses a slice
 border is taken from a summary of one row per slice. Results are the same in both forms.
-Keys must not be null, and positions (key and order columns) should be unique.
+Keys must not be null, and positions (key and order columns) should be unique. With hot keys the
+input is read up to three times: give a table or a checkpoint.
 """
 
 from __future__ import annotations
@@ -34,10 +35,6 @@ class HotKeys:
     max_rows: int
     count: int
 
-    def rows_of(self, df: DataFrame) -> DataFrame:
-        """The rows of ``df`` that belong to hot keys."""
-        return df.join(_sized(self.table.select(*self.keys), self.count), list(self.keys), "left_semi")
-
     def renamed(self, *keys: str) -> HotKeys:
         """The same keys under other column names."""
         table = self.table.withColumnsRenamed(dict(zip(self.keys, keys, strict=True)))
@@ -79,14 +76,14 @@ def _split_points(df: DataFrame, order: Sequence[str], hot: HotKeys) -> DataFram
 
 
 def _slice_number(bounds: Column, position: Column) -> Column:
-    """Number of bounds <= position, by binary search."""
+    """Number of bounds <= position, by binary search; -1 for keys that are not hot."""
     steps = F.array(*[F.lit(1 << i) for i in range(14, -1, -1)])
 
     def step(found: Column, width: Column) -> Column:
         inside = F.coalesce(F.get(bounds, found + width - 1) <= position, F.lit(False))
         return F.when(inside, found + width).otherwise(found)
 
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
+    return F.when(bounds.isNull(), F.lit(-1)).otherwise(F.aggregate(steps, F.lit(0), step))
 
 
 def _sliced(df: DataFrame, order: Sequence[str], hot: HotKeys) -> DataFrame:
@@ -115,7 +112,8 @@ def with_neighbour(
 
     packed = F.struct(*[c.alias(n) for n, c in values.items()])
     rows = _sliced(df, order, hot).withColumn(_VALUE, packed)
-    edges = hot.rows_of(rows).groupBy(*keys, _SLICE).agg(pick(_VALUE, F.struct(*order)).alias(_CARRY))
+    hot_rows = rows.where(F.col(_SLICE) >= 0)
+    edges = hot_rows.groupBy(*keys, _SLICE).agg(pick(_VALUE, F.struct(*order)).alias(_CARRY))
     across = Window.partitionBy(*keys).orderBy(_SLICE)
     edges = edges.withColumn(_CARRY, shift(_CARRY).over(across))
     inside = Window.partitionBy(*keys, _SLICE).orderBy(*order)
@@ -143,7 +141,8 @@ def with_latest(
     rows = _sliced(df, order, hot).withColumn(_VALUE, value)
     # A slice without a value gets a null edge and still receives the carry of earlier ones.
     at = F.when(F.col(_VALUE).isNotNull(), F.struct(*order))
-    edges = hot.rows_of(rows).groupBy(*keys, _SLICE).agg(F.max_by(_VALUE, at).alias(_CARRY))
+    hot_rows = rows.where(F.col(_SLICE) >= 0)
+    edges = hot_rows.groupBy(*keys, _SLICE).agg(F.max_by(_VALUE, at).alias(_CARRY))
     back = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.withColumn(_CARRY, F.last(_CARRY, ignorenulls=True).over(back))
     inside = (
