@@ -6,6 +6,8 @@ adds columns and never drops a row: failures carry ``parse_error`` and go to the
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,23 +83,29 @@ def extract_record(
     ingestion_time: Column,
     include_metadata: bool = True,
     on_unknown: str = "drop",
+    flag_casts: bool = False,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
     """Typed rows of one object: ``after`` of INSERT and UPDATE, ``before`` of DELETE.
 
     Another event type gives no row, or with ``on_unknown='empty'`` a row of nulls. Nested
-    values are JSON text.
+    values are JSON text. ``flag_casts`` adds ``cast_errors``, the fields whose value does not fit
+    its type; ``keep`` names event columns to carry along.
     """
     kind = F.col("event_type")
     record = F.when(kind.isin("INSERT", "UPDATE"), F.col("after")).when(kind == "DELETE", F.col("before"))
     rows = events.where(F.col("object_type") == object_type).withColumn("__record", record)
     if on_unknown == "drop":
         rows = rows.where(F.col("__record").isNotNull())
-    columns = [
-        F.try_variant_get("__record", f"$.{f.name}", SPARK_TYPES[f.type].simpleString()).alias(f.name)
-        if f.type not in ("TIMESTAMP", "JSON")
-        else _typed_member(f.name, f.type)
-        for f in OBJECTS[object_type].fields
-    ]
+    fields = OBJECTS[object_type].fields
+    typed = {f.name: _typed_member(f.name, f.type) for f in fields}
+    columns = [c.alias(n) for n, c in typed.items()]
+    if flag_casts:
+        failed = [
+            F.when(present(member(F.col("__record"), f.name)) & typed[f.name].isNull(), F.lit(f.name))
+            for f in fields if f.type not in ("STRING", "JSON")
+        ]
+        columns.append(F.array_compact(F.array(*failed)).alias("cast_errors"))
     if include_metadata:
         known = kind.isin("INSERT", "UPDATE", "DELETE")
         columns += [
@@ -107,15 +115,20 @@ def extract_record(
         ]
         if "message_id" in events.columns:
             columns.append(F.col("message_id").alias("_pubsub_message_id"))
-    return rows.select(*columns)
+    return rows.select(*columns, *keep)
 
 
 def _typed_member(name: str, type_: str) -> Column:
     value = member(F.col("__record"), name)
     if type_ == "TIMESTAMP":
-        return iso_timestamp(text_member(F.col("__record"), name)).alias(name)
-    scalar = F.when(present(value), F.coalesce(value.try_cast("string"), F.to_json(value)))
-    return scalar.alias(name)
+        return iso_timestamp(text_member(F.col("__record"), name))
+    if type_ == "JSON":
+        return F.when(present(value), F.coalesce(value.try_cast("string"), F.to_json(value)))
+    return F.try_variant_get("__record", f"$.{name}", SPARK_TYPES[type_].simpleString())
+
+
+def with_processing_time(df: DataFrame, at: Column) -> DataFrame:
+    return df.withColumn("_processing_timestamp", at)
 
 
 def to_messages(events: DataFrame) -> DataFrame:

@@ -70,7 +70,10 @@ class CdcJob:
         parsed = self._parsed(batch).persist(StorageLevel.MEMORY_AND_DISK)
         events = self._events(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write_raw(events, batch_id)
+            rows = self._raw_rows(events)
+            fits = F.size("cast_errors") == 0
+            write_batch(rows.where(fits).drop("cast_errors", "text", "ingestion_time"),
+                        f"{self.base}/raw", batch_id, ("object_type", "ingest_date"))
             seen = Observation("cdc_events")
             measured = events.observe(seen, *quality.metric_columns(self._clock()))
             write_batch(routing.alert_messages(routing.quality_alerts(measured, self._clock())),
@@ -83,19 +86,25 @@ class CdcJob:
                 F.lit("unknown object type").alias("error"), F.col("text").alias("original_message"),
                 F.col("ingestion_time").alias("timestamp"),
             )
-            write_batch(parse.dead_letters(parsed).unionByName(unrouted), f"{self.base}/dead_letters", batch_id)
+            unfit = rows.where(~fits).select(
+                F.concat(F.lit("wrong type: "), F.array_join("cast_errors", ",")).alias("error"),
+                F.col("text").alias("original_message"), F.col("ingestion_time").alias("timestamp"),
+            )
+            letters = parse.dead_letters(parsed).unionByName(unrouted).unionByName(unfit)
+            write_batch(letters, f"{self.base}/dead_letters", batch_id)
         finally:
             events.unpersist()
             parsed.unpersist()
 
-    def _write_raw(self, events: DataFrame, batch_id: int) -> None:
+    def _raw_rows(self, events: DataFrame) -> DataFrame:
+        """Typed rows of all enabled objects; ``cast_errors`` names values that do not fit."""
         valid = events.where("is_valid")
         rows = union_raw([
-            parse.extract_record(valid.where(F.col("table_route") == o), o, self._clock())
+            parse.extract_record(valid.where(F.col("table_route") == o), o, self._clock(), flag_casts=True,
+                                 keep=("text", "ingestion_time"))
             for o in self.enabled
         ])
-        rows = rows.withColumn("ingest_date", F.to_date("ingestion_timestamp"))
-        write_batch(rows, f"{self.base}/raw", batch_id, ("object_type", "ingest_date"))
+        return rows.withColumn("ingest_date", F.to_date("ingestion_timestamp"))
 
     def versions(self, object_type: str) -> VersionsTable:
         return VersionsTable(self.spark, f"{self.base}/{HISTORY_TABLES[object_type]}", buckets=self.buckets)

@@ -55,6 +55,10 @@ def test_extract_record(spark):
     kept = parse.extract_record(events, "Account", at(), on_unknown="empty")
     empty = kept.where("_cdc_event_type = 'MERGE'").first()
     assert empty.id is None and empty._cdc_event_id is None
+    unfit = dict(EVENT, after=dict(EVENT["after"], created_date="soon", annual_revenue="much"))
+    flagged = parse.extract_record(parse.envelope(parsed(spark, EVENT, unfit)), "Account", at(), flag_casts=True, keep=["text"])
+    assert [r.cast_errors for r in flagged.collect()] == [[], ["annual_revenue", "created_date"]]
+    assert "_processing_timestamp" in parse.with_processing_time(flagged, at()).columns
     bare = parse.extract_record(events, "Account", at(), include_metadata=False)
     assert "source" not in bare.columns
 

@@ -6,9 +6,9 @@ from datetime import UTC, date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from crmflow.operators.quality import validate_batch
+from crmflow.operators.quality import ThresholdExceeded, validate_batch
 from crmflow.registry import ACCOUNT, sink_schema
-from crmflow.sources import readers, writers
+from crmflow.sources import batch, readers, writers
 
 AT = datetime(2025, 10, 31, 1, tzinfo=UTC)
 ENVELOPE = {"records": [
@@ -48,6 +48,24 @@ def test_batch_ingest_end_to_end(spark, tmp_path):
     assert float(row.annual_revenue) == 1000000 and row.billing_address == '{"city":"X"}' and row._validation_errors == []
 
 
+def test_ingest(spark, tmp_path):
+    for name in ("account", "contact"):
+        (tmp_path / name).mkdir()
+    (tmp_path / "account" / "a.json").write_text(json.dumps(ENVELOPE))
+    bad = {"records": [{"id": "003", "created_date": "soon"}, {"id": ""}, {"id": "004"}]}
+    (tmp_path / "contact" / "c.json").write_text(json.dumps(bad))
+    paths = {"Account": str(tmp_path / "account"), "Contact": str(tmp_path / "contact")}
+    base = str(tmp_path / "lake")
+    assert batch.ingest(spark, paths, base, F.lit(AT), enabled=["Account"]) == [f"{base}/raw_accounts"]
+    with pytest.raises(ThresholdExceeded):
+        batch.ingest(spark, {"Contact": paths["Contact"]}, base, F.lit(AT), max_error_percent=5.0)
+    batch.ingest(spark, {"Contact": paths["Contact"]}, base, F.lit(AT), rules={"check_null_primary_keys": True})
+    rows = {r.id: r for r in spark.read.parquet(f"{base}/raw_contacts").collect()}
+    assert [rows[k]._is_valid for k in ("", "004")] == [False, True]
+    letters = spark.read.parquet(f"{base}/raw_contacts_dead_letters").collect()
+    assert [r.error for r in letters] == ["created_date"]
+
+
 def bad_rows(spark):
     return spark.createDataFrame(
         [("1", "x", AT, "s", "Account", True, AT), (None, "2", AT, "s", "Account", True, AT), ("3", "3", AT, "s", "Account", True, AT)],

@@ -108,6 +108,17 @@ def test_stream_deduplication(spark, sf_dir, tmp_path):
     assert same(spark.table("once"), rows)
 
 
+def test_values_that_do_not_fit_are_dead_letters(spark, sf_dir, tmp_path):
+    text = F.regexp_replace(F.col("value").cast("string"), '"created_date":"2024-01-0[^"]*"', '"created_date":"soon"')
+    rows = feed.cdc_messages(spark, sf_dir).where("NOT value IS NULL AND try_validate_utf8(CAST(value AS STRING)) IS NOT NULL")
+    job = jobs.CdcJob(spark, str(tmp_path / "out"), feed.as_of())
+    job.raw_batch(rows.withColumn("value", text.cast("binary")), 1)
+    letters = spark.read.parquet(f"{job.base}/dead_letters").where("error LIKE 'wrong type%'")
+    raw = spark.read.parquet(f"{job.base}/raw")
+    assert {r.error for r in letters.select("error").distinct().collect()} == {"wrong type: created_date"}
+    assert letters.count() + raw.count() == job.last_metrics["events_processed"]
+
+
 def test_late_events_are_kept_aside(spark, sf_dir, tmp_path):
     rows = feed.cdc_messages(spark, sf_dir).withColumn("publish_time", F.col("publish_time") + F.expr("interval 11 minutes"))
     job = jobs.CdcJob(spark, str(tmp_path / "out"), feed.as_of())
