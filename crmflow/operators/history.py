@@ -290,6 +290,8 @@ def as_of_join(
     )
     left, right = left.where(F.col("__key").isNotNull()), right.where(F.col("__key").isNotNull())
     stacked = left.unionByName(right, allowMissingColumns=True)
+    if hot is not None:
+        stacked = reliable(stacked)
     found = with_latest(stacked, ["__key"], ["__ts", "__kind", "__tie"], "__found",
                         F.col("__version"), hot and hot.renamed("__key"))
     valid = F.col("__found").isNotNull() & (

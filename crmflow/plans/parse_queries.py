@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,14 +80,14 @@ _GENERIC = "e AS (SELECT *, CAST(props->>'k' AS INTEGER) AS k FROM events)"
 
 
 @query(f"""WITH {_GENERIC}
-SELECT 'EVT-' || event_id AS event_id, CASE WHEN k < 10 OR k = 11 THEN NULL ELSE k END AS k_in_data,
+SELECT 'EVT-' || event_id AS event_id, CASE WHEN k < 10 OR k = 11 THEN -1 ELSE k END AS k_in_data,
   TIMESTAMP '2024-02-01' AS ingestion_time FROM e WHERE k NOT IN (71, 73)""")
 def parse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generic messages that parse."""
     parsed = parse.parse_messages(generic_messages(spark, sf_dir), as_of())
     return result(parsed.where(F.col("parse_error").isNull()).select(
         F.try_variant_get("event", "$.event_id", "string").alias("event_id"),
-        F.try_variant_get("event", "$.data.k", "int").alias("k_in_data"), "ingestion_time",
+        F.coalesce(F.try_variant_get("event", "$.data.k", "int"), F.lit(-1)).alias("k_in_data"), "ingestion_time",
     ))
 
 
@@ -135,8 +135,8 @@ def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_GENERIC}
 SELECT 'EVT-' || event_id AS id, CASE WHEN k = 83 THEN NULL ELSE event_type END AS data_type, TIMESTAMP '2024-02-01' AS processed_at,
-  CASE WHEN k < 10 OR k = 11 THEN NULL ELSE k END AS original_k,
-  CASE WHEN k < 10 OR k = 11 THEN NULL ELSE k END AS transformed_k,
+  CASE WHEN k < 10 OR k = 11 THEN -1 ELSE k END AS original_k,
+  CASE WHEN k < 10 OR k = 11 THEN -1 ELSE k END AS transformed_k,
   '1.0' AS pipeline_version, CASE WHEN k < 10 THEN 0.8 ELSE 1.0 END AS quality_score
 FROM e WHERE k NOT IN (71, 73, 79)""")
 def transformed_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,9 +144,13 @@ def transformed_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = parse.raw_events(_checked(spark, sf_dir))
     wrapped = F.to_json(F.struct(F.get_json_object("data", "$.k").cast("int").alias("payload")))
     rows = parse.transformed_data(raw, as_of(), "1.0", wrapped)
+
+    def number(column: str, path: str) -> Column:
+        return F.coalesce(F.get_json_object(column, path).cast("int"), F.lit(-1))
+
     return result(rows.select(
-        "id", "data_type", "processed_at", F.get_json_object("original_data", "$.k").cast("int").alias("original_k"),
-        F.get_json_object("transformed_data", "$.payload").cast("int").alias("transformed_k"),
+        "id", "data_type", "processed_at", number("original_data", "$.k").alias("original_k"),
+        number("transformed_data", "$.payload").alias("transformed_k"),
         "pipeline_version", "quality_score",
     ))
 
@@ -198,10 +202,11 @@ def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {OPPORTUNITY_SQL}
 SELECT id AS "Id", account_id AS "AccountId", stage_name AS "StageName", CAST(amount AS DOUBLE) AS "Amount",
-  close_date AS "CloseDate", is_won AS "IsWon", created_date AS "CreatedDate" FROM opportunities""")
+  CAST(close_date AS VARCHAR) AS "CloseDate", is_won AS "IsWon", created_date AS "CreatedDate" FROM opportunities""")
 def rename_to_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Opportunities under their API names."""
     rows = result(opportunities(spark, sf_dir).withColumn("amount", F.col("amount").cast("double")))
+    rows = rows.withColumn("close_date", F.date_format("close_date", "yyyy-MM-dd"))
     return to_api_names(rows, "Opportunity").select(
         "Id", "AccountId", "StageName", "Amount", "CloseDate", "IsWon", "CreatedDate"
     )

@@ -301,7 +301,7 @@ def lag_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {DIRTY_SQL}
-SELECT count(*) AS events_received, count(*) FILTER (n_errors = 0) AS events_processed, sum(n_errors) AS validation_errors,
+SELECT count(*) AS events_received, count(*) FILTER (n_errors = 0) AS events_processed, CAST(sum(n_errors) AS BIGINT) AS validation_errors,
   count(*) FILTER (n_errors = 0 AND kind = 'INSERT') AS records_inserted,
   count(*) FILTER (n_errors = 0 AND kind <> 'INSERT') AS history_updates,
   round(epoch(TIMESTAMP '2024-02-01' - min(ts) FILTER (n_errors = 0)), 3) AS max_latency_seconds FROM checked""")

@@ -8,11 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on; sizing is left to the cluster."""
+    """Pin what results and skew handling depend on; sizing is left to the cluster."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
 
 
+def sizing(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a job over ``input_bytes``: partitions that fit in memory with room to spill.
+
+    Adaptive execution merges shuffle partitions that turn out small, so the count errs high.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def build_session(app: str = "crmflow", cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench."""
     spark = (

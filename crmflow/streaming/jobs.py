@@ -37,6 +37,9 @@ def distinct_messages(parsed: DataFrame) -> DataFrame:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Iterable[str] = ()) -> None:
+    """Replace the output of a micro-batch; rebalancing avoids many small files and splits a
+    partition that holds most rows."""
+    df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 

@@ -142,3 +142,10 @@ def test_object_queries(spark):
     assert query.recent_changes(changed, datetime(2024, 1, 5, tzinfo=UTC), None).count() == 6
     with pytest.raises(Exception):
         query.query_accounts(df, fields=["no_such_column"]).collect()
+
+
+def test_sizing():
+    from crmflow.session import sizing
+
+    assert sizing(1)["spark.sql.shuffle.partitions"] == "200"
+    assert sizing(10 << 40)["spark.sql.shuffle.partitions"] == "81920"
