@@ -5,6 +5,8 @@ import importlib
 import compare
 import pytest
 
+from crmflow.plans.catalog import QUERIES
+
 ENTRY = importlib.import_module("__spark_entry__")
 
 
@@ -13,7 +15,7 @@ def con(sf_dir):
     return compare.duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(ENTRY.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, sf_dir, name):
     columns, rows = compare.spark_rows(ENTRY.queries()[name](spark, sf_dir))
     sql_columns, sql_rows = compare.sql_rows(con, ENTRY.oracle_sql()[name])
