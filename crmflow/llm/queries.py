@@ -1,12 +1,26 @@
 """The registered queries of this subpackage and their SQL."""
 from pyspark.sql import DataFrame, SparkSession
 
-from crmflow.llm import common, ngram_join
+from crmflow.llm import common, ngram_join, quality_model, toxicity
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(common.documents(spark, sf_dir))
 
 
-QUERIES = {x.__name__: x for x in (op7_ngram_jaccard_join,)}
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(common.documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(common.documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+QUERIES = {x.__name__: x for x in (
+    op6_quality_classifier, op7_ngram_jaccard_join, op10_toxicity,
+)}
 SQL: dict = {}

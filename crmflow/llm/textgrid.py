@@ -63,13 +63,17 @@ class Grid:
         self.doc = np.searchsorted(offsets, self.start, "right") - 1
         self.words = np.bincount(self.doc, minlength=self.n)
         self.first = np.concatenate([[0], np.cumsum(self.words)])
+        self._totals = {}
         if keys:
-            self.key = self._keys(_LOWER if lower else _PLAIN)
+            self.key = span_keys(self, self.start, self.end, lower)
 
-    def _keys(self, table):
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(table[self.data] * _power(_BASE, len(self.data)), out=total[1:])
-        return mix((total[self.end] - total[self.start]) * _power(_INVERSE, len(self.data) + 1)[self.start])
+    def totals(self, lower):
+        """Running polynomial sums over the bytes; the difference of two gives a span's hash."""
+        if lower not in self._totals:
+            total = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum((_LOWER if lower else _PLAIN)[self.data] * _power(_BASE, len(self.data)), out=total[1:])
+            self._totals[lower] = total
+        return self._totals[lower]
 
     def grams(self, n, short=False):
         """Keys of n-word windows and the text of each. With ``short``, a text of fewer words has one window."""
@@ -137,3 +141,40 @@ def grids(column, lower=True, size=CHUNK, keys=True):
     """Yields (first, last, Grid) over runs of texts."""
     for i, j, data, offsets in pieces(column, size):
         yield i, j, Grid(data, offsets, lower, keys)
+
+
+#: 0: letters, digits and all bytes above 127; 1: other printable ASCII.
+_PUNCT = np.zeros(256, bool)
+_PUNCT[33:127] = True
+for _run in (range(48, 58), range(65, 91), range(97, 123)):
+    _PUNCT[list(_run)] = False
+
+
+def tails(grid):
+    """Where each word's trailing ASCII punctuation begins (its end if there is none, its start if it is all of it)."""
+    n = len(grid.data)
+    if not n:
+        return grid.end
+    place = np.arange(n)
+    place[_PUNCT[grid.data]] = -1
+    place = np.maximum.accumulate(place)
+    return np.maximum(place[grid.end - 1] + 1, grid.start)
+
+
+def tokens(grid, lower=True):
+    """Keys of words without their trailing punctuation and of that punctuation, in text order, and the text of each."""
+    cut = tails(grid)
+    split = (cut > grid.start) & (cut < grid.end)
+    count = 1 + split.astype(np.int64)
+    at = np.cumsum(count) - count
+    start, end = np.empty(int(count.sum()), np.int64), np.empty(int(count.sum()), np.int64)
+    start[at], end[at] = grid.start, np.where(split, cut, grid.end)
+    start[at[split] + 1], end[at[split] + 1] = cut[split], grid.end[split]
+    doc = np.repeat(grid.doc, count)
+    return span_keys(grid, start, end, lower), doc, start, end
+
+
+def span_keys(grid, start, end, lower=True):
+    """Keys of the byte spans; a whole word's is the word's key."""
+    total = grid.totals(lower)
+    return mix((total[end] - total[start]) * _power(_INVERSE, len(grid.data) + 1)[start])
