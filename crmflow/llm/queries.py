@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 from pyspark.sql import DataFrame, SparkSession
 
-from crmflow.llm import common, ngram_join, quality_model, toxicity
+from crmflow.llm import common, decontaminate, ngram_join, quality_model, toxicity
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -12,6 +12,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(common.documents(spark, sf_dir), _labels(spark, sf_dir))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(common.documents(spark, sf_dir), _benchmark(spark, sf_dir))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(common.documents(spark, sf_dir), _labels(spark, sf_dir))
 
@@ -20,7 +24,11 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 QUERIES = {x.__name__: x for x in (
-    op6_quality_classifier, op7_ngram_jaccard_join, op10_toxicity,
+    op6_quality_classifier, op7_ngram_jaccard_join, op8_benchmark_decontamination, op10_toxicity,
 )}
 SQL: dict = {}
