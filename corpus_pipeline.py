@@ -1,9 +1,45 @@
 """The documents, stage by stage, to training files: STAGES in order, each on all that the one before kept."""
 from pyspark.sql import DataFrame, SparkSession
 
-from crmflow.llm import common
+from crmflow.llm import common, decontaminate, mixing, ngram_join, token_files, toxicity
 
-STAGES: list = []
+#: The mix repeats documents and drops none: rates from 1 on, towards a quarter more tokens.
+LEAST_RATE, GROWTH = 1.0, 1.25
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs, 5, 80)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_benchmark(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labelled = mixing.labelled_domains(docs, _table(spark, sf_dir, "labels"))
+    return mixing.mixed(docs, labelled, floor=LEAST_RATE, growth=GROWTH)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return token_files.encoded(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("benchmark_decontamination", drop_benchmark),
+    ("mixing", mix_domains),
+    ("token_files", write_tokens),
+]
+# Trained models, random projections and a binary file format: SQL can't express these stages.
 ORACLE_SQL = None
 
 

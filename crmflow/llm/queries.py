@@ -1,13 +1,18 @@
 """The registered queries of this subpackage and their SQL."""
 from pyspark.sql import DataFrame, SparkSession
 
-from crmflow.llm import common, decontaminate, ngram_join, quality_model, token_files, toxicity
+from crmflow.llm import common, decontaminate, mixing, ngram_join, quality_model, token_files, toxicity
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(common.documents(spark, sf_dir))
 
 
+def op1_mixing_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return mixing.rated(docs, mixing.labelled_domains(docs, _labels(spark, sf_dir)))
+
+
 def op2_token_id_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encoded(common.documents(spark, sf_dir))
 
@@ -33,6 +38,6 @@ def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {x.__name__: x for x in (
-    op2_token_id_binary_output, op6_quality_classifier, op7_ngram_jaccard_join, op8_benchmark_decontamination, op10_toxicity,
+    op1_mixing_to_target_weights, op2_token_id_binary_output, op6_quality_classifier, op7_ngram_jaccard_join, op8_benchmark_decontamination, op10_toxicity,
 )}
 SQL: dict = {}
