@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 from pyspark.sql import DataFrame, SparkSession
 
-from crmflow.llm import common, decontaminate, line_labels, mixing, ngram_join, quality_model, sharding, token_files, toxicity
+from crmflow.llm import common, decontaminate, line_labels, mixing, ngram_join, pii, quality_model, sharding, token_files, toxicity
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_token_id_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encoded(common.documents(spark, sf_dir))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(common.documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_labels.judged(common.documents(spark, sf_dir), _labels(spark, sf_dir))
 
@@ -46,6 +50,6 @@ def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {x.__name__: x for x in (
-    op1_mixing_to_target_weights, op2_token_id_binary_output, op4_quality_rules, op5_sharding, op6_quality_classifier, op7_ngram_jaccard_join, op8_benchmark_decontamination, op10_toxicity,
+    op1_mixing_to_target_weights, op2_token_id_binary_output, op3_personal_data, op4_quality_rules, op5_sharding, op6_quality_classifier, op7_ngram_jaccard_join, op8_benchmark_decontamination, op10_toxicity,
 )}
 SQL: dict = {}
