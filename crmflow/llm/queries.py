@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 from pyspark.sql import DataFrame, SparkSession
 
-from crmflow.llm import common, decontaminate, line_labels, mixing, ngram_join, pii, quality_model, sharding, token_files, toxicity
+from crmflow.llm import common, decontaminate, hpy_model, line_labels, mixing, ngram_join, pii, quality_model, sharding, token_files, toxicity
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contaminated(common.documents(spark, sf_dir), _benchmark(spark, sf_dir))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpy_model.seventh_scores(common.documents(spark, sf_dir))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(common.documents(spark, sf_dir), _labels(spark, sf_dir))
 
@@ -50,6 +54,6 @@ def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {x.__name__: x for x in (
-    op1_mixing_to_target_weights, op2_token_id_binary_output, op3_personal_data, op4_quality_rules, op5_sharding, op6_quality_classifier, op7_ngram_jaccard_join, op8_benchmark_decontamination, op10_toxicity,
+    op1_mixing_to_target_weights, op2_token_id_binary_output, op3_personal_data, op4_quality_rules, op5_sharding, op6_quality_classifier, op7_ngram_jaccard_join, op8_benchmark_decontamination, op9_language_model, op10_toxicity,
 )}
 SQL: dict = {}
