@@ -27,25 +27,40 @@ from crmflow.llm.textgrid import grids, mix
 
 DISCOUNT, STRENGTH, PARENT_DISCOUNT, PARENT_STRENGTH = 0.75, 1.0, 0.75, 1.0
 BURN, SWEEPS = 2, 4
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_500_000
 SAMPLE_DOCS, HOT_SHARE = 2000, 0.002
 END, START = np.uint64(0x1234567), np.uint64(0x7654321)
 #: Pair weights are sent as 16-bit logarithms; this code stands for 0.
 NOTHING, LOG_STEP = 65535, 2000.0
 
+
+
+def packed(x, kind) -> bytes:
+    """The bytes of an array, compressed, after their number."""
+    raw = np.ascontiguousarray(x, dtype=kind).tobytes()
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def unpacked(raw, kind):
+    n = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(pa.decompress(raw[8:], decompressed_size=n, codec="zstd", asbytes=True) if n else b"", kind)
+
+
 STATE = "chunk long, doc_ids array<long>, lengths binary, train binary, words binary, low binary, mid binary, high binary, trained long"
 
 
 def _state(chunk, ids, lengths, train, keys):
-    """A chunk as a row: its documents, its sorted word table, and word numbers in three byte planes."""
-    keys = np.concatenate(keys)
-    words, number = np.unique(np.concatenate([keys, [START, END]]), return_inverse=True)
-    number = number[:-2].astype(np.uint32)
+    """A chunk as a row: its documents, its word table (frequent words first), and word numbers in three byte planes."""
+    words, number, count = np.unique(np.concatenate([*keys, [START, END]]), return_inverse=True, return_counts=True)
+    order = np.argsort(-count, kind="stable")
+    rank = np.empty(len(words), np.uint32)
+    rank[order] = np.arange(len(words))
+    words, number = words[order], rank[number[:-2]]
     lengths, train = np.concatenate(lengths), np.concatenate(train)
-    planes = [((number >> np.uint32(s)) & np.uint32(255)).astype(np.uint8).tobytes() for s in (0, 8, 16)]
+    planes = [packed((number >> np.uint32(s)) & np.uint32(255), np.uint8) for s in (0, 8, 16)]
     if len(words) > 1 << 24:
         raise ValueError("a chunk has more words than its number planes hold")
-    row = [chunk, ids, lengths.astype("<i8").tobytes(), train.astype(np.int8).tobytes(), words.tobytes(), *planes, int((lengths * train).sum())]
+    row = [chunk, ids, packed(lengths, "<i8"), packed(train, np.int8), words.tobytes(), *planes, int((lengths * train).sum())]
     kinds = [pa.int64(), pa.list_(pa.int64()), *(pa.binary(),) * 6, pa.int64()]
     return pa.record_batch([pa.array([v], k) for v, k in zip(row, kinds)], names=[x.split()[0] for x in STATE.split(", ")])
 
@@ -76,19 +91,24 @@ class Chunk:
     """A chunk read back: tokens, pairs, and where each pair's seat group goes. Twice the same for the same row and layout."""
 
     def __init__(self, row, hot, buckets, vocabulary_only=False):
-        self.row = row
-        self.lengths = np.frombuffer(row["lengths"], "<i8")
+        self.lengths = unpacked(row["lengths"], "<i8")
         self.words = np.frombuffer(row["words"], np.uint64)
-        planes = [np.frombuffer(row[x], np.uint8).astype(np.int64) for x in ("low", "mid", "high")]
-        self.word = planes[0] | planes[1] << 8 | planes[2] << 16
-        before = np.empty_like(self.word)
-        before[1:] = self.word[:-1]
-        before[np.cumsum(self.lengths) - self.lengths] = np.searchsorted(self.words, START)
-        self.learnt = np.repeat(np.frombuffer(row["train"], np.int8), self.lengths)
-        n = len(self.words)
-        code, self.pair = np.unique(before * n + self.word, return_inverse=True)
-        self.left, self.right = code // n, code % n
-        self.count = np.bincount(self.pair, weights=self.learnt, minlength=len(code)).astype(np.int64)
+        word = np.zeros(int(self.lengths.sum()), np.int32)
+        for shift, plane in ((0, "low"), (8, "mid"), (16, "high")):
+            word |= unpacked(row[plane], np.uint8).astype(np.int32) << shift
+        self.word, n = word, len(self.words)
+        code = np.empty(len(word), np.int64)
+        code[1:] = word[:-1]
+        code[np.cumsum(self.lengths) - self.lengths] = np.flatnonzero(self.words == START)[0]
+        code *= n
+        code += word
+        self.learnt = np.repeat(unpacked(row["train"], np.int8), self.lengths)
+        code, pair = np.unique(code, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        del pair
+        self.left, self.right = (code // n).astype(np.int32), (code % n).astype(np.int32)
+        del code
+        self.count = np.bincount(self.pair, weights=self.learnt, minlength=len(self.left)).astype(np.int64)
         if vocabulary_only:
             return
         # Seat groups: contexts, or parts of frequent ones. Every part of a frequent context is asked, with or without pairs.
@@ -108,21 +128,20 @@ class Chunk:
         rank = np.empty(len(groups), np.int64)
         rank[self.group_order] = np.arange(len(groups))
         place = rank[first[self.left] + part]
-        self.short = (self.words >> np.uint64(24)).astype(np.int64)
+        self.short = (self.words >> np.uint64(32)).astype(np.int64)
         self.pair_order = np.lexsort((self.short[self.right], place))
         self.group_left, self.group_key, self.group_bucket = groups[self.group_order], key[self.group_order], bucket[self.group_order]
         self.pair_group = place[self.pair_order]
         self.edges = np.searchsorted(self.group_bucket, np.arange(buckets + 1))
 
     def requests(self):
-        """(bucket, packed group keys, pairs of each group, 40-bit word keys of the pairs, training counts)."""
+        """(bucket, group keys, pairs of each group, 32-bit word keys of the pairs, training counts)."""
         short, count = self.short[self.right[self.pair_order]], self.count[self.pair_order]
         for b in np.flatnonzero(np.diff(self.edges)):
             low, high = self.edges[b], self.edges[b + 1]
             x, y = np.searchsorted(self.pair_group, [low, high])
             size = np.bincount(self.pair_group[x:y] - low, minlength=high - low)
-            packed = short[x:y].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-            yield int(b), self.group_key[low:high].tobytes(), size.astype(np.uint32).tobytes(), packed.tobytes(), count[x:y].astype(np.uint32).tobytes()
+            yield int(b), self.group_key[low:high].tobytes(), packed(size, np.uint32), short[x:y].astype("<u4").tobytes(), packed(count[x:y], np.uint32)
 
 
 def seat(customers, weight, discount, draw):
@@ -168,21 +187,16 @@ def _sampled(group, short, count, groups, seed):
 def _merged(rows):
     """Merges one bucket's requests, samples, and yields each chunk's answer."""
     keys = [np.frombuffer(r["groups"], np.uint64) for r in rows]
-    sizes = [np.frombuffer(r["sizes"], np.uint32).astype(np.int64) for r in rows]
-    shorts = []
-    for r in rows:
-        raw = np.frombuffer(r["pairs"], np.uint8).reshape(-1, 5)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :5] = raw
-        shorts.append(wide.view("<u8").ravel().astype(np.int64))
-    counts = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows]).astype(np.int64)
+    sizes = [unpacked(r["sizes"], np.uint32).astype(np.int64) for r in rows]
+    counts = np.concatenate([unpacked(r["counts"], np.uint32) for r in rows])
+    shorts = [np.frombuffer(r["pairs"], "<u4") for r in rows]
     every, place = np.unique(np.concatenate(keys), return_inverse=True)
     owner = np.repeat(place, np.concatenate(sizes))
     short = np.concatenate(shorts)
     order = np.lexsort((short, owner))
     new = np.ones(len(order), bool)
     new[1:] = (owner[order][1:] != owner[order][:-1]) | (short[order][1:] != short[order][:-1])
-    entry = np.empty(len(order), np.int64)
+    entry = np.empty(len(order), np.int32)
     entry[order] = np.cumsum(new) - 1
     head = order[new]
     total = np.bincount(entry, weights=counts, minlength=len(head)).astype(np.int64)
@@ -193,7 +207,7 @@ def _merged(rows):
     for r, k, s in zip(rows, keys, sizes):
         n, g = int(s.sum()), len(k)
         own = place[group_at:group_at + g]
-        yield r["chunk"], r["bucket"], coded[entry[at:at + n]].tobytes(), customers[own].astype("<i8").tobytes(), group_tables[own].astype("<f4").tobytes()
+        yield r["chunk"], r["bucket"], packed(coded[entry[at:at + n]], np.uint16), packed(customers[own], "<i8"), packed(group_tables[own], "<f4")
         at, group_at = at + n, group_at + g
 
 
@@ -201,7 +215,9 @@ def _by(batches, key):
     """Rows of one value of ``key`` at a time, from batches sorted by it."""
     held, value = [], None
     for batch in batches:
-        for row in batch.to_pylist():
+        # Row by row: a batch may hold many packed arrays.
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
             if held and row[key] != value:
                 yield value, held
                 held = []
@@ -269,14 +285,14 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
                 edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(edges)):
                     own = order[edges[b]:edges[b + 1]]
-                    yield _table([(row["chunk"], int(b), chunk.words[own].tobytes(), count[own].astype("<i8").tobytes(), contexts[own].astype("<u4").tobytes())], ["chunk", "bucket", "words", "counts", "contexts"], [pa.int64(), pa.int32(), *(pa.binary(),) * 3])
+                    yield _table([(row["chunk"], int(b), chunk.words[own].tobytes(), packed(count[own], "<i8"), packed(contexts[own], "<u4"))], ["chunk", "bucket", "words", "counts", "contexts"], [pa.int64(), pa.int32(), *(pa.binary(),) * 3])
 
     def count_words(batches):
         for b, rows in _by(batches, "bucket"):
             keys = [np.frombuffer(r["words"], np.uint64) for r in rows]
             every, place = np.unique(np.concatenate(keys), return_inverse=True)
-            count = np.bincount(place, weights=np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows]), minlength=len(every)).astype(np.int64)
-            customers = np.bincount(place, weights=np.concatenate([np.frombuffer(r["contexts"], "<u4") for r in rows]), minlength=len(every)).astype(np.int64)
+            count = np.bincount(place, weights=np.concatenate([unpacked(r["counts"], "<i8") for r in rows]), minlength=len(every)).astype(np.int64)
+            customers = np.bincount(place, weights=np.concatenate([unpacked(r["contexts"], "<u4") for r in rows]), minlength=len(every)).astype(np.int64)
             known = int((count > 0).sum())
             draw, tables = np.random.default_rng(b), np.zeros(len(every))
             now = np.minimum(customers, 1).astype(np.float64)
@@ -292,7 +308,7 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
                 own = place[at:at + len(keys[k])]
                 at += len(keys[k])
                 sums = (known, int(customers.sum()), float(tables.sum())) if k == 0 else (0, 0, 0.0)
-                yield _table([(r["chunk"], 1, b, count[own].astype("<i8").tobytes(), weight[own].astype("<f4").tobytes(), b"", *sums)], ["chunk", "kind", "bucket", "a", "b", "c", "known", "customers", "tables"], [pa.int64(), pa.int32(), pa.int32(), *(pa.binary(),) * 3, pa.int64(), pa.int64(), pa.float64()])
+                yield _table([(r["chunk"], 1, b, packed(count[own], "<i8"), packed(weight[own], "<f4"), b"", *sums)], ["chunk", "kind", "bucket", "a", "b", "c", "known", "customers", "tables"], [pa.int64(), pa.int32(), pa.int32(), *(pa.binary(),) * 3, pa.int64(), pa.int64(), pa.float64()])
 
     answer = "chunk long, kind int, bucket int, a binary, b binary, c binary"
     asked = state.mapInArrow(ask_words, "chunk long, bucket int, words binary, counts binary, contexts binary")
@@ -305,20 +321,20 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
     def finish(batches):
         for _, rows in _by(batches, "chunk"):
             rows.sort(key=lambda r: (r["kind"], r["bucket"]))
-            chunk = Chunk(rows[-1], hot.value, buckets)
+            chunk, ids = Chunk(rows[-1], hot.value, buckets), rows[-1]["doc_ids"]
             n = len(chunk.words)
             own = [r for r in rows if r["kind"] == 0]
-            coded = np.concatenate([np.frombuffer(r["a"], np.uint16) for r in own])
+            coded = np.concatenate([unpacked(r["a"], np.uint16) for r in own])
             weight = np.empty(len(coded))
             weight[chunk.pair_order] = np.where(coded == NOTHING, 0, np.exp(coded / LOG_STEP - 5))
             # Parts of a context are summed.
-            context_customers = np.bincount(chunk.group_left, weights=np.concatenate([np.frombuffer(r["b"], "<i8") for r in own]), minlength=n)
-            context_tables = np.bincount(chunk.group_left, weights=np.concatenate([np.frombuffer(r["c"], "<f4") for r in own]), minlength=n)
+            context_customers = np.bincount(chunk.group_left, weights=np.concatenate([unpacked(r["b"], "<i8") for r in own]), minlength=n)
+            context_tables = np.bincount(chunk.group_left, weights=np.concatenate([unpacked(r["c"], "<f4") for r in own]), minlength=n)
             own = [r for r in rows if r["kind"] == 1]
             order = np.argsort((mix(chunk.words) >> np.uint64(40)).astype(np.int64) % buckets, kind="stable")
             count, parent = np.zeros(n, np.int64), np.zeros(n)
-            count[order] = np.concatenate([np.frombuffer(r["a"], "<i8") for r in own])
-            parent[order] = np.concatenate([np.frombuffer(r["b"], "<f4") for r in own])
+            count[order] = np.concatenate([unpacked(r["a"], "<i8") for r in own])
+            parent[order] = np.concatenate([unpacked(r["b"], "<f4") for r in own])
             parent = (parent + (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)) / (PARENT_STRENGTH + customers)
             left = chunk.left
             chance = (weight + (STRENGTH + DISCOUNT * context_tables[left]) * parent[chunk.right]) / (STRENGTH + context_customers[left])
@@ -326,7 +342,7 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
             base = np.log10((count + 1) / (trained + known + 1))[chunk.word]
             doc = np.repeat(np.arange(len(chunk.lengths)), chunk.lengths)
             out = [np.bincount(doc, weights=x, minlength=len(chunk.lengths)) for x in ((count > 0)[chunk.word], base, score)]
-            yield pa.record_batch([pa.array(rows[-1]["doc_ids"], pa.int64()), pa.array(chunk.lengths), pa.array(out[0].astype(np.int64)), pa.array(out[1]), pa.array(out[2])], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(chunk.lengths), pa.array(out[0].astype(np.int64)), pa.array(out[1]), pa.array(out[2])], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     nothing = [F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in STATE.split(", ")[1:]]
     answers = pairs.unionByName(words.select("chunk", "kind", "bucket", "a", "b", "c")).select("*", *nothing)
