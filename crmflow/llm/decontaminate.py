@@ -3,7 +3,8 @@
 Terms are words (A-Z lowered, without trailing punctuation). A randomised SVD of TF-IDF passages (all benchmark items and a
 bounded, hash-chosen sample of corpus passages) gives the latent space: each power step ``A'(A Q)`` is summed by term over
 Spark tasks, and only the thin basis is orthonormalised on the driver. Document frequencies are counted over all
-documents; a term of more than ``MAX_SHARE`` of them has weight 0. Every window of every document is mapped to the latent
+documents; a term of more than ``MAX_SHARE`` of them (and of ``LEAST_COMMON``)
+has weight 0, unless it is one of an item's ``OWN_TERMS`` rarest. Every window of every document is mapped to the latent
 space; a window is a candidate of an item if it has at least ``MASS`` of the item's latent weight and their cosine is at
 least ``COSINE``. A candidate is checked on its words: the longest common subsequence (LCS) of item and window. An item is found
 if the LCS covers ``WHOLE`` of it, or ``PART`` of it with its answer: its last words, ``ANSWER`` of them in order. Each item has
@@ -23,7 +24,7 @@ from crmflow.llm.common import texts, workers_see_package
 from crmflow.llm.textgrid import grids, span_keys, tails
 
 RANK, STEPS, PASSAGES, PASSAGE_WORDS = 128, 3, 1024, 48
-MAX_SHARE, MASS, COSINE = 0.05, 0.45, 0.4
+MAX_SHARE, LEAST_COMMON, OWN_TERMS, MASS, COSINE = 0.05, 100, 4, 0.45, 0.4
 WHOLE, PART, ANSWER, ANSWER_WORDS = 0.75, 0.5, 0.75, 8
 
 
@@ -204,7 +205,11 @@ def build(docs: DataFrame, benchmark: DataFrame):
     latent, vectors = np.zeros((len(terms), 0)), np.zeros((len(items), 0))
     if len(terms) and items:
         rows, count = _frequencies(source, terms)
-        weight = np.where(count > max(MAX_SHARE * rows, 1), 0.0, np.log((rows + 1) / (count + 1)) + 1)
+        common = count > max(MAX_SHARE * rows, LEAST_COMMON)
+        for keys in items:
+            place = np.unique(np.searchsorted(terms, keys))
+            common[place[np.argsort(count[place], kind="stable")[:OWN_TERMS]]] = False
+        weight = np.where(common, 0.0, np.log((rows + 1) / (count + 1)) + 1)
         sparse = []
         for keys in everything:
             place, n = np.unique(np.searchsorted(terms, keys), return_counts=True)
