@@ -65,9 +65,3 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if its counted ``rows`` are few; else as it is, for a shuffled join."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
-
-def dropped(df: DataFrame) -> None:
-    """Removes the files of a table made by ``saved`` that nothing reads any more."""
-    for path in {x.rpartition("/")[0] for x in df.inputFiles()}:
-        jpath = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jpath, True)

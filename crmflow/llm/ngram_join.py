@@ -12,6 +12,7 @@ pairs below the bound.
 The number of column blocks follows the size of the smaller set: sizes are cut into intervals so that linked sets lie in
 the same or in neighbouring intervals, and a row has the slices of its own interval and of the one below. A row with an
 empty slice would meet all others with that slice empty; it has the slices of a second, independent dealing instead.
+Slices are sent as packed arrays, one for each batch and bucket of keys.
 
 Skew: equal sets are one row of the matrix (a class). In each batch rows with a slice in common are linked to the first
 of them, and only that one is sent on, so a slice that a third of all rows have arrives once per batch. Families are cut
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crmflow.llm.common import dropped, saved, small_side, spread, texts
+from crmflow.llm.common import saved, small_side, spread, texts
 from crmflow.llm.components import components
 from crmflow.llm.textgrid import grids, mix
 
@@ -37,8 +38,6 @@ BLOCK_GRAMS = 1 << 20
 #: A column in more rows of a block pair than this is multiplied densely.
 DENSE = 48
 
-PASS = "kind byte, a long, b long, c long, n int"
-
 
 def intervals(percent: int, most: int = 1 << 31) -> np.ndarray:
     """Lower ends of the size intervals: sets that link lie in one interval or in neighbouring ones."""
@@ -100,40 +99,99 @@ def _signed(x):
     return x.astype(np.uint64, copy=False).view(np.int64)
 
 
-def _scan(n, percent, seed):
+def _sets(batch, column, n, seed):
+    """(first, last, n-grams, their texts, sizes, nodes, second signatures) over runs of a batch's texts."""
+    for i, j, grid in grids(batch.column(column)):
+        value, doc = gram_sets(grid, n)
+        size = np.bincount(doc, minlength=j - i)
+        ends = np.cumsum(size)
+        sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(value + np.uint64(s)))]) for s in (seed, seed + 77)]
+        node, check = (_signed(mix(s[ends] - s[ends - size] + size.astype(np.uint64))) for s in sums)
+        yield i, j, value, doc, size, node, check
+
+
+def _scan(n, seed):
     def scan(batches):
         for batch in batches:
-            ids, text = batch.column(0), batch.column(1)
-            keys, nodes, out = [], [], []
-            for i, j, grid in grids(text):
-                value, doc = gram_sets(grid, n)
-                size = np.bincount(doc, minlength=j - i)
-                ends = np.cumsum(size)
-                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(value + np.uint64(s)))]) for s in (seed, seed + 77)]
-                node, check = (_signed(mix(s[ends] - s[ends - size] + size.astype(np.uint64))) for s in sums)
-                out.append((0, ids.slice(i, j - i), node, check, size))
+            for i, j, _, _, size, node, check in _sets(batch, 1, n, seed):
+                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(node), pa.array(check), pa.array(size.astype(np.int32))], names=["doc_id", "node", "c", "n"])
+    return scan
+
+
+def _slice_scan(n, percent, seed, buckets):
+    """A batch's slice keys by bucket: the low 48 bits (the bucket is drawn from others), sorted, and the place of each row's node."""
+    def scan(batches):
+        for batch in batches:
+            keys, nodes = [], []
+            for _, _, value, doc, size, node, _ in _sets(batch, 0, n, seed):
                 if len(value):
                     key, owner = slice_keys(value, doc, size, percent)
                     keys.append(key)
                     nodes.append(node[owner])
-            for kind, a, b, c, size in out:
-                yield pa.record_batch([pa.array(np.full(len(b), kind, np.int8)), a, pa.array(b), pa.array(c), pa.array(size.astype(np.int32))], names=["kind", "a", "b", "c", "n"])
-            if keys:
-                key, node = np.concatenate(keys), np.concatenate(nodes)
-                order = np.argsort(key, kind="stable")
-                key, node = key[order], node[order]
-                first = np.ones(len(key), bool)
-                first[1:] = key[1:] != key[:-1]
-                lead = node[first][np.cumsum(first) - 1]
-                near = np.flatnonzero(lead != node)
-                pairs = np.unique(np.stack([lead[near], node[near]], 1), axis=0) if len(near) else np.empty((0, 2), np.int64)
-                for kind, a, b in ((1, _signed(key[first]), node[first]), (2, pairs[:, 0], pairs[:, 1])):
-                    if len(a):
-                        nothing = pa.nulls(len(a), pa.int64())
-                        yield pa.record_batch([pa.array(np.full(len(a), kind, np.int8)), pa.array(np.ascontiguousarray(a)), pa.array(np.ascontiguousarray(b)), nothing, pa.nulls(len(a), pa.int32())], names=["kind", "a", "b", "c", "n"])
+            if not keys:
+                continue
+            key, node = np.concatenate(keys), np.concatenate(nodes)
+            bucket = (mix(key) >> np.uint64(40)).astype(np.int64) % buckets
+            order = np.lexsort((key, bucket))
+            key, node, bucket = key[order], node[order], bucket[order]
+            first = np.ones(len(key), bool)
+            first[1:] = key[1:] != key[:-1]
+            lead = node[first][np.cumsum(first) - 1]
+            near = np.flatnonzero(lead != node)
+            pairs = np.unique(np.stack([lead[near], node[near]], 1), axis=0) if len(near) else np.empty((0, 2), np.int64)
+            key, node, bucket = key[first], node[first], bucket[first]
+            edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            for k in np.flatnonzero(np.diff(edges)).tolist():
+                own = slice(edges[k], edges[k + 1])
+                names, place = np.unique(node[own], return_inverse=True)
+                short = key[own].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+                yield _row([k, short, place.astype("<u2" if len(names) <= 1 << 16 else "<u4").tobytes(), names.tobytes(), pairs[:, 0].tobytes(), pairs[:, 1].tobytes()])
+                pairs = pairs[:0]
     return scan
 
 
+def _row(values):
+    return pa.record_batch([pa.array([values[0]], pa.int32()), *(pa.array([v], pa.binary()) for v in values[1:])], names=["bucket", "keys", "place", "nodes", "a", "b"])
+
+
+def _stars(batches):
+    """Edges from the first node to the others of each slice key, for one bucket after the other."""
+    held, at = [], None
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
+            if held and row["bucket"] != at:
+                yield from _star(held)
+                held = []
+            at = row["bucket"]
+            held.append(row)
+    if held:
+        yield from _star(held)
+
+
+def _star(rows):
+    key, node = [], []
+    left, right = ([np.frombuffer(r[x], np.int64) for r in rows] for x in "ab")
+    for r in rows:
+        raw = np.frombuffer(r["keys"], np.uint8).reshape(-1, 6)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, :6] = raw
+        names = np.frombuffer(r["nodes"], np.int64)
+        key.append(wide.view("<u8").ravel())
+        node.append(names[np.frombuffer(r["place"], "<u2" if len(names) <= 1 << 16 else "<u4")])
+    key, node = np.concatenate(key), np.concatenate(node)
+    order = np.argsort(key, kind="stable")
+    key, node = key[order], node[order]
+    first = np.ones(len(key), bool)
+    first[1:] = key[1:] != key[:-1]
+    lead = node[first][np.cumsum(first) - 1]
+    near = np.flatnonzero(lead != node)
+    pairs = np.stack([np.concatenate([*left, lead[near]]), np.concatenate([*right, node[near]])], 1)
+    pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
+    if len(pairs):
+        yield pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+
 def overlaps(sets: list) -> np.ndarray:
     """Overlap counts of all rows: the product of their incidence matrix with its transpose."""
     rows = len(sets)
@@ -239,17 +297,16 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     """doc_id, n_shingles, component_id and class_id of every row of ``docs`` (see the module's text)."""
     source = texts(docs)
     for seed in range(1, 9):
-        first = saved(source.mapInArrow(_scan(n, percent, seed), PASS), "rows")
-        rows = first.where("kind = 0").selectExpr("a as doc_id", "if(n > 0, b, null) as node", "c", "n")
+        rows = saved(source.mapInArrow(_scan(n, seed), "doc_id long, node long, c long, n int"), "rows")
+        rows = rows.withColumn("node", F.when(F.col("n") > 0, F.col("node")))
         classes = saved(rows.where("node is not null").groupBy("node").agg(
             F.min("doc_id").alias("least"), F.max("n").alias("n"), (F.min("c") != F.max("c")).alias("clash")), "classes")
         if not classes.where("clash").limit(1).count():
             break
-    star = Window.partitionBy("a")
-    edges = first.where("kind = 1").select("a", "b").withColumn("low", F.min("b").over(star)).where("b <> low")
-    edges = saved(edges.select(F.col("low").alias("a"), "b").unionByName(first.where("kind = 2").select("a", "b")).distinct(), "edges")
-    rows = saved(rows.drop("c"), "rows")
-    dropped(first)
+    buckets = spread(source)
+    slices = source.select("text").mapInArrow(_slice_scan(n, percent, seed, buckets), "bucket int, keys binary, place binary, nodes binary, a binary, b binary")
+    edges = slices.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_stars, "a long, b long")
+    rows = rows.drop("c")
     families = components(edges)
     families = families.join(classes.select("node", "least", "n"), "node").withColumnRenamed("component", "fam")
     families = saved(families, "families")
@@ -277,10 +334,12 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component: the first of the least doc_id. Rows without doc_id, or without n-grams, stay."""
     found = jaccard_components(docs, n, percent)
-    gone = found.where("n_shingles > 0 and doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = saved(found, "found")
+    gone = saved(found.where("n_shingles > 0 and doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    kept = docs.join(small_side(gone, gone.count()), docs["doc_id"] == F.col("_gone"), "left_anti")
     many = saved(found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
     if not many.limit(1).count():
         return kept
+    many = small_side(many, many.count())
     once = kept.join(many, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
     return kept.join(many, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
