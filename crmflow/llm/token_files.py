@@ -235,7 +235,7 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         if total:
             yield _segment(shard, first, np.concatenate(held), names, np.concatenate(sizes))
 
-    ordered = texts(docs).repartitionByRange(spread(docs), "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = texts(docs).repartitionByRange(spread(docs), "doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(encode, SEGMENTS).write.option("compression", "zstd").parquet(path)
 
 
