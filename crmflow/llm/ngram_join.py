@@ -10,8 +10,10 @@ overlap counts (dense products for frequent columns, sparse ones for rare column
 pairs below the bound.
 
 The number of column blocks follows the size of the smaller set: sizes are cut into intervals so that linked sets lie in
-the same or in neighbouring intervals, and a row has the slices of its own interval and of the one below. A row with an
-empty slice would meet all others with that slice empty; it has the slices of a second, independent dealing instead.
+the same or in neighbouring intervals, and a row has the slices of its own interval and of the one below. Empty slices say
+nothing: there are some blocks to spare, so that a full one with n-grams remains; a row with more empty slices than that
+has the slices of a second, independent dealing too. N-grams of passages that many documents share would tie unrelated rows
+together; they are left out of the slices of rows that have enough others (leaving columns out adds no differences).
 Slices are sent as packed arrays, one for each batch and bucket of keys.
 
 Skew: equal sets are one row of the matrix (a class). In each batch rows with a slice in common are linked to the first
@@ -37,6 +39,8 @@ BLOCK_DOCS = 1024
 BLOCK_GRAMS = 1 << 20
 #: A column in more rows of a block pair than this is multiplied densely.
 DENSE = 48
+#: Texts and n-grams of the sample that shows common n-grams, and in how many of the texts those are.
+SAMPLE_DOCS, MOST_COMMON, COMMON = 4000, 500_000, 3
 
 
 def intervals(percent: int, most: int = 1 << 31) -> np.ndarray:
@@ -75,26 +79,55 @@ def _slices(value, doc, size, low, blocks, back, seed):
     return mix(total + mix(name.astype(np.uint64))), owner, ~filled
 
 
-def slice_keys(value, doc, size, percent):
-    """All slice keys of the rows and the row of each."""
+def slice_keys(value, doc, size, percent, common):
+    """All slice keys of the rows and the row of each. ``common``: sorted n-grams that are left out where enough others remain."""
     low = intervals(percent)
-    top = low[1:] - 1
-    blocks = top * (100 - percent) // percent + 1
+    most = (low[1:] - 1) * (100 - percent) // percent
+    spare = most // 5 + 4
+    blocks = most + 1 + spare
+    if len(common):
+        own = common[np.minimum(np.searchsorted(common, value), len(common) - 1)] != value
+    else:
+        own = np.ones(len(value), bool)
+    left = np.bincount(doc[own], minlength=len(size))
+    # Two sets that link differ in at most size * (100 - percent) / percent n-grams, whichever size that is, so that one of
+    # these two choices is made for both of them.
+    some = 4 * left >= size
+    whole = left < size / 4 + 1.25 * size * (100 - percent) / percent + 1
     keys, owners = [], []
-    for back in (0, 1):
-        key, owner, empty = _slices(value, doc, size, low, blocks, back, 1)
-        keys.append(key[~empty])
-        owners.append(owner[~empty])
-        if empty.any():
-            again = np.zeros(len(size), bool)
-            again[owner[empty]] = True
-            own = again[doc]
-            key, owner, _ = _slices(value[own], doc[own], np.where(again, size, 0), low, blocks, back, 2)
-            keys.append(key)
-            owners.append(owner)
+    for chosen, mine, seed in ((some, own, 1), (whole & (left < size), np.ones(len(value), bool), 3)):
+        kept = mine & chosen[doc]
+        for back in (0, 1):
+            wanted = chosen
+            for level in (seed, seed + 1):
+                has = kept & wanted[doc]
+                key, owner, empty = _slices(value[has], doc[has], np.where(wanted, size, 0), low, blocks, back, level)
+                # Without empty slices one equal slice remains for sure, unless both rows have more empty ones than are to spare.
+                at = np.maximum(np.searchsorted(low, size, "right") - 1 - back, 0)
+                many = np.bincount(owner[empty], minlength=len(size)) > spare[at]
+                use = ~empty if level == seed else np.ones(len(key), bool)
+                keys.append(key[use])
+                owners.append(owner[use])
+                wanted = many
+                if not many.any():
+                    break
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def common_grams(source: DataFrame, n: int) -> np.ndarray:
+    """n-grams of at least ``COMMON`` different texts of a bounded sample. Which ones they are changes the layout, not the links."""
+    chosen = source.select(F.col("doc_id").alias("id")).where("id is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
+
+    def count(batches):
+        for batch in batches:
+            for _, _, grid in grids(batch.column(0)):
+                yield pa.record_batch([pa.array(_signed(gram_sets(grid, n)[0]))], names=["g"])
+
+    sampled = source.join(F.broadcast(chosen), F.col("doc_id") == F.col("id"), "left_semi").select("text").distinct()
+    found = sampled.mapInArrow(count, "g long").groupBy("g").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "g").limit(MOST_COMMON).select("g").toPandas()
+    return np.sort(found["g"].to_numpy(np.int64).view(np.uint64))
+
+
 def _signed(x):
     return x.astype(np.uint64, copy=False).view(np.int64)
 
@@ -118,14 +151,14 @@ def _scan(n, seed):
     return scan
 
 
-def _slice_scan(n, percent, seed, buckets):
+def _slice_scan(n, percent, seed, buckets, common):
     """A batch's slice keys by bucket: the low 48 bits (the bucket is drawn from others), sorted, and the place of each row's node."""
     def scan(batches):
         for batch in batches:
             keys, nodes = [], []
             for _, _, value, doc, size, node, _ in _sets(batch, 0, n, seed):
                 if len(value):
-                    key, owner = slice_keys(value, doc, size, percent)
+                    key, owner = slice_keys(value, doc, size, percent, common.value)
                     keys.append(key)
                     nodes.append(node[owner])
             if not keys:
@@ -304,7 +337,8 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
         if not classes.where("clash").limit(1).count():
             break
     buckets = spread(source)
-    slices = source.select("text").mapInArrow(_slice_scan(n, percent, seed, buckets), "bucket int, keys binary, place binary, nodes binary, a binary, b binary")
+    common = source.sparkSession.sparkContext.broadcast(common_grams(source, n))
+    slices = source.select("text").mapInArrow(_slice_scan(n, percent, seed, buckets, common), "bucket int, keys binary, place binary, nodes binary, a binary, b binary")
     edges = slices.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_stars, "a long, b long")
     rows = rows.drop("c")
     families = components(edges)
