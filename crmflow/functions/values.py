@@ -122,11 +122,14 @@ def changed_fields(
     skipped = set(skip)
     dtype = df.schema[before].dataType
     if isinstance(dtype, T.StructType):
-        both = {f.name for f in dtype.fields} & {f.name for f in df.schema[after].dataType.fields}
-        names = sorted((set(tracked) if tracked else both) - skipped)
-        differs = [
-            F.when(~F.col(before)[n].eqNullSafe(F.col(after)[n]), F.lit(n)) for n in names if n in both
-        ]
+        sides = {s: set(df.schema[s].dataType.fieldNames()) for s in (before, after)}
+        known = sides[before] | sides[after]
+        names = sorted((set(tracked) if tracked else known) - skipped)
+
+        def value(side: str, name: str) -> Column:
+            return F.col(side)[name] if name in sides[side] else F.lit(None)
+
+        differs = [F.when(~value(before, n).eqNullSafe(value(after, n)), F.lit(n)) for n in names if n in known]
         return F.array_compact(F.array(*differs)) if differs else F.array().cast("array<string>")
     wanted = set(tracked) - skipped if tracked else None
 

@@ -235,11 +235,11 @@ def snapshot_diff(
     """Change events between two snapshots: record_id, event_type, changed_fields, before, after.
 
     Repeated keys inside a snapshot fold to one row first, which also keeps the join one to one.
-    Snapshots must have orderable columns.
+    Snapshots must have orderable columns. A column of one snapshot only counts as null in the other.
     """
-    names = [c for c in before.columns if c != key]
 
     def states(df: DataFrame, alias: str) -> DataFrame:
+        names = [c for c in df.columns if c != key]
         return df.groupBy(key).agg(F.max(F.struct(key, *names)).alias(alias))
 
     both = states(before, "before").join(states(after, "after"), key, "full_outer")

@@ -41,7 +41,9 @@ def query_object(
     where: Column | str | None = None,
     **id_filters,
 ) -> DataFrame:
-    """Query one object: all filters apply, then newest first, then the limit, then the fields.
+    """Query one object: all filters apply, then newest first up to the limit, then the fields.
+
+    Without a limit all rows are returned, unordered; ``DEFAULT_LIMITS`` has each object's usual one.
 
     Keyword filters name an id column and give its allowed values, for example
     ``account_id=[...]``; several are ANDed. None means unfiltered.
@@ -51,28 +53,28 @@ def query_object(
             df = restrict(df, column, ids)
     if where is not None:
         df = df.where(where)
-    top = newest(df, DEFAULT_LIMITS[object_name] if limit is None else limit)
+    top = df if limit is None else newest(df, limit)
     own = [n for n in OBJECTS[object_name].field_names if n in df.columns]
     return top.select(*(fields or own))
 
 
-def query_accounts(df, limit=1000, fields=None, where=None) -> DataFrame:
+def query_accounts(df, limit=None, fields=None, where=None) -> DataFrame:
     return query_object(df, "Account", limit, fields, where)
 
 
-def query_contacts(df, limit=5000, account_ids=None) -> DataFrame:
+def query_contacts(df, limit=None, account_ids=None) -> DataFrame:
     return query_object(df, "Contact", limit, account_id=account_ids)
 
 
-def query_opportunities(df, limit=2000, account_ids=None) -> DataFrame:
+def query_opportunities(df, limit=None, account_ids=None) -> DataFrame:
     return query_object(df, "Opportunity", limit, account_id=account_ids)
 
 
-def query_cases(df, limit=1000, account_ids=None, contact_ids=None) -> DataFrame:
+def query_cases(df, limit=None, account_ids=None, contact_ids=None) -> DataFrame:
     return query_object(df, "Case", limit, account_id=account_ids, contact_id=contact_ids)
 
 
-def recent_changes(df: DataFrame, since, limit: int | None = 1000) -> DataFrame:
+def recent_changes(df: DataFrame, since, limit: int | None = None) -> DataFrame:
     """Rows changed at or after ``since``, oldest first; without a limit, unordered."""
     rows = df.where(F.col("last_modified_date") >= since)
     return rows if limit is None else rows.orderBy("last_modified_date", "id").limit(limit)

@@ -30,23 +30,22 @@ def query_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {ACCOUNT_SQL}, {OPPORTUNITY_SQL}
 SELECT id, account_id, stage_name, CAST(amount AS DOUBLE) AS amount, created_date FROM opportunities
-WHERE account_id IN (SELECT id FROM accounts WHERE type = 'Partner') ORDER BY created_date DESC, id LIMIT 2000""")
+WHERE account_id IN (SELECT id FROM accounts WHERE type = 'Partner')""")
 def query_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Opportunities of all partner accounts, at the default limit."""
+    """Opportunities of all partner accounts."""
     partners = accounts(spark, sf_dir).where(F.col("type") == "Partner").select("id")
     found = q.query_opportunities(opportunities(spark, sf_dir), account_ids=partners)
     return result(found.select("id", "account_id", "stage_name", F.col("amount").cast("double").alias("amount"), "created_date"))
 
 
 @query(f"""WITH {CASE_SQL}
-SELECT DISTINCT id, account_id, contact_id FROM (SELECT * FROM cases
+SELECT DISTINCT id, account_id, contact_id FROM cases
   WHERE account_id IN ('001000000000000001', '001000000000000002', '001000000000000003')
-    AND contact_id IN ('003000000000000002', '003000000000000003', '003000000000000004')
-  ORDER BY created_date DESC, id LIMIT 1000)""")
+    AND contact_id IN ('003000000000000002', '003000000000000003', '003000000000000004')""")
 def query_two_in_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cases filtered by account and contact lists together."""
     found = q.query_cases(
-        cases(spark, sf_dir), 1000,
+        cases(spark, sf_dir), None,
         ["001000000000000001", "001000000000000002", "001000000000000003"],
         ["003000000000000002", "003000000000000003", "003000000000000004"],
     )
@@ -54,10 +53,9 @@ def query_two_in_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {OPPORTUNITY_SQL}
-SELECT id, created_date AS last_modified_date, stage_name FROM opportunities WHERE created_date >= TIMESTAMP '2001-01-01'
-ORDER BY created_date, id LIMIT 1000""")
+SELECT id, created_date AS last_modified_date, stage_name FROM opportunities WHERE created_date >= TIMESTAMP '2001-01-01'""")
 def incremental_since(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 1000 changes since a point in time."""
+    """All changes since a point in time."""
     found = q.recent_changes(opportunities(spark, sf_dir), _SINCE)
     return result(found.select("id", "last_modified_date", "stage_name"))
 

@@ -98,9 +98,10 @@ def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) ->
         spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic).option("includeHeaders", "true").options(**options).load()
     )
-    headers = F.map_from_entries(
-        F.transform(F.coalesce("headers", F.array()), lambda h: F.struct(h["key"], h["value"].cast("string")))
-    )
+    # A topic may repeat a header key; the last one counts.
+    entries = F.reverse(F.transform(F.coalesce("headers", F.array()), lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
+    keys = F.array_distinct(F.transform(entries, lambda h: h["key"]))
+    headers = F.map_from_arrays(keys, F.transform(keys, lambda k: F.filter(entries, lambda h: h["key"] == k)[0]["value"]))
     position = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
     return raw.select("value", headers.alias("attributes"), position.alias("message_id"),
                       F.col("timestamp").alias("publish_time"))

@@ -31,10 +31,14 @@ def split_conforming(df: DataFrame, schema: T.StructType, skip_invalid: bool = F
     unknown = [c for c in df.columns if c not in schema.fieldNames()]
     if unknown and not ignore_unknown:
         raise BadRows(f"columns not in the sink schema: {unknown}")
-    checked = missing_required(conform(df.drop(*unknown), schema), schema)
+    # The untouched row goes along, so that a dead letter holds the value that did not fit.
+    original = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    kept = df.withColumn("__original", original).drop(*unknown)
+    carried = T.StructType([*schema.fields, T.StructField("__original", T.StringType())])
+    checked = missing_required(conform(kept, carried), carried)
     failed = F.col("missing") if skip_invalid else F.concat("cast_errors", "missing")
     checked = checked.withColumn("problems", F.array_distinct(failed)).drop("cast_errors", "missing")
-    good = checked.where(F.size("problems") == 0).drop("problems")
+    good = checked.where(F.size("problems") == 0).drop("problems", "__original")
     return good, checked.where(F.size("problems") > 0)
 
 
@@ -70,7 +74,7 @@ def append_raw(df: DataFrame, path: str, schema: T.StructType, cluster_by: Seque
         raise BadRows(f"rows do not fit {path}")
     if on_bad == "dlq":
         letters = bad.select(
-            F.to_json(F.struct(*[c for c in bad.columns if c != "problems"])).alias("original_message"),
+            F.col("__original").alias("original_message"),
             F.concat_ws(",", "problems").alias("error"), "ingestion_timestamp",
         )
         letters.write.mode("append").parquet(f"{path.rstrip('/')}_dead_letters")

@@ -191,3 +191,11 @@ def test_as_of_join(spark):
     for hot in (None, h.hot_records(facts.withColumnRenamed("who", "record_id"), 1)):
         got = h.as_of_join(facts, history, "who", "at", ["state"], ["n"], hot)
         assert sorted((r.n, r.state) for r in got.collect()) == [(2, "a"), (3, "b"), (5, "c")]
+
+
+def test_snapshot_diff_sees_an_added_column(spark):
+    from crmflow.operators.history import snapshot_diff
+
+    old = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string")
+    new = spark.createDataFrame([("1", "a", "x"), ("2", "b", None)], "id string, name string, phone string")
+    assert [(r.record_id, r.changed_fields) for r in snapshot_diff(old, new, "id").collect()] == [("1", ["phone"])]

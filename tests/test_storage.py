@@ -82,6 +82,8 @@ def test_bad_row_policies(spark, tmp_path):
     assert spark.read.parquet(out).count() == 1
     letters = {r.error for r in spark.read.parquet(out + "_dead_letters").collect()}
     assert letters == {"annual_revenue", "id"}
+    originals = [r.original_message for r in spark.read.parquet(out + "_dead_letters").collect()]
+    assert any('"annual_revenue":"x"' in o for o in originals)
     writers.append_raw(df, str(tmp_path / "u"), schema, ["id"], on_bad="continue", skip_invalid=True)
     assert spark.read.parquet(str(tmp_path / "u")).count() == 2
     with pytest.raises(writers.BadRows):
