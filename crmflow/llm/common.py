@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Settings of the Python workers' allocators: arrays of over 1 MB go back to the system when they are freed, so that a
+#: worker that serves many stages keeps no memory of the largest.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def workers_see_package(spark: SparkSession) -> None:
-    """Python workers find this package also when the driver was started in another folder."""
+    """Python workers find this package also when the driver was started in another folder, and give memory back."""
     env = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
 
