@@ -26,6 +26,8 @@ from crmflow.llm.textgrid import grids, span_keys, tails
 RANK, STEPS, PASSAGES, PASSAGE_WORDS = 128, 3, 1024, 48
 MAX_SHARE, LEAST_COMMON, OWN_TERMS, MASS, COSINE = 0.05, 100, 4, 0.45, 0.4
 WHOLE, PART, ANSWER, ANSWER_WORDS = 0.75, 0.5, 0.75, 8
+#: Words with a term whose latent vectors a task holds at once.
+SLICE = 1 << 14
 
 
 def words(grid):
@@ -154,27 +156,36 @@ class Index:
             return
         at = np.minimum(np.searchsorted(self.terms, key), len(self.terms) - 1)
         hit = np.flatnonzero(self.terms[at] == key)
-        doc = np.searchsorted(first, hit, "right") - 1
-        total = np.zeros((len(hit) + 1, self.latent.shape[1]), np.float64)
-        np.cumsum(self.latent[at[hit]], axis=0, out=total[1:])
+        if not len(hit):
+            return
+        term, doc = at[hit], np.searchsorted(first, hit, "right") - 1
         for width, own in self.classes.items():
             stride = width // 4
-            # Windows start at multiples of the stride in their text; only those with a term need a look.
-            step = (hit - first[doc]) // stride
-            start = np.unique(((doc[:, None] << 40) + np.maximum(step[:, None] - np.arange(4), 0)).ravel())
+            # A block is a stride of words of a text, a window four blocks in a row; only windows with terms need a look.
+            block = (doc << 40) + (hit - first[doc]) // stride
+            edge = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(hit))
+            block = block[edge[:-1]]
+            start = np.unique(np.maximum(block[:, None] - np.arange(4), block[:, None] >> 40 << 40).ravel())
+            low, high = np.searchsorted(block, start), np.searchsorted(block, start + 4)
+            some = edge[high] - edge[low] >= 2
+            start, low, high = start[some], low[some], high[some]
             d = start >> 40
-            begin = first[d] + (start & ((1 << 40) - 1)) * stride
-            low, high = np.searchsorted(hit, begin), np.searchsorted(hit, np.minimum(begin + width, first[d + 1]))
-            some = np.flatnonzero(high - low >= 2)
-            for i in range(0, len(some), 8192):
-                part = some[i:i + 8192]
-                vector = (total[high[part]] - total[low[part]]).astype(np.float32)
+            begin, i = first[d] + (start & ((1 << 40) - 1)) * stride, 0
+            ends = edge[high]
+            while i < len(start):
+                # Windows over at most SLICE words with a term at once, so that long texts take no more memory than short ones.
+                j = max(i + 1, min(i + SLICE // 4, int(np.searchsorted(ends, edge[low[i]] + SLICE, "right"))))
+                a, b = low[i], high[j - 1]
+                total = np.zeros((b - a + 1, self.latent.shape[1]))
+                np.cumsum(np.add.reduceat(self.latent[term[edge[a]:edge[b]]], edge[a:b] - edge[a], axis=0), axis=0, out=total[1:])
+                vector = (total[high[i:j] - a] - total[low[i:j] - a]).astype(np.float32)
                 dot = vector @ self.vectors[own].T
                 norm = np.linalg.norm(vector, axis=1) + 1e-9
                 good = (dot >= MASS * self.norm[own] ** 2) & (dot >= COSINE * norm[:, None] * self.norm[own])
                 for x, y in zip(*np.nonzero(good)):
                     k = own[y]
-                    yield int(d[part[x]]), k, int(begin[part[x]]), width, float(dot[x, y] / (norm[x] * self.norm[k]))
+                    yield int(d[i + x]), k, int(begin[i + x]), width, float(dot[x, y] / (norm[x] * self.norm[k]))
+                i = j
 
     def found(self, column):
         """Yields (text, item id, cosine, lcs share, answer found) for an Arrow column of texts, the best window of each pair."""
