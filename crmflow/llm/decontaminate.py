@@ -86,40 +86,61 @@ def _frequencies(source: DataFrame, terms: np.ndarray):
     return int(total[-1]), total[:-1]
 
 
+def orthonormal(columns: np.ndarray, rows: int = 1 << 13) -> np.ndarray:
+    """An orthonormal basis of the columns' span from their Gram matrix, summed over blocks of rows in double precision."""
+    gram = np.zeros((columns.shape[1],) * 2)
+    for i in range(0, len(columns), rows):
+        block = columns[i:i + rows].astype(np.float64)
+        gram += block.T @ block
+    value, vector = np.linalg.eigh(gram)
+    kept = value > 1e-12 * max(value.max(initial=0), 1e-300)
+    turn = vector[:, kept] / np.sqrt(value[kept])
+    out = np.empty((len(columns), turn.shape[1]), np.float32)
+    for i in range(0, len(columns), rows):
+        out[i:i + rows] = columns[i:i + rows].astype(np.float64) @ turn
+    return out
+
+
 def randomised_basis(spark, passages: list, terms: int, rank: int = RANK, steps: int = STEPS) -> np.ndarray:
     """Orthonormal basis (terms x rank) of the main right singular directions of sparse rows [(places, weights)]."""
     rows = pd.DataFrame({"p": [p.astype(np.int32).tobytes() for p, _ in passages], "w": [w.astype(np.float64).tobytes() for _, w in passages]})
     rank = min(rank, terms, len(passages))
     if not rank:
-        return np.zeros((terms, 0))
+        return np.zeros((terms, 0), np.float32)
     table = spark.createDataFrame(rows, "p binary, w binary").repartition(8)
-    basis = np.random.default_rng(11).standard_normal((terms, rank))
+    basis = np.random.default_rng(11).standard_normal((terms, rank)).astype(np.float32)
     for _ in range(steps):
-        shared = spark.sparkContext.broadcast(basis.astype(np.float32))
+        shared = spark.sparkContext.broadcast(basis)
 
         def step(frames):
-            q, total = shared.value, {}
+            q = shared.value
             for frame in frames:
-                for p, w in zip(frame["p"], frame["w"]):
-                    p, w = np.frombuffer(p, np.int32), np.frombuffer(w, np.float64)
-                    z = w @ q[p]
-                    for t, x in zip(p.tolist(), w.tolist()):
-                        total[t] = total[t] + x * z if t in total else x * z
-            yield pd.DataFrame({"t": np.fromiter(total, np.int32, len(total)), "v": [v.tobytes() for v in total.values()]})
+                rows = [(np.frombuffer(p, np.int32), np.frombuffer(w, np.float64)) for p, w in zip(frame["p"], frame["w"])]
+                own = np.unique(np.concatenate([p for p, _ in rows])) if rows else np.empty(0, np.int32)
+                total = np.zeros((len(own), q.shape[1]), np.float32)
+                for p, w in rows:
+                    total[np.searchsorted(own, p)] += np.outer(w, w @ q[p])
+                yield pd.DataFrame({"t": own, "v": [v.tobytes() for v in total]})
 
         def add(frames):
             total = {}
             for frame in frames:
                 for t, v in zip(frame["t"].tolist(), frame["v"]):
-                    v = np.frombuffer(v, np.float64)
+                    v = np.frombuffer(v, np.float32)
                     total[t] = total[t] + v if t in total else v
-            yield pd.DataFrame({"t": np.fromiter(total, np.int32, len(total)), "v": [v.tobytes() for v in total.values()]})
-
-        got = table.mapInPandas(step, "t int, v binary").repartition(8, "t").mapInPandas(add, "t int, v binary").toPandas()
-        total = np.zeros((terms, rank))
-        for t, v in zip(got["t"].tolist(), got["v"]):
-            total[t] = np.frombuffer(v, np.float64)
-        basis, _ = np.linalg.qr(total)
+            names = np.fromiter(total, np.int32, len(total))
+            for i in range(0, len(names), 1024):
+                part = names[i:i + 1024]
+                yield pd.DataFrame({"t": [part.tobytes()], "v": [b"".join(total[t].tobytes() for t in part.tolist())]})
+
+        # The new columns take the old ones' place; terms that no passage has are 0.
+        got = table.mapInPandas(step, "t int, v binary").repartition(8, "t").mapInPandas(add, "t binary, v binary").collect()
+        basis = np.zeros((terms, basis.shape[1]), np.float32)
+        while got:
+            t, v = got.pop()
+            t = np.frombuffer(t, np.int32)
+            basis[t] = np.frombuffer(v, np.float32).reshape(len(t), -1)
+        basis = orthonormal(basis)
         shared.unpersist()
     return basis
 
@@ -228,8 +249,8 @@ def build(docs: DataFrame, benchmark: DataFrame):
             w = weight[place[use]] * n[use]
             sparse.append((place[use], w / max(1e-9, np.linalg.norm(w))))
         basis = randomised_basis(spark, [x for x in sparse if len(x[0])], len(terms))
-        latent = weight[:, None] * basis
-        vectors = np.array([latent[np.searchsorted(terms, keys)].sum(0) for keys in items])
+        latent = weight.astype(np.float32)[:, None] * basis
+        vectors = np.array([latent[np.searchsorted(terms, keys)].sum(0, dtype=np.float64) for keys in items])
     return spark.sparkContext.broadcast(Index(terms, latent, ids, items, vectors))
 
 
