@@ -113,3 +113,14 @@ def test_rates_meet_targets():
     for _ in range(60):
         steps.append(((n * mixing.rates(p, steps, 0)) @ p - want) / first)
     assert np.abs((n * mixing.rates(p, steps, 0)) @ p - want).max() < 1e-3 * want.sum()
+
+
+def test_randomised_basis_spans_the_main_directions(spark):
+    draw = np.random.default_rng(2)
+    dense = (draw.random((60, 40)) < 0.3) * draw.random((60, 40)) * np.linspace(3, 0.1, 60)[:, None]
+    basis = decontaminate.randomised_basis(spark, [(np.flatnonzero(r), r[r > 0]) for r in dense], 40, rank=30, steps=8)
+    assert np.allclose(basis.T @ basis, np.eye(basis.shape[1]), atol=1e-4)
+    kept, best = np.linalg.norm(dense @ basis), np.sqrt((np.linalg.svd(dense, compute_uv=False)[:30] ** 2).sum())
+    assert kept > 0.99 * best
+    # Fewer directions than asked: those that there are.
+    assert decontaminate.randomised_basis(spark, [(np.array([0, 1]), np.array([1.0, 2.0]))] * 3, 5, rank=3).shape == (5, 1)
