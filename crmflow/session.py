@@ -47,11 +47,14 @@ def build_session(app: str = "crmflow", cpus: str = "*", shuffle_partitions: int
 def reliable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage there.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where none is set, as in tests,
-    is a temporary one used. Losing an executor never loses the checkpointed rows.
+    The folder is the cluster's ``spark.checkpoint.dir``. Where none is set, a local master, as in
+    tests, gets a temporary one; on a cluster that is an error, since executors would not see each
+    other's files. Losing an executor never loses the checkpointed rows.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="crmflow-checkpoint-"))
     return df.checkpoint()

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crmflow.operators.ordered import find_hot_keys, with_latest, with_neighbour
+from crmflow.session import reliable
 
 START = datetime(2024, 1, 1, tzinfo=UTC)
 
@@ -54,3 +55,23 @@ def test_hot_key_is_really_split(rows):
 
 def test_no_hot_keys(rows):
     assert find_hot_keys(rows, ["k"], 10_000) is None
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    class Frame:
+        sparkSession = Session()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        reliable(Frame())
