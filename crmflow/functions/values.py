@@ -76,10 +76,18 @@ def json_kind(value: Column) -> Column:
 
 
 def canonical(value: Column) -> Column:
-    """Text that is equal for equal JSON values; null for absent and JSON null."""
-    number = value.try_cast("double").try_cast("decimal(38,9)")
+    """Text that is equal for equal JSON values; null for absent and JSON null.
+
+    A double is written like a decimal where a decimal holds it exactly, else as it is.
+    """
+    double = value.try_cast("double")
     text = F.to_json(value)
-    plain = F.regexp_replace(number.cast("string"), r"\.?0+$", "")
+
+    def exact(scale: int) -> Column:
+        number = double.try_cast(f"decimal(38,{scale})")
+        return F.when(number.cast("double") == double, F.regexp_replace(number.cast("string"), r"\.?0+$", ""))
+
+    plain = F.coalesce(exact(9), exact(20))
     return F.nullif(
         F.when(F.schema_of_variant(value) == "DOUBLE", F.coalesce(plain, text)).otherwise(text), F.lit("null")
     )

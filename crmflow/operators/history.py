@@ -84,11 +84,31 @@ def collapse(rows: DataFrame) -> DataFrame:
     )
 
 
+def one_per_event(rows: DataFrame) -> DataFrame:
+    """One boundary per event id: the earliest of what was sent under it, so a resent event with
+    another time adds no version. Rows without an event id are told apart by their content only.
+
+    A minimum over the whole row, combined before the shuffle.
+    """
+    rest = [c for c in BOUNDARY if c not in ("valid_from", "event_id")]
+    known = (
+        rows.where(F.col("event_id").isNotNull()).groupBy("event_id")
+        .agg(F.min(F.struct("valid_from", *rest)).alias("first"))
+        .select("event_id", *[F.col("first")[c].alias(c) for c in ("valid_from", *rest)])
+    )
+    return rows.where(F.col("event_id").isNull()).select(*BOUNDARY).unionByName(known)
+
+
 def chain(rows: DataFrame, hot: HotKeys | None) -> DataFrame:
-    """Boundaries with ``valid_to``, the start of the next boundary of the record."""
+    """Boundaries with ``valid_to``, the start of the next boundary of the record.
+
+    Of several boundaries at one instant the largest row counts, compared column by column in the
+    order of ``BOUNDARY`` (null event ids first), in both forms.
+    """
     if hot is None:
-        # Rows of one instant sort by event_id; all but the last meet their own start as the next.
-        nxt = with_neighbour(rows, ["id"], ["valid_from", "event_id"],
+        # Rows of one instant sort by all columns; all but the last meet their own start as the next.
+        order = [c for c in BOUNDARY if c != "id"]
+        nxt = with_neighbour(rows, ["id"], order,
                              {"valid_to": F.col("valid_from")}, "next", None)
         return nxt.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
     return with_neighbour(reliable(collapse(rows)), ["id"], ["valid_from"],
@@ -115,12 +135,16 @@ def apply_scd2(
     hot: HotKeys | None,
     tracked_fields: Iterable[str] | None = None,
     emit_tombstones: bool = False,
+    repeated_ids: bool = False,
 ) -> DataFrame:
     """Full rebuild: the history of a change log. One exchange when no record is hot.
 
     ``hot`` comes from ``hot_records`` on the events, or on a cheaper frame with the same ids.
+    Exact copies never count twice. ``repeated_ids`` also folds different events with one event id
+    (``one_per_event``), at the price of a second exchange.
     """
-    return as_history(chain(boundaries(events, tracked_fields), hot), emit_tombstones)
+    moves = boundaries(events, tracked_fields)
+    return as_history(chain(one_per_event(moves) if repeated_ids else moves, hot), emit_tombstones)
 
 
 def merge_versions(
@@ -215,10 +239,12 @@ def current_view(history: DataFrame) -> DataFrame:
 def current_state(events: DataFrame) -> DataFrame:
     """Latest state per record under a change feed; a deleted record has none.
 
-    ``max_by`` combines map-side, so a hot record costs one row per map task.
+    ``max_by`` combines map-side, so a hot record costs one row per map task. Events of one instant
+    and event id are told apart by their type and state, so every evaluation gives the same row.
     """
     last = F.max_by(
-        F.struct("event_type", "event_timestamp", "after"), F.struct("event_timestamp", "event_id")
+        F.struct("event_type", "event_timestamp", "after"),
+        F.struct("event_timestamp", "event_id", "event_type", _at_rest(events, "after")),
     )
     return (
         events.where(F.col("record_id").isNotNull())

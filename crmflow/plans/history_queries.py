@@ -50,6 +50,42 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(h.without_tombstones(h.merged_store(store, second, hot)))
 
 
+def tied_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events at full hours with repeated and null ids: purchases delete, all others insert."""
+    gone = F.col("event_type") == "purchase"
+    state = F.struct("event_type", "value")
+    return events(spark, sf_dir).select(
+        F.when(F.col("event_id") % 3 != 0, F.floor(F.col("event_id") / 4)).alias("event_id"),
+        record_id().alias("record_id"), F.when(gone, "DELETE").otherwise("INSERT").alias("event_type"),
+        F.date_trunc("hour", "ts").alias("event_timestamp"),
+        F.when(gone, state).alias("before"), F.when(~gone, state).alias("after"),
+    )
+
+
+@query("""WITH rows AS (
+  SELECT CASE WHEN event_id % 3 <> 0 THEN event_id // 4 END AS eid, lpad(user_id::VARCHAR, 15, '0') AS id,
+    CASE WHEN event_type = 'purchase' THEN 'DELETE' ELSE 'INSERT' END AS change_type,
+    date_trunc('hour', ts) AS valid_from, event_type AS state_type, value AS state_value FROM events
+), moves AS (
+  SELECT * FROM rows WHERE eid IS NULL AND id IS NOT NULL UNION ALL
+  SELECT * FROM rows WHERE eid IS NOT NULL AND id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY eid ORDER BY valid_from, id, change_type, state_type NULLS FIRST, state_value NULLS FIRST) = 1
+), lasts AS (
+  SELECT * FROM moves QUALIFY row_number() OVER (PARTITION BY id, valid_from ORDER BY eid DESC NULLS LAST,
+    change_type DESC, state_type DESC NULLS LAST, state_value DESC NULLS LAST) = 1
+), chained AS (SELECT *, lead(valid_from) OVER (PARTITION BY id ORDER BY valid_from) AS valid_to FROM lasts)
+SELECT id, valid_from, valid_to, valid_to IS NULL AS is_current, eid AS event_id, state_type, state_value
+FROM chained WHERE change_type <> 'DELETE'""")
+def scd2_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of events that share instants and event ids, or have none."""
+    feed = tied_events(spark, sf_dir)
+    versions = h.apply_scd2(feed, h.hot_records(feed), repeated_ids=True)
+    return result(versions.select(
+        "id", "valid_from", "valid_to", "is_current", "event_id",
+        F.col("record_data.event_type").alias("state_type"), F.col("record_data.value").alias("state_value"),
+    ))
+
+
 @query(f"""WITH {FEED_SQL}
 SELECT count(*) AS total_events, count(DISTINCT record_id) AS records_processed,
   count(*) FILTER (change_type = 'INSERT') AS records_inserted,

@@ -91,6 +91,44 @@ def test_hot_rebuild_equals_plain(spark, seed):
     assert same(h.apply_scd2(events, None), h.apply_scd2(copies, hot))
 
 
+@pytest.mark.parametrize("ids", [None, "E1"])
+def test_ties_give_one_answer(spark, ids):
+    """Different changes of one instant with equal or null ids: the same row in every plan."""
+    rows = [(ids, r, "UPDATE", hours(i % 2), '{"n":0}', f'{{"n":{i}}}') for i in range(1, 13) for r in ("x", "y")]
+    events = events_of(spark, rows).cache()
+    hot = h.hot_records(events, 3)
+    assert hot is not None
+    plain = [h.apply_scd2(events.repartition(n, F.rand(n)), None).cache() for n in (1, 3, 8)]
+    assert [r.record_data for r in plain[0].orderBy("id", "valid_from").collect()] == ['{"n":8}', '{"n":9}'] * 2
+    for other in [*plain[1:], h.apply_scd2(events, hot)]:
+        assert same(plain[0], other)
+    states = [h.current_state(events.repartition(n, F.rand(n))).orderBy("record_id").collect() for n in (1, 3, 8)]
+    assert [r.after.toPython()["n"] for r in states[0]] == [9, 9]
+    assert len({str(s) for s in states}) == 1
+
+
+def test_resent_event_adds_no_version(spark):
+    events = events_of(spark, [
+        ("E1", "r", "INSERT", hours(0), None, '{"n":1}'),
+        ("E2", "r", "UPDATE", hours(1), '{"n":1}', '{"n":2}'),
+        ("E2", "r", "UPDATE", hours(5), '{"n":1}', '{"n":2}'),
+        (None, "r", "UPDATE", hours(2), '{"n":2}', '{"n":3}'),
+        (None, "r", "UPDATE", hours(3), '{"n":3}', '{"n":4}'),
+    ])
+    got = h.apply_scd2(events, None, repeated_ids=True).orderBy("valid_from").collect()
+    assert [(r.event_id, r.record_data) for r in got] == [("E1", '{"n":1}'), ("E2", '{"n":2}'), (None, '{"n":3}'), (None, '{"n":4}')]
+    assert h.apply_scd2(events, None).count() == 5
+
+
+def test_small_doubles_compare_by_value(spark):
+    pairs = [("1e-12", "5e-12", True), ("1e-12", "0.000000000001", False), ("1e2", "100", False), ("0.1e0", "0.1", False),
+             ("1e300", "2e300", True), ("1e300", "1e300", False), ("-0.0e0", "0", False)]
+    df = spark.createDataFrame([(i, f'{{"v":{b}}}', f'{{"v":{a}}}') for i, (b, a, _) in enumerate(pairs)], "i int, b string, a string")
+    df = df.select("i", F.parse_json("b").alias("before"), F.parse_json("a").alias("after"))
+    got = df.select("i", changed_fields(df).alias("c")).orderBy("i").collect()
+    assert [bool(r.c) for r in got] == [x for *_, x in pairs]
+
+
 @pytest.mark.parametrize("seed", [4, 5])
 @pytest.mark.parametrize("max_rows", [12, 10_000])
 def test_any_batches_equal_full_rebuild(spark, tmp_path, seed, max_rows):
