@@ -27,15 +27,40 @@ LATENESS = "600 seconds"
 
 
 def distinct_messages(parsed: DataFrame) -> DataFrame:
-    """One message per event id (per text where there is none); copies combine map-side."""
-    key = F.coalesce(F.try_variant_get("event", "$.event_id", "string"), F.col("text"), F.base64("value"))
-    order = F.struct("text", "value", *[c for c in ("publish_time", "message_id") if c in parsed.columns])
+    """One message per content, the first published; copies combine map-side."""
+    order = F.struct("value", *[c for c in ("publish_time", "message_id") if c in parsed.columns])
     return (
-        parsed.groupBy(key.alias("__key"))
+        parsed.groupBy(F.coalesce("text", F.base64("value")).alias("__content"), F.col("text").isNull().alias("__bytes"))
         .agg(F.min_by(F.struct(*parsed.columns), order).alias("row")).select("row.*")
     )
 
 
+def mark_conflicts(messages: DataFrame) -> DataFrame:
+    """Add ``conflict``: another message (the one with the smaller text) has the same event id.
+
+    Needs distinct messages. An absent or empty event id never conflicts. Only ids that really
+    repeat take part in the join, with one row each.
+    """
+    name = F.nullif(F.try_variant_get("event", "$.event_id", "string"), F.lit(""))
+    named = messages.withColumn("__event_id", name)
+    repeated = (
+        named.where(F.col("__event_id").isNotNull()).groupBy("__event_id")
+        .agg(F.min("text").alias("__kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    )
+    return (
+        named.join(repeated, "__event_id", "left")
+        .withColumn("conflict", F.coalesce(F.col("text") != F.col("__kept"), F.lit(False)))
+        .select(*messages.columns, "conflict")
+    )
+
+
+def conflict_letters(marked: DataFrame) -> DataFrame:
+    return marked.where("conflict").select(
+        F.lit("conflicting event id").alias("error"), F.col("text").alias("original_message"),
+        F.col("ingestion_time").alias("timestamp"),
+    )
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Iterable[str] = ()) -> None:
     """Replace the output of a micro-batch; rebalancing avoids many small files and splits a
     partition that holds most rows."""
@@ -65,12 +90,13 @@ class CdcJob:
         validated = routing.validate_events(parse.envelope(parsed), self._clock(), self.rules)
         return routing.route_by_object(validated, self.enabled, self.tracked)
 
-    def _parsed(self, batch: DataFrame) -> DataFrame:
-        return distinct_messages(parse.parse_messages(batch, self._clock()))
+    def _marked(self, batch: DataFrame) -> DataFrame:
+        return mark_conflicts(distinct_messages(parse.parse_messages(batch, self._clock())))
 
     def raw_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Raw rows, alerts, late events and dead letters of one micro-batch."""
-        parsed = self._parsed(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        marked = self._marked(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = marked.where("NOT conflict").drop("conflict")
         events = self._events(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = self._raw_rows(events)
@@ -94,10 +120,10 @@ class CdcJob:
                 F.col("text").alias("original_message"), F.col("ingestion_time").alias("timestamp"),
             )
             letters = parse.dead_letters(parsed).unionByName(unrouted).unionByName(unfit)
-            write_batch(letters, f"{self.base}/dead_letters", batch_id)
+            write_batch(letters.unionByName(conflict_letters(marked)), f"{self.base}/dead_letters", batch_id)
         finally:
             events.unpersist()
-            parsed.unpersist()
+            marked.unpersist()
 
     def _raw_rows(self, events: DataFrame) -> DataFrame:
         """Typed rows of all enabled objects; ``cast_errors`` names values that do not fit."""
@@ -113,8 +139,13 @@ class CdcJob:
         return VersionsTable(self.spark, f"{self.base}/{HISTORY_TABLES[object_type]}", buckets=self.buckets)
 
     def history_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Fold one micro-batch into the history of every tracked object."""
-        events = self._events(self._parsed(batch))
+        """Fold one micro-batch into the history of every tracked object.
+
+        Messages left out for their event id go to ``history_dead_letters``.
+        """
+        marked = self._marked(batch)
+        write_batch(conflict_letters(marked), f"{self.base}/history_dead_letters", batch_id)
+        events = self._events(marked.where("NOT conflict").drop("conflict"))
         wanted = events.where(F.col("is_valid") & F.col("to_history"))
         moved = boundaries(wanted, self.tracked_fields, keep=("object_type",))
         write_batch(moved, f"{self.base}/boundary_log", batch_id, ("object_type",))

@@ -125,3 +125,18 @@ def test_late_events_are_kept_aside(spark, sf_dir, tmp_path):
     job.raw_batch(rows, 7)
     late = spark.read.parquet(f"{job.base}/late")
     assert late.count() == spark.read.parquet(f"{job.base}/raw").count() > 0
+
+
+def test_messages_with_one_event_id_are_not_lost(spark):
+    texts = ['{"event_id":"A","n":1}', '{"event_id":"A","n":1}', '{"event_id":"A","n":2}', '{"event_id":"","n":3}',
+             '{"event_id":"","n":4}', '{"n":5}', '{"n":6}', "broken", "broken", '{"event_id":"B","n":7}']
+    rows = [(bytearray(t, "utf-8"), {}, str(i), None) for i, t in enumerate(texts)]
+    rows += [(bytearray(b"\xff\xfe"), {}, "x", None), (bytearray(b"\xff\xfd"), {}, "y", None), (None, {}, "z", None)]
+    batch = spark.createDataFrame(rows, "value binary, attributes map<string,string>, message_id string, publish_time timestamp")
+    for n in (1, 5):
+        parsed = parse.parse_messages(batch.repartition(n), feed.as_of())
+        marked = jobs.mark_conflicts(jobs.distinct_messages(parsed)).cache()
+        kept = sorted(r.text for r in marked.where("NOT conflict AND text IS NOT NULL").collect())
+        assert kept == sorted(set(texts) - {texts[2]})
+        assert marked.where("text IS NULL").count() == 3
+        assert [r.original_message for r in jobs.conflict_letters(marked).collect()] == [texts[2]]
