@@ -23,7 +23,7 @@ def sizing(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]
     partitions = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
     }
 
