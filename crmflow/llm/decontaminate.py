@@ -1,15 +1,17 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Terms are words (A-Z lowered, without trailing punctuation). A randomised SVD of TF-IDF passages (all benchmark items and a
-bounded, hash-chosen sample of corpus passages) gives the latent space: each power step ``A'(A Q)`` is summed by term over
-Spark tasks, and only the thin basis is orthonormalised on the driver. Document frequencies are counted over all
-documents; a term of more than ``MAX_SHARE`` of them (and of ``LEAST_COMMON``)
-has weight 0, unless it is one of an item's ``OWN_TERMS`` rarest. Every window of every document is mapped to the latent
-space; a window is a candidate of an item if it has at least ``MASS`` of the item's latent weight and their cosine is at
-least ``COSINE``. A candidate is checked on its words: the longest common subsequence (LCS) of item and window. An item is found
-if the LCS covers ``WHOLE`` of it, or ``PART`` of it with its answer: its last words, ``ANSWER`` of them in order. Each item has
-windows of its own length class, so long and short items are treated alike. Benchmark tables are reference sets; they,
-the terms and the basis are sent to all tasks.
+Terms are the words of the items (A-Z lowered, without trailing punctuation). The items are dealt into blocks of bounded size, and
+a randomised SVD of a block's TF-IDF rows gives its latent space: each power step ``A'(A Q)`` is summed by term over Spark
+tasks, and only the thin basis is orthonormalised on the driver. The rank is the block's number of items, so the space holds
+every item whole. Document frequencies are counted over all documents; frequent terms weigh little, none weighs nothing.
+
+A window is four strides of a text with one more on either side. Every window of every document is mapped to the latent space
+and checked on its words by the longest common subsequence (LCS) of item and window. An item is found
+if the LCS covers ``WHOLE`` of it, or ``PART`` of it with its answer: its last words, ``ANSWER`` of them in order. Two bounds that follow
+from this rule save most checks and lose no window: the latent product with an item is at least the
+weight of the lightest words with which the rule can hold (``least_mass``), and so many of the item's words, and of its answer's,
+occur in the window. Each item has windows of its own length class, so long and short items are treated alike. Benchmark
+tables are reference sets; they, the terms and the bases are sent to all tasks.
 
 Nulls and empty texts have no windows, null or empty items are never found. Null doc_id: the row is searched and returned. Repeated
 rows are each searched; ties between windows of a document: the largest LCS, then the first. Other columns are ignored.
@@ -23,11 +25,14 @@ from pyspark.sql import functions as F
 from crmflow.llm.common import texts, workers_see_package
 from crmflow.llm.textgrid import grids, span_keys, tails
 
-RANK, STEPS, PASSAGES, PASSAGE_WORDS = 128, 3, 1024, 48
-MAX_SHARE, LEAST_COMMON, OWN_TERMS, MASS, COSINE = 0.05, 100, 4, 0.45, 0.4
+STEPS = 3
+#: Most items, and words of items, that share a latent space.
+BLOCK_ITEMS, BLOCK_WORDS = 256, 1 << 14
 WHOLE, PART, ANSWER, ANSWER_WORDS = 0.75, 0.5, 0.75, 8
 #: Words with a term whose latent vectors a task holds at once.
 SLICE = 1 << 14
+#: Words of windows that are compared with items' words at once; items of more than ``MASKED`` words skip that bound.
+GATHER, MASKED = 1 << 20, 512
 
 
 def words(grid):
@@ -45,20 +50,10 @@ def _keys_of(column):
     return out
 
 
-def _passages(docs: DataFrame, benchmark: DataFrame):
-    """(item, word keys): benchmark items with their id's place, sampled corpus passages with item null."""
-    chosen = docs.select(F.col("doc_id").alias("id")).where("id is not null").orderBy(F.xxhash64("id"), "id").limit(PASSAGES)
-    corpus = docs.join(F.broadcast(chosen.distinct()), F.col("doc_id") == F.col("id"), "left_semi").select("text")
-
-    def cut(batches):
-        for batch in batches:
-            for keys in _keys_of(batch.column(0)):
-                at = int(keys[0] % np.uint64(max(1, len(keys) - PASSAGE_WORDS + 1))) if len(keys) else 0
-                yield pa.record_batch([pa.array([keys[at:at + PASSAGE_WORDS].tobytes()], pa.binary())], names=["keys"])
-
-    sampled = [np.frombuffer(r[0], np.uint64) for r in corpus.mapInArrow(cut, "keys binary").limit(2 * PASSAGES).collect()]
+def _items(benchmark: DataFrame):
+    """Ids and word keys of the benchmark's items."""
     items = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long"), "text").distinct().orderBy("item_id", "text").toPandas()
-    return items["item_id"].to_numpy(np.int64), _keys_of(pa.array(items["text"].tolist(), pa.string())), sampled
+    return items["item_id"].to_numpy(np.int64), _keys_of(pa.array(items["text"].tolist(), pa.string()))
 
 
 def _frequencies(source: DataFrame, terms: np.ndarray):
@@ -101,7 +96,7 @@ def orthonormal(columns: np.ndarray, rows: int = 1 << 13) -> np.ndarray:
     return out
 
 
-def randomised_basis(spark, passages: list, terms: int, rank: int = RANK, steps: int = STEPS) -> np.ndarray:
+def randomised_basis(spark, passages: list, terms: int, rank: int, steps: int = STEPS) -> np.ndarray:
     """Orthonormal basis (terms x rank) of the main right singular directions of sparse rows [(places, weights)]."""
     rows = pd.DataFrame({"p": [p.astype(np.int32).tobytes() for p, _ in passages], "w": [w.astype(np.float64).tobytes() for _, w in passages]})
     rank = min(rank, terms, len(passages))
@@ -158,36 +153,81 @@ def common_subsequence(a: list, b: list) -> int:
     return len(a) - row.bit_count()
 
 
-class Index:
-    """What a task needs to search texts: terms with their latent vectors, and the items."""
+def needed(item) -> tuple:
+    """Words of the rule: of the item alone, of the item with its answer, of the answer; and the answer's length."""
+    n, answer = len(item), min(len(item), ANSWER_WORDS)
+    return tuple(int(np.ceil(x - 1e-9)) for x in (WHOLE * n, PART * n, ANSWER * answer)) + (answer,)
+
+
+def least_mass(value) -> float:
+    """The least sum of the values of an item's words (in order) with which the rule holds."""
+    value = np.asarray(value, np.float64)
+    whole, part, told, answer = needed(value)
+    last = np.sort(value[len(value) - answer:])
+    rest = np.sort(np.concatenate([value[:len(value) - answer], last[told:]]))
+    return min(np.sort(value)[:whole].sum(), last[:told].sum() + rest[:max(0, part - told)].sum())
+
+
+class Block:
+    """Some of the items (places ``ids``) with their own terms and latent space."""
 
-    def __init__(self, terms, latent, ids, items, vectors):
-        kept = np.abs(latent).sum(1) > 0
-        self.terms, self.latent = terms[kept], latent[kept].astype(np.float32)
-        norm = np.linalg.norm(vectors, axis=1) if len(items) else np.zeros(0)
-        self.classes = {}
+    def __init__(self, ids, items, terms, latent, vectors, least):
+        self.ids, self.terms, self.latent = ids, terms, latent.astype(np.float32)
+        self.vectors, self.norm = vectors.astype(np.float32), np.linalg.norm(vectors, axis=1)
+        # Room for the rounding of single precision.
+        self.least = 0.999 * np.asarray(least)
+        self.classes, self.rule = {}, np.array([needed(x)[:3] for x in items])
         for k, item in enumerate(items):
-            if norm[k] > 0:
+            if len(item):
                 self.classes.setdefault(1 << int(np.ceil(np.log2(max(16, 1.5 * len(item))))), []).append(k)
-        self.ids, self.items, self.vectors, self.norm = ids, [x.tolist() for x in items], vectors.astype(np.float32), norm
+        self.masks, self.answer = {}, {}
+        for width, own in self.classes.items():
+            parts = -(-max(len(items[k]) for k in own) // 64)
+            if parts <= MASKED // 64:
+                # For each item and term a bit for each of its places in the item.
+                mask, answer = np.zeros((parts, len(own), len(terms)), np.uint64), np.zeros((parts, len(own)), np.uint64)
+                for y, k in enumerate(own):
+                    for i, t in enumerate(np.searchsorted(terms, items[k]).tolist()):
+                        mask[i // 64, y, t] |= np.uint64(1 << i % 64)
+                        if i >= len(items[k]) - ANSWER_WORDS:
+                            answer[i // 64, y] |= np.uint64(1 << i % 64)
+                self.masks[width], self.answer[width] = mask, answer
+
+    def enough(self, width, item, y, term, begin, end):
+        """Which pairs of a window (its terms from ``begin`` to ``end``) and an item have the words that the rule needs."""
+        if width not in self.masks:
+            return np.ones(len(item), bool)
+        out, step = np.empty(len(item), bool), max(1, GATHER * 2 // (3 * width))
+        for i in range(0, len(item), step):
+            a, n, who = begin[i:i + step], (end - begin)[i:i + step], y[i:i + step]
+            first = np.cumsum(n) - n
+            word = term[np.arange(int(n.sum())) + np.repeat(a - first, n)]
+            row = np.repeat(who, n)
+            have, told = np.zeros(len(who), np.int64), np.zeros(len(who), np.int64)
+            for mask, answer in zip(self.masks[width], self.answer[width]):
+                bits = np.bitwise_or.reduceat(mask[row, word], first)
+                have += np.bitwise_count(bits)
+                told += np.bitwise_count(bits & answer[who])
+            whole, part, least = self.rule[item[i:i + step]].T
+            out[i:i + step] = (have >= whole) | ((have >= part) & (told >= least))
+        return out
 
     def candidates(self, key, first):
-        """(text, item, first word, width, cosine) of every window that passes the latent bounds."""
-        if not len(self.terms):
-            return
+        """(text, item, begin and end word, cosine) of every window that passes the bounds."""
         at = np.minimum(np.searchsorted(self.terms, key), len(self.terms) - 1)
         hit = np.flatnonzero(self.terms[at] == key)
         if not len(hit):
             return
         term, doc = at[hit], np.searchsorted(first, hit, "right") - 1
         for width, own in self.classes.items():
-            stride = width // 4
-            # A block is a stride of words of a text, a window four blocks in a row; only windows with terms need a look.
+            own, stride = np.array(own), width // 4
+            # A block is a stride of words of a text, a window six blocks in a row; only windows with terms need a look.
             block = (doc << 40) + (hit - first[doc]) // stride
             edge = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(hit))
             block = block[edge[:-1]]
-            start = np.unique(np.maximum(block[:, None] - np.arange(4), block[:, None] >> 40 << 40).ravel())
-            low, high = np.searchsorted(block, start), np.searchsorted(block, start + 4)
+            text = block >> 40 << 40
+            start = np.unique(np.maximum(block[:, None] - np.arange(-1, 5), text[:, None]).ravel())
+            low, high = np.searchsorted(block, np.maximum(start - 1, start >> 40 << 40)), np.searchsorted(block, start + 5)
             some = edge[high] - edge[low] >= 2
             start, low, high = start[some], low[some], high[some]
             d = start >> 40
@@ -201,21 +241,34 @@ class Index:
                 np.cumsum(np.add.reduceat(self.latent[term[edge[a]:edge[b]]], edge[a:b] - edge[a], axis=0), axis=0, out=total[1:])
                 vector = (total[high[i:j] - a] - total[low[i:j] - a]).astype(np.float32)
                 dot = vector @ self.vectors[own].T
-                norm = np.linalg.norm(vector, axis=1) + 1e-9
-                good = (dot >= MASS * self.norm[own] ** 2) & (dot >= COSINE * norm[:, None] * self.norm[own])
-                for x, y in zip(*np.nonzero(good)):
-                    k = own[y]
-                    yield int(d[i + x]), k, int(begin[i + x]), width, float(dot[x, y] / (norm[x] * self.norm[k]))
+                x, y = np.nonzero(dot >= self.least[own])
+                good = self.enough(width, own[y], y, term, edge[low[i + x]], edge[high[i + x]])
+                x, y = x[good], y[good]
+                norm = np.linalg.norm(vector[x], axis=1) * self.norm[own[y]] + 1e-9
+                for w, k, cosine in zip((i + x).tolist(), own[y].tolist(), (dot[x, y] / norm).tolist()):
+                    t, at = int(d[w]), int(begin[w])
+                    yield t, int(self.ids[k]), max(int(first[t]), at - stride), min(int(first[t + 1]), at + width + stride), cosine
                 i = j
 
+
+class Index:
+    """What a task needs to search texts: the items and their blocks."""
+
+    def __init__(self, ids, items, blocks):
+        self.ids, self.items, self.blocks = ids, [x.tolist() for x in items], blocks
+
+    def candidates(self, key, first):
+        for block in self.blocks:
+            yield from block.candidates(key, first)
+
     def found(self, column):
         """Yields (text, item id, cosine, lcs share, answer found) for an Arrow column of texts, the best window of each pair."""
         for i, j, grid in grids(column, keys=False):
             key, _, first = words(grid)
             best = {}
-            for doc, k, begin, width, cosine in self.candidates(key, first):
+            for doc, k, begin, end, cosine in self.candidates(key, first):
                 item = self.items[k]
-                near = key[max(int(first[doc]), begin - width // 4):min(int(first[doc + 1]), begin + width + width // 4)].tolist()
+                near = key[begin:end].tolist()
                 share = common_subsequence(item, near) / len(item)
                 if share < PART:
                     continue
@@ -231,27 +284,38 @@ def build(docs: DataFrame, benchmark: DataFrame):
     """The search index of a benchmark, weighted by all of ``docs``; a broadcast variable."""
     spark = docs.sparkSession
     source = texts(docs)
-    ids, items, sampled = _passages(source, benchmark)
-    everything = items + sampled
-    terms = np.unique(np.concatenate(everything)) if everything else np.empty(0, np.uint64)
-    latent, vectors = np.zeros((len(terms), 0)), np.zeros((len(items), 0))
-    if len(terms) and items:
+    ids, items = _items(benchmark)
+    terms = np.unique(np.concatenate(items)) if items else np.empty(0, np.uint64)
+    blocks = []
+    if len(terms):
         rows, count = _frequencies(source, terms)
-        common = count > max(MAX_SHARE * rows, LEAST_COMMON)
-        for keys in items:
-            place = np.unique(np.searchsorted(terms, keys))
-            common[place[np.argsort(count[place], kind="stable")[:OWN_TERMS]]] = False
-        weight = np.where(common, 0.0, np.log((rows + 1) / (count + 1)) + 1)
-        sparse = []
-        for keys in everything:
-            place, n = np.unique(np.searchsorted(terms, keys), return_counts=True)
-            use = weight[place] > 0
-            w = weight[place[use]] * n[use]
-            sparse.append((place[use], w / max(1e-9, np.linalg.norm(w))))
-        basis = randomised_basis(spark, [x for x in sparse if len(x[0])], len(terms))
-        latent = weight.astype(np.float32)[:, None] * basis
-        vectors = np.array([latent[np.searchsorted(terms, keys)].sum(0, dtype=np.float64) for keys in items])
-    return spark.sparkContext.broadcast(Index(terms, latent, ids, items, vectors))
+        weight = np.log((rows + 1) / (np.minimum(count, rows) + 0.5))
+        held, size = [[]], 0
+        for k, keys in enumerate(items):
+            if len(keys):
+                if held[-1] and (len(held[-1]) == BLOCK_ITEMS or size + len(keys) > BLOCK_WORDS):
+                    held.append([])
+                    size = 0
+                held[-1].append(k)
+                size += len(keys)
+        blocks = [_block(spark, np.array(own), [items[k] for k in own], terms, weight) for own in held]
+    return spark.sparkContext.broadcast(Index(ids, items, blocks))
+
+
+def _block(spark, ids, items, terms, weight) -> Block:
+    used = np.unique(np.concatenate(items))
+    weight = weight[np.searchsorted(terms, used)]
+    sparse, least = [], []
+    for keys in items:
+        at = np.searchsorted(used, keys)
+        place, n = np.unique(at, return_counts=True)
+        w = weight[place] * n
+        sparse.append((place, w / np.linalg.norm(w)))
+        least.append(least_mass(weight[at] ** 2 * n[np.searchsorted(place, at)]))
+    basis = randomised_basis(spark, sparse, len(used), len(items))
+    latent = weight.astype(np.float32)[:, None] * basis
+    vectors = np.array([latent[np.searchsorted(used, keys)].sum(0, dtype=np.float64) for keys in items])
+    return Block(ids, items, used, latent, vectors, least)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
