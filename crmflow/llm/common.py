@@ -48,6 +48,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Removes the files of a ``saved`` table that nothing reads any more."""
+    for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        jpath = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     workers_see_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -4,13 +4,13 @@ Each previous word is a context restaurant; all of them share one parent, the wo
 the vocabulary and one unknown word. Seatings are sampled by Gibbs: in each sweep the customers of a dish leave their
 restaurant and sit down again, one by one, at an old table or at a new one (with the parent's probability of the dish). After
 ``BURN`` sweeps the tables are averaged over ``SWEEPS`` more; as predictions are linear in the tables, that averages the
-predictive probabilities. The parent's customers are one for each context of a word in each chunk of text, and are
-seated in the same way. A context's sampler takes the parent's probabilities from the contexts of its own task, a sample
-of all. For every context the probabilities of all words sum to one.
+predictive probabilities. The parent's customers are the tables of all contexts: before each sweep they are summed by word over
+all buckets, seated in the same way, and the parent's probabilities are sent back to the buckets. For every context the probabilities of all words sum to one.
 
 How it is spread: texts are cut into chunks of about ``CHUNK_TOKENS`` tokens, kept as word numbers with the chunk's word table. A
 chunk sends its distinct word pairs with their training counts, as packed arrays, to the bucket of the context (contexts that a
-bounded sample of documents shows to be frequent are split into parts by the word, for the layout only). A bucket merges all chunks, samples, and
+bounded sample of documents shows to be frequent are split into parts by the word, for the layout only: the tables of all parts are
+summed after each sweep). A bucket merges all chunks; each sweep is a shuffle of table sums to word buckets and one back. At the end a bucket
 sends to each chunk one number a pair and the customers and tables of each context. Words go to vocabulary buckets and
 back likewise, with exact counts. So what is gathered is in proportion to the distinct words and pairs of each chunk.
 
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crmflow.llm.common import saved, spread, texts
+from crmflow.llm.common import dropped, saved, spread, texts
 from crmflow.llm.textgrid import grids, mix
 
 DISCOUNT, STRENGTH, PARENT_DISCOUNT, PARENT_STRENGTH = 0.75, 1.0, 0.75, 1.0
@@ -163,36 +163,17 @@ def seat(customers, weight, discount, draw):
     return tables
 
 
-def _sampled(group, short, count, groups, seed):
-    """Averaged tables of each pair, and customers and tables of each group."""
-    draw = np.random.default_rng(seed)
-    learnt = np.flatnonzero(count)
-    owner, customers = group[learnt], count[learnt]
-    _, word = np.unique(short[learnt], return_inverse=True)
-    words = int(word.max()) + 1 if len(word) else 0
-    tables, mean = np.ones(len(learnt)), np.zeros(len(learnt))
-    for sweep in range(BURN + SWEEPS):
-        whole = np.bincount(owner, weights=tables, minlength=groups)
-        parent = np.bincount(word, weights=tables, minlength=words)
-        parent = (parent + 0.5) / (parent.sum() + 0.5 * (words + 1))
-        weight = (STRENGTH + DISCOUNT * np.maximum(whole[owner] - tables, 0)) * parent[word]
-        tables = seat(customers, weight, DISCOUNT, draw)
-        if sweep >= BURN:
-            mean += tables / SWEEPS
-    out = np.zeros(len(count))
-    out[learnt] = mean
-    return out, np.bincount(owner, weights=customers, minlength=groups), np.bincount(owner, weights=mean, minlength=groups)
-
-
-def _merged(rows):
-    """Merges one bucket's requests, samples, and yields each chunk's answer."""
+SEATS = "bucket int, groups binary, sizes binary, pairs binary, counts binary, tables binary, mean binary, hot binary"
+
+
+def _pooled(rows):
+    """One bucket's requests merged: groups, their place for each request, entry of each pair, and owner, word and count of each entry."""
     keys = [np.frombuffer(r["groups"], np.uint64) for r in rows]
     sizes = [unpacked(r["sizes"], np.uint32).astype(np.int64) for r in rows]
     counts = np.concatenate([unpacked(r["counts"], np.uint32) for r in rows])
-    shorts = [np.frombuffer(r["pairs"], "<u4") for r in rows]
+    short = np.concatenate([np.frombuffer(r["pairs"], "<u4") for r in rows])
     every, place = np.unique(np.concatenate(keys), return_inverse=True)
     owner = np.repeat(place, np.concatenate(sizes))
-    short = np.concatenate(shorts)
     order = np.lexsort((short, owner))
     new = np.ones(len(order), bool)
     new[1:] = (owner[order][1:] != owner[order][:-1]) | (short[order][1:] != short[order][:-1])
@@ -200,7 +181,94 @@ def _merged(rows):
     entry[order] = np.cumsum(new) - 1
     head = order[new]
     total = np.bincount(entry, weights=counts, minlength=len(head)).astype(np.int64)
-    tables, customers, group_tables = _sampled(owner[head], short[head], total, len(every), rows[0]["bucket"])
+    return keys, sizes, every, place, entry, owner[head], short[head], total
+
+
+def hot_groups(hot):
+    """Sorted keys of all parts of the frequent contexts, and the context of each."""
+    context = np.repeat(np.arange(len(hot[0])), hot[1])
+    part = np.arange(len(context)) - np.repeat(np.cumsum(hot[1]) - hot[1], hot[1])
+    key = mix(hot[0][context] + mix(part.astype(np.uint64)))
+    order = np.argsort(key)
+    return key[order], context[order]
+
+
+def _context_of(groups, hot):
+    """Place of each group's context among the frequent ones, or -1."""
+    key, context = hot_groups(hot)
+    if not len(key):
+        return np.full(len(groups), -1)
+    at = np.minimum(np.searchsorted(key, groups), len(key) - 1)
+    return np.where(key[at] == groups, context[at], -1)
+
+
+def _hot_tables(groups, owner, tables, hot) -> bytes:
+    """Tables of each frequent context in a bucket."""
+    mine = _context_of(groups, hot)
+    whole = np.bincount(owner, weights=tables, minlength=len(groups))
+    return packed(np.bincount(mine[mine >= 0], weights=whole[mine >= 0], minlength=len(hot[0])), "<f8")
+
+
+def _first_seats(bucket, rows, hot):
+    """A bucket with one table for each learnt pair."""
+    _, _, every, _, _, owner, short, total = _pooled(rows)
+    learnt = np.flatnonzero(total)
+    owner, one = owner[learnt], np.ones(len(learnt))
+    size = np.bincount(owner, minlength=len(every))
+    return bucket, every.tobytes(), packed(size, np.uint32), packed(short[learnt], "<u4"), packed(total[learnt], np.uint32), packed(one, np.uint32), packed(0 * one, "<f4"), _hot_tables(every, owner, one, hot)
+
+
+def _offered(row, buckets, column):
+    """(word bucket, words, sums of their tables) of a bucket."""
+    word, place = np.unique(unpacked(row["pairs"], "<u4"), return_inverse=True)
+    total = np.bincount(place, weights=unpacked(row[column], np.uint32 if column == "tables" else "<f4"), minlength=len(word))
+    home = word_bucket(word, buckets)
+    order = np.argsort(home, kind="stable")
+    edges = np.searchsorted(home[order], np.arange(buckets + 1))
+    for v in np.flatnonzero(np.diff(edges)):
+        own = order[edges[v]:edges[v + 1]]
+        yield int(v), row["bucket"], packed(word[own], "<u4"), packed(total[own], "<f4")
+
+
+def word_bucket(short, buckets):
+    return (mix(short.astype(np.uint64)) >> np.uint64(40)).astype(np.int64) % buckets
+
+
+def _parent(v, rows, base, seed):
+    """Seats all contexts' tables of a bucket's words at the parent; ``base`` is the weight of a new table, None at the start."""
+    words = [unpacked(r["words"], "<u4") for r in rows]
+    every, place = np.unique(np.concatenate(words), return_inverse=True)
+    customers = np.rint(np.bincount(place, weights=np.concatenate([unpacked(r["sums"], "<f4") for r in rows]), minlength=len(every))).astype(np.int64)
+    tables = np.minimum(customers, 1).astype(float) if base is None else seat(customers, np.full(len(every), base), PARENT_DISCOUNT, np.random.default_rng([seed, v]))
+    weight, at = customers - PARENT_DISCOUNT * tables, 0
+    for k, (r, w) in enumerate(zip(rows, words)):
+        sums = (len(every), int(customers.sum()), float(tables.sum())) if k == 0 else (0, 0, 0.0)
+        yield (r["bucket"], v, packed(weight[place[at:at + len(w)]], "<f4"), *sums)
+        at += len(w)
+
+
+def _swept(row, answers, buckets, hot, whole_hot, known, customers, tables, seed, averaged):
+    """A bucket's seats after one more sweep; ``answers`` are the parent's weights by word bucket."""
+    groups, size = np.frombuffer(row["groups"], np.uint64), unpacked(row["sizes"], np.uint32)
+    owner, count, now = np.repeat(np.arange(len(groups)), size), unpacked(row["counts"], np.uint32).astype(np.int64), unpacked(row["tables"], np.uint32).astype(float)
+    word, place = np.unique(unpacked(row["pairs"], "<u4"), return_inverse=True)
+    parent = np.empty(len(word))
+    parent[np.argsort(word_bucket(word, buckets), kind="stable")] = np.concatenate([unpacked(a, "<f4") for a in answers]) if answers else 0
+    parent = (parent + (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)) / (PARENT_STRENGTH + customers)
+    whole, mine = np.bincount(owner, weights=now, minlength=len(groups)), _context_of(groups, hot)
+    whole[mine >= 0] = whole_hot[mine[mine >= 0]]
+    weight = (STRENGTH + DISCOUNT * np.maximum(whole[owner] - now, 0)) * parent[place]
+    now = seat(count, weight, DISCOUNT, np.random.default_rng([seed, row["bucket"]]))
+    mean = unpacked(row["mean"], "<f4") + (now / SWEEPS if averaged else 0)
+    return row["bucket"], row["groups"], row["sizes"], row["pairs"], row["counts"], packed(now, np.uint32), packed(mean, "<f4"), _hot_tables(groups, owner, now, hot)
+
+
+def _merged(rows, mean):
+    """One bucket's answer to each chunk, with the averaged tables of its learnt pairs."""
+    keys, sizes, every, place, entry, owner, _, total = _pooled(rows)
+    tables = np.zeros(len(total))
+    tables[total > 0] = mean
+    customers, group_tables = (np.bincount(owner, weights=x, minlength=len(every)) for x in (total, tables))
     weight = np.maximum(total - DISCOUNT * tables, 0)
     coded = np.where(weight > 0, np.minimum(np.round((np.log(np.maximum(weight, 1e-9)) + 5) * LOG_STEP), NOTHING - 1), NOTHING).astype(np.uint16)
     at, group_at = 0, 0
@@ -258,6 +326,7 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
     source = texts(docs)
     spark = source.sparkSession
     buckets = spread(source)
+    names, binary = [x.split()[0] for x in SEATS.split(", ")], pa.binary()
     state = saved(source.select("doc_id", "text", F.expr(f"coalesce({train}, false)").alias("train")).mapInArrow(_chunks, STATE), "chunks")
     trained = state.agg(F.sum("trained")).first()[0] or 0
     hot = spark.sparkContext.broadcast(_frequent(source, buckets))
@@ -268,9 +337,36 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
                 for r in Chunk(row, hot.value, buckets).requests():
                     yield _table([(row["chunk"], *r)], ["chunk", "bucket", "groups", "sizes", "pairs", "counts"], [pa.int64(), pa.int32(), *(pa.binary(),) * 4])
 
+    def first(batches):
+        for b, rows in _by(batches, "bucket"):
+            yield _table([_first_seats(b, rows, hot.value)], names, [pa.int32(), *(binary,) * 7])
+
+    def offer(column):
+        def offer(batches):
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    for r in _offered(batch.slice(k, 1).to_pylist()[0], buckets, column):
+                        yield _table([r], ["v", "bucket", "words", "sums"], [pa.int32(), pa.int32(), binary, binary])
+        return offer
+
+    def parent(base, seed):
+        def parent(batches):
+            for v, rows in _by(batches, "v"):
+                for r in _parent(v, rows, base, seed):
+                    yield _table([r], ["bucket", "v", "answer", "known", "customers", "all_tables"], [pa.int32(), pa.int32(), binary, pa.int64(), pa.int64(), pa.float64()])
+        return parent
+
+    def sweep(*given):
+        def sweep(batches):
+            for _, rows in _by(batches, "bucket"):
+                rows.sort(key=lambda r: r["v"])
+                yield _table([_swept(rows[0], [r["answer"] for r in rows[1:]], buckets, hot.value, *given)], names, [pa.int32(), *(binary,) * 7])
+        return sweep
+
     def sample(batches):
-        for _, rows in _by(batches, "bucket"):
-            for r in _merged(rows):
+        for b, rows in _by(batches, "bucket"):
+            rows.sort(key=lambda r: r["chunk"])
+            for r in _merged(rows[1:], unpacked(rows[0]["mean"], "<f4")):
                 yield _table([(r[0], 0, *r[1:])], ["chunk", "kind", "bucket", "a", "b", "c"], [pa.int64(), pa.int32(), pa.int32(), *(pa.binary(),) * 3])
 
     def ask_words(batches):
@@ -279,29 +375,33 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
                 chunk = Chunk(row, hot.value, buckets, vocabulary_only=True)
                 n = len(chunk.words)
                 count = np.bincount(chunk.word, weights=chunk.learnt, minlength=n).astype(np.int64)
-                contexts = np.bincount(chunk.right[chunk.count > 0], minlength=n)
-                bucket = (mix(chunk.words) >> np.uint64(40)).astype(np.int64) % buckets
+                bucket = word_bucket(chunk.words >> np.uint64(32), buckets)
                 order = np.argsort(bucket, kind="stable")
                 edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(edges)):
                     own = order[edges[b]:edges[b + 1]]
-                    yield _table([(row["chunk"], int(b), chunk.words[own].tobytes(), packed(count[own], "<i8"), packed(contexts[own], "<u4"))], ["chunk", "bucket", "words", "counts", "contexts"], [pa.int64(), pa.int32(), *(pa.binary(),) * 3])
+                    yield _table([(row["chunk"], int(b), chunk.words[own].tobytes(), packed(count[own], "<i8"), None)], ["chunk", "bucket", "words", "counts", "sums"], [pa.int64(), pa.int32(), *(pa.binary(),) * 3])
 
     def count_words(batches):
         for b, rows in _by(batches, "bucket"):
+            tabled = [r for r in rows if r["chunk"] is None]
+            rows = [r for r in rows if r["chunk"] is not None]
+            if not rows:
+                continue
             keys = [np.frombuffer(r["words"], np.uint64) for r in rows]
             every, place = np.unique(np.concatenate(keys), return_inverse=True)
             count = np.bincount(place, weights=np.concatenate([unpacked(r["counts"], "<i8") for r in rows]), minlength=len(every)).astype(np.int64)
-            customers = np.bincount(place, weights=np.concatenate([unpacked(r["contexts"], "<u4") for r in rows]), minlength=len(every)).astype(np.int64)
             known = int((count > 0).sum())
+            # The contexts' averaged tables, by the words' short keys; words of one short key share them.
+            short, at = np.unique(every >> np.uint64(32), return_inverse=True)
+            total = np.zeros(len(short))
+            for r in tabled:
+                np.add.at(total, np.searchsorted(short, unpacked(r["words"], "<u4").astype(np.uint64)), unpacked(r["sums"], "<f4"))
+            sharing = np.bincount(at, weights=count > 0, minlength=len(short))
+            customers = np.rint(np.where(count > 0, (total / np.maximum(1, sharing))[at], 0)).astype(np.int64)
             draw, tables = np.random.default_rng(b), np.zeros(len(every))
-            now = np.minimum(customers, 1).astype(np.float64)
-            for sweep in range(BURN + SWEEPS):
-                # All words but this one have their tables in the other buckets too.
-                weight = np.full(len(every), (PARENT_STRENGTH + PARENT_DISCOUNT * now.sum() * buckets) / (known * buckets + 1))
-                now = seat(customers, weight, PARENT_DISCOUNT, draw)
-                if sweep >= BURN:
-                    tables += now / SWEEPS
+            for _ in range(SWEEPS):
+                tables += seat(customers, np.full(len(every), base), PARENT_DISCOUNT, draw) / SWEEPS
             weight = np.maximum(customers - PARENT_DISCOUNT * tables, 0)
             at = 0
             for k, r in enumerate(rows):
@@ -311,12 +411,29 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
                 yield _table([(r["chunk"], 1, b, packed(count[own], "<i8"), packed(weight[own], "<f4"), b"", *sums)], ["chunk", "kind", "bucket", "a", "b", "c", "known", "customers", "tables"], [pa.int64(), pa.int32(), pa.int32(), *(pa.binary(),) * 3, pa.int64(), pa.int64(), pa.float64()])
 
     answer = "chunk long, kind int, bucket int, a binary, b binary, c binary"
-    asked = state.mapInArrow(ask_words, "chunk long, bucket int, words binary, counts binary, contexts binary")
-    words = saved(asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(count_words, answer + ", known long, customers long, tables double"), "words")
+    asked = state.mapInArrow(ask, "chunk long, bucket int, groups binary, sizes binary, pairs binary, counts binary")
+    seats, base = saved(asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(first, SEATS), "seats"), None
+    offers = "v int, bucket int, words binary, sums binary"
+    for k in range(BURN + SWEEPS):
+        sums = seats.mapInArrow(offer("tables"), offers).repartition(buckets, "v").sortWithinPartitions("v", "bucket")
+        told = saved(sums.mapInArrow(parent(base, 2 * k), "bucket int, v int, answer binary, known long, customers long, all_tables double"), "parent")
+        known, customers, tables = (x or 0 for x in told.agg(F.sum("known"), F.sum("customers"), F.sum("all_tables")).first())
+        base = (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)
+        whole = sum((unpacked(r[0], "<f8") for r in seats.select("hot").toLocalIterator()), np.zeros(len(hot.value[0])))
+        both = seats.withColumn("v", F.lit(-1)).unionByName(told.select("bucket", "v", "answer"), allowMissingColumns=True)
+        both = both.repartition(buckets, "bucket").sortWithinPartitions("bucket", "v")
+        swept = saved(both.mapInArrow(sweep(whole, known, customers, tables, 2 * k + 1, k >= BURN), SEATS), "seats")
+        dropped(told)
+        dropped(seats)
+        seats = swept
+    base = base or 1.0
+    asked_words = state.mapInArrow(ask_words, "chunk long, bucket int, words binary, counts binary, sums binary")
+    sums = seats.mapInArrow(offer("mean"), offers).select(F.lit(None).cast("long").alias("chunk"), F.col("v").alias("bucket"), "words", F.lit(None).cast("binary").alias("counts"), "sums")
+    words = saved(asked_words.unionByName(sums).repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(count_words, answer + ", known long, customers long, tables double"), "words")
     totals = words.agg(F.sum("known"), F.sum("customers"), F.sum("tables")).first()
     known, customers, tables = (x or 0 for x in totals)
-    asked = state.mapInArrow(ask, "chunk long, bucket int, groups binary, sizes binary, pairs binary, counts binary")
-    pairs = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(sample, answer)
+    mean = seats.select(F.lit(-1).cast("long").alias("chunk"), "bucket", "mean")
+    pairs = asked.unionByName(mean, allowMissingColumns=True).repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(sample, answer)
 
     def finish(batches):
         for _, rows in _by(batches, "chunk"):
@@ -331,7 +448,7 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
             context_customers = np.bincount(chunk.group_left, weights=np.concatenate([unpacked(r["b"], "<i8") for r in own]), minlength=n)
             context_tables = np.bincount(chunk.group_left, weights=np.concatenate([unpacked(r["c"], "<f4") for r in own]), minlength=n)
             own = [r for r in rows if r["kind"] == 1]
-            order = np.argsort((mix(chunk.words) >> np.uint64(40)).astype(np.int64) % buckets, kind="stable")
+            order = np.argsort(word_bucket(chunk.words >> np.uint64(32), buckets), kind="stable")
             count, parent = np.zeros(n, np.int64), np.zeros(n)
             count[order] = np.concatenate([unpacked(r["a"], "<i8") for r in own])
             parent[order] = np.concatenate([unpacked(r["b"], "<f4") for r in own])
