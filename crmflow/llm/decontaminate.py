@@ -228,7 +228,7 @@ class Block:
             text = block >> 40 << 40
             start = np.unique(np.maximum(block[:, None] - np.arange(-1, 5), text[:, None]).ravel())
             low, high = np.searchsorted(block, np.maximum(start - 1, start >> 40 << 40)), np.searchsorted(block, start + 5)
-            some = edge[high] - edge[low] >= 2
+            some = high > low
             start, low, high = start[some], low[some], high[some]
             d = start >> 40
             begin, i = first[d] + (start & ((1 << 40) - 1)) * stride, 0

@@ -80,3 +80,10 @@ def test_items_in_several_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
     benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
     assert want <= {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, benchmark).collect()}
+
+
+def test_items_of_one_word_and_frequent_terms(spark):
+    docs = spark.createDataFrame([(d, f"some common words in all texts {'singleton' if d == 3 else 'other'} end") for d in range(40)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(0, "Singleton."), (1, "common words in all texts")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, benchmark).collect()}
+    assert got == {(3, 0), *((d, 1) for d in range(40))}
