@@ -193,10 +193,10 @@ def training_lines(docs: DataFrame, labels: DataFrame, rows: int):
                 end = np.cumsum(lines.count)
                 for k in range(j - i):
                     own = slice(int(end[k] - lines.count[k]), int(end[k]))
-                    x = lines.features[own][:400]
+                    x = lines.features[own]
                     if len(x):
                         y = np.full(len(x), 1 - good[k])
-                        y[(lines.again[own][:400]) | (x[:, 21] > 0)] = 1
+                        y[lines.again[own] | (x[:, 21] > 0)] = 1
                         yield pa.record_batch([pa.array([x.astype(np.int8).tobytes()], pa.binary()), pa.array([y.astype(np.int8).tobytes()], pa.binary())], names=["x", "y"])
 
     got = texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("text", "quality").mapInArrow(gather, "x binary, y binary").collect()
