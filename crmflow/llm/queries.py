@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 from pyspark.sql import DataFrame, SparkSession
 
-from crmflow.llm import common, decontaminate, hpy_model, line_labels, mixing, ngram_join, pii, quality_model, sharding, token_files, toxicity
+from crmflow.llm import byte_bpe, common, decontaminate, fill_in_middle, hpy_model, line_labels, mixing, ngram_join, periodic_runs, pii, quality_model, sharding, token_files, toxicity
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +45,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(common.documents(spark, sf_dir), _labels(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(common.documents(spark, sf_dir))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(common.documents(spark, sf_dir))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(common.documents(spark, sf_dir))
+
+
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -55,5 +67,6 @@ def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {x.__name__: x for x in (
     op1_mixing_to_target_weights, op2_token_id_binary_output, op3_personal_data, op4_quality_rules, op5_sharding, op6_quality_classifier, op7_ngram_jaccard_join, op8_benchmark_decontamination, op9_language_model, op10_toxicity,
+    op11_periodic_runs, op12_byte_bpe, op13_fill_in_middle,
 )}
-SQL: dict = {}
+SQL: dict = {"op13_fill_in_middle": fill_in_middle.SQL}
