@@ -3,8 +3,9 @@
 The library works on characters, so every byte stands for one printable character. A rank file names tokens only; the pair
 each token is merged from is what the lower ranks make of its bytes. A whole match that is a token is taken as it is.
 
-Matches never cross the places where a run of non-space characters (with one space before it) begins or white space ends,
-so a text is cut there and the library sees each distinct cut of a partition once; long cuts always go to it.
+Matches never cross the places where a run of non-space characters (with one space before it) begins, white space ends or
+a run of Latin letters meets ASCII punctuation, so a text is cut there. The library sees a cut when it is new to the task:
+the store has a younger and an older half, and what is used again moves back to the younger; long cuts always go to it.
 
 Nulls: a null text is empty and has no ids; a null doc_id stays. Very long texts: encoded whole, one piece of about 1 MB of
 texts at a time, a longer text alone. Repeated rows: one row each. Ties of equal ranks: the leftmost pair first. No rows: no
@@ -15,6 +16,7 @@ import functools
 import itertools
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +26,15 @@ from pyspark.sql import functions as F
 from crmflow.llm.common import texts
 from crmflow.llm.textgrid import pieces
 
-#: Cuts kept in a task's store before it starts anew, and the longest that is kept (characters).
-STORED, LONGEST = 200_000, 64
+#: Cuts of the store's younger half before it becomes the older one, and the longest that is kept (characters).
+STORED, LONGEST = 150_000, 64
 
 #: White space of the pattern's ``\s`` (Unicode's White_Space, fixed).
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_CUTS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: Letters up to U+024F, a fixed range; the pattern takes a whole run of them with one space before it.
+_LETTER = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u024f"
+_CUTS = re.compile(
+    f" ?[{_LETTER}]++(?=[\\x00-@\\[-`{{-\\x7f]|$)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 def default_ranks() -> str:
@@ -133,31 +138,34 @@ def byte_table(path: str, pattern: str) -> ByteTable:
 
 
 class Encoder:
-    """Ids of texts; ``store`` holds those of the distinct cuts of this task."""
+    """Ids of texts; ``young`` and ``old`` hold those of cuts seen by this task, 4 bytes an id."""
 
     def __init__(self, path: str, pattern: str):
-        self.tokenizer, self.store = tokenizer(path, pattern), {}
+        self.tokenizer, self.young, self.old = tokenizer(path, pattern), {}, {}
 
-    def ids(self, rows: list[str]) -> list[list[int]]:
+    def ids(self, rows: list[str]) -> list[np.ndarray]:
         cuts = [_CUTS.findall(x) for x in rows]
-        new = sorted({c for own in cuts for c in own if c not in self.store})
-        if len(self.store) + len(new) > STORED:
-            self.store.clear()
-            new = sorted({c for own in cuts for c in own})
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        store = self.store
-        store.update((c, e.ids) for c, e in zip(new, found))
-        out = [list(itertools.chain.from_iterable(map(store.__getitem__, own))) for own in cuts]
+        young, old = self.young, self.old
+        new = set(itertools.chain.from_iterable(cuts)).difference(young)
+        young.update((c, old[c]) for c in new.intersection(old))
+        new = sorted(new.difference(old))
+        # A few thousand at once: the library's results are far larger than the ids.
+        for k in range(0, len(new), 4096):
+            part = new[k:k + 4096]
+            young.update(zip(part, [array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]))
+        out = [np.frombuffer(b"".join(map(young.__getitem__, own)), np.int32) for own in cuts]
         for c in new:
             if len(c) > LONGEST:
-                del store[c]
+                del young[c]
+        if len(young) > STORED:
+            self.young, self.old = {}, young
         return out
 
 
 def _lists(rows, kind):
     """An Arrow list column of number arrays."""
     ends = np.cumsum([0, *(len(x) for x in rows)])
-    flat = np.concatenate([np.empty(0, kind), *(np.asarray(x, kind) for x in rows)])
+    flat = np.concatenate([np.empty(0, kind), *rows], dtype=kind)
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
