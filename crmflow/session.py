@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,17 +45,31 @@ def build_session(app: str = "crmflow", cpus: str = "*", shuffle_partitions: int
     return spark
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage there.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``, which the driver and all executors see.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Where none is set, a local master, as in
-    tests, gets a temporary one; on a cluster that is an error, since executors would not see each
-    other's files. Losing an executor never loses the checkpointed rows.
+    Where none is set, a local master, as in tests, gets a temporary one; on a cluster that is an
+    error, since executors would not see each other's files.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = sc.getConf().get("spark.checkpoint.dir")
         if not shared and not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="crmflow-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the session ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared folder and cut its lineage there. Losing an executor never
+    loses the checkpointed rows."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

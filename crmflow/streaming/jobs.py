@@ -1,7 +1,9 @@
 """Streaming jobs: the batch operators behind ``foreachBatch``, and windowed counts.
 
 Each output of a micro-batch is a directory named by its batch id and written with overwrite, so
-a replayed batch replaces its own output. Offsets live in the query's checkpoint.
+a replayed batch replaces its own output. Offsets live in the query's checkpoint. Messages that
+earlier batches brought are known from the job's ledger (``SeenIds``): a redelivered message changes
+nothing, and another content under a known event id goes to the dead letters.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from crmflow.operators import parse, quality, routing
 from crmflow.operators.history import boundaries
 from crmflow.operators.query import union_raw
 from crmflow.registry import HISTORY_TABLES, OBJECT_TYPES
+from crmflow.sources.seen import CONFLICT, FIRST, SeenIds
 from crmflow.sources.versions import VersionsTable
 
 # Windows, lateness and triggers of the two paths.
@@ -54,8 +57,14 @@ def mark_conflicts(messages: DataFrame) -> DataFrame:
     )
 
 
-def conflict_letters(marked: DataFrame) -> DataFrame:
-    return marked.where("conflict").select(
+def arrivals(messages: DataFrame, ledger: SeenIds, batch_id: int, clock: Column) -> DataFrame:
+    """Distinct parsed messages of a micro-batch with their ``arrival``, judged by the ledger."""
+    parsed = distinct_messages(parse.parse_messages(messages, clock))
+    return ledger.judge(parsed, batch_id, F.try_variant_get("event", "$.event_id", "string"), F.col("value"))
+
+
+def conflict_letters(marked: DataFrame, where: str = "conflict") -> DataFrame:
+    return marked.where(where).select(
         F.lit("conflicting event id").alias("error"), F.col("text").alias("original_message"),
         F.col("ingestion_time").alias("timestamp"),
     )
@@ -90,13 +99,15 @@ class CdcJob:
         validated = routing.validate_events(parse.envelope(parsed), self._clock(), self.rules)
         return routing.route_by_object(validated, self.enabled, self.tracked)
 
-    def _marked(self, batch: DataFrame) -> DataFrame:
-        return mark_conflicts(distinct_messages(parse.parse_messages(batch, self._clock())))
+    def ledger(self, name: str) -> SeenIds:
+        """What the job ``name`` (raw, history) has seen."""
+        return SeenIds(self.spark, f"{self.base}/seen/{name}")
 
     def raw_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Raw rows, alerts, late events and dead letters of one micro-batch."""
-        marked = self._marked(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        parsed = marked.where("NOT conflict").drop("conflict")
+        ledger = self.ledger("raw")
+        marked = arrivals(batch, ledger, batch_id, self._clock()).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = _new(marked)
         events = self._events(parsed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = self._raw_rows(events)
@@ -120,7 +131,9 @@ class CdcJob:
                 F.col("text").alias("original_message"), F.col("ingestion_time").alias("timestamp"),
             )
             letters = parse.dead_letters(parsed).unionByName(unrouted).unionByName(unfit)
-            write_batch(letters.unionByName(conflict_letters(marked)), f"{self.base}/dead_letters", batch_id)
+            write_batch(letters.unionByName(conflict_letters(marked, CONFLICTS)), f"{self.base}/dead_letters", batch_id)
+            ledger.record(marked, batch_id)
+            ledger.fold()
         finally:
             events.unpersist()
             marked.unpersist()
@@ -143,9 +156,17 @@ class CdcJob:
 
         Messages left out for their event id go to ``history_dead_letters``.
         """
-        marked = self._marked(batch)
-        write_batch(conflict_letters(marked), f"{self.base}/history_dead_letters", batch_id)
-        events = self._events(marked.where("NOT conflict").drop("conflict"))
+        ledger = self.ledger("history")
+        marked = arrivals(batch, ledger, batch_id, self._clock()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(conflict_letters(marked, CONFLICTS), f"{self.base}/history_dead_letters", batch_id)
+            self._fold_history(self._events(_new(marked)), batch_id)
+            ledger.record(marked, batch_id)
+            ledger.fold()
+        finally:
+            marked.unpersist()
+
+    def _fold_history(self, events: DataFrame, batch_id: int) -> None:
         wanted = events.where(F.col("is_valid") & F.col("to_history"))
         moved = boundaries(wanted, self.tracked_fields, keep=("object_type",))
         write_batch(moved, f"{self.base}/boundary_log", batch_id, ("object_type",))
@@ -170,6 +191,14 @@ class CdcJob:
         return trigger(writer, once, every).start()
 
 
+CONFLICTS = f"arrival = '{CONFLICT}'"
+
+
+def _new(marked: DataFrame) -> DataFrame:
+    """Messages no earlier batch brought."""
+    return marked.where(F.col("arrival") == FIRST).drop("arrival", "__key", "__content")
+
+
 def trigger(writer: DataStreamWriter, once: bool, every: str) -> DataStreamWriter:
     """Everything available and stop, or a micro-batch per interval."""
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
@@ -183,17 +212,23 @@ class IngestJob:
     ingestion_time: Column | None = None
 
     def batch(self, messages: DataFrame, batch_id: int) -> None:
-        checked = parse.check_generic(parse.parse_messages(messages, self.ingestion_time))
-        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+        ledger = SeenIds(messages.sparkSession, f"{self.base}/seen")
+        clock = F.current_timestamp() if self.ingestion_time is None else self.ingestion_time
+        marked = arrivals(messages, ledger, batch_id, clock).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = parse.check_generic(_new(marked)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_batch(parse.raw_events(checked), f"{self.base}/raw_events", batch_id)
             invalid = checked.where(F.col("route") == "invalid").select(
                 F.lit("missing required key").alias("error"), F.col("text").alias("original_message"),
                 F.col("ingestion_time").alias("timestamp"),
             )
-            write_batch(parse.dead_letters(checked).unionByName(invalid), f"{self.base}/dead_letters", batch_id)
+            letters = parse.dead_letters(checked).unionByName(invalid).unionByName(conflict_letters(marked, CONFLICTS))
+            write_batch(letters, f"{self.base}/dead_letters", batch_id)
+            ledger.record(marked, batch_id)
+            ledger.fold()
         finally:
             checked.unpersist()
+            marked.unpersist()
 
     def start(self, messages: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
         writer = messages.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint)

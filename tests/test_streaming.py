@@ -140,3 +140,73 @@ def test_messages_with_one_event_id_are_not_lost(spark):
         assert kept == sorted(set(texts) - {texts[2]})
         assert marked.where("text IS NULL").count() == 3
         assert [r.original_message for r in jobs.conflict_letters(marked).collect()] == [texts[2]]
+
+
+def counts(spark, path, column):
+    return {r[0]: r.n for r in spark.read.parquet(path).groupBy(column).agg(F.count("*").alias("n")).collect()}
+
+
+def test_redelivered_batches_change_nothing(spark, sf_dir, tmp_path):
+    job = jobs.CdcJob(spark, str(tmp_path / "out"), feed.as_of(), tracked=("Account",), buckets=1)
+    rows = feed.cdc_messages(spark, sf_dir)
+    job.raw_batch(rows, 0)
+    raw, letters = spark.read.parquet(f"{job.base}/raw").count(), counts(spark, f"{job.base}/dead_letters", "error")
+    # All again, and for one kind of event the same id with another content.
+    altered = rows.where("try_validate_utf8(CAST(value AS STRING)) IS NOT NULL AND message_id LIKE '%7'")
+    altered = altered.withColumn("value", F.regexp_replace(F.col("value").cast("string"), '"Open"', '"Shut"').cast("binary"))
+    job.raw_batch(rows.unionByName(altered), 1)
+    now = counts(spark, f"{job.base}/dead_letters", "error")
+    assert spark.read.parquet(f"{job.base}/raw").count() == raw == 840
+    text = F.col("value").cast("string")
+    whole = altered.where(F.try_parse_json(text).isNotNull() & text.contains('"Shut"')).count()
+    assert now.pop("conflicting event id") == whole > 0
+    # Broken messages have no id: a changed one is a new message.
+    assert {k: v for k, v in now.items() if k != "invalid json"} == {k: v for k, v in letters.items() if k != "invalid json"}
+    # The conflicting messages again: no second letter.
+    job.raw_batch(altered, 2)
+    assert counts(spark, f"{job.base}/dead_letters", "error")["conflicting event id"] == whole
+    for n in (0, 1):
+        job.history_batch(rows, n)
+    assert same(job.versions("Account").history(), h.apply_scd2(_valid(spark, rows, "Account"), None))
+
+
+def _valid(spark, rows, name):
+    parsed = parse.parse_messages(rows, feed.as_of())
+    return routing.validate_events(parse.envelope(parsed), feed.as_of()).where(F.col("is_valid") & (F.col("object_type") == name))
+
+
+def test_redelivered_generic_events(spark, sf_dir, tmp_path):
+    source = feed.generic_messages(spark, sf_dir)
+    job = jobs.IngestJob(str(tmp_path / "out"), feed.as_of())
+    job.batch(source, 0)
+    first = spark.read.parquet(f"{job.base}/raw_events").count()
+    letters = spark.read.parquet(f"{job.base}/dead_letters").count()
+    other = F.regexp_replace(F.col("value").cast("string"), '"feed"', '"other"').cast("binary")
+    job.batch(source.unionByName(source.limit(5).withColumn("value", other)), 1)
+    assert spark.read.parquet(f"{job.base}/raw_events").count() == first > 0
+    assert spark.read.parquet(f"{job.base}/dead_letters").count() == letters + 5
+
+
+def test_ledger_folds_and_replays(spark, tmp_path):
+    from crmflow.sources.seen import SeenIds
+
+    ledger = SeenIds(spark, str(tmp_path / "seen"), fold_every=2)
+    text = F.concat_ws("-", "id", "v")
+
+    def arrivals(rows, batch):
+        judged = ledger.judge(spark.createDataFrame(rows, "id string, v int"), batch, F.col("id"), text.cast("binary")).cache()
+        ledger.record(judged, batch)
+        ledger.fold()
+        return sorted((r.id or "", r.v, r.arrival) for r in judged.collect())
+
+    assert arrivals([("a", 1), ("a", 2), ("b", 1), (None, 1)], 0) == [("", 1, "first"), ("a", 1, "first"), ("a", 2, "conflict"), ("b", 1, "first")]
+    assert arrivals([("a", 1), ("a", 2), ("a", 3), (None, 1), (None, 2), ("", 3), ("", 4)], 1) == [
+        ("", 1, "repeated"), ("", 2, "first"), ("", 3, "first"), ("", 4, "first"),
+        ("a", 1, "repeated"), ("a", 2, "repeated"), ("a", 3, "conflict")]
+    for batch in range(2, 6):
+        assert arrivals([("c", batch), ("a", 1)], batch) == [("a", 1, "repeated"), ("c", batch, "first" if batch == 2 else "conflict")]
+    # Judged and recorded again, also after its run was folded: the same.
+    assert arrivals([("c", 5), ("a", 1)], 5) == [("a", 1, "repeated"), ("c", 5, "conflict")]
+    assert {r["level"] for r in ledger.generations.current()[1]["runs"]} == {1, 2}
+    assert ledger.entries().groupBy("key", "content").count().where("count > 1").isEmpty()
+    assert ledger.clean() >= 4 and ledger.entries().count() == 12
