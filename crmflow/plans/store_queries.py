@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crmflow.operators import history as h
 from crmflow.plans.catalog import query
-from crmflow.plans.feed import numbered_events
+from crmflow.plans.feed import FEED_SQL, TRACKED, numbered_events, result, state_feed
 from crmflow.session import reliable, shared_path
 from crmflow.sources.seen import SeenIds
+from crmflow.sources.versions import VersionsTable
 
 # Three deliveries of the events as (versions of the message, condition on k): ids come again with the
 # same and with another content, in the same and in later deliveries.
@@ -45,3 +47,22 @@ def redelivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ledger.fold()
     return reduce(DataFrame.unionByName, [
         df.select(F.lit(batch).alias("batch"), "event_id", "version", "arrival") for batch, df in enumerate(judged)])
+
+
+@query(f"""WITH {FEED_SQL}
+SELECT id, valid_from, valid_to, is_current, change_type, changed_fields, state_type, state_value, event_id FROM versions""")
+def scd2_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history as stored by three merges out of order, one of them twice: the first two are compacted, the third is pending."""
+    feed, _ = state_feed(spark, sf_dir)
+    feed = reliable(feed)
+    types = {f.name: f.dataType for f in feed.schema.fields}
+    table = VersionsTable(
+        spark, shared_path(spark, "versions"), types["after"], buckets=4, event_id_type=types["event_id"], compact_after=2)
+    moves = h.boundaries(feed, TRACKED)
+    turn = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for batch in (0, 1, 1, 2):
+        table.merge(moves.where(turn == batch), batch_id=batch)
+    state = F.col("record_data")
+    return result(table.history().select(
+        "id", "valid_from", "valid_to", "is_current", "change_type", F.concat_ws(",", "changed_fields").alias("changed_fields"),
+        state["event_type"].alias("state_type"), state["value"].alias("state_value"), "event_id"))

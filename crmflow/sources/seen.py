@@ -26,7 +26,7 @@ def digest(value: Column) -> Column:
 
 def ledger_key(event_id: Column, content: Column) -> Column:
     """The event id; a message without one (null or empty) goes by its content."""
-    name = F.nullif(event_id, F.lit(""))
+    name = F.nullif(event_id.cast("string"), F.lit(""))
     return F.coalesce(F.concat(F.lit("id:"), name), F.concat(F.lit("content:"), F.hex(content)))
 
 

@@ -172,7 +172,7 @@ class CdcJob:
         write_batch(moved, f"{self.base}/boundary_log", batch_id, ("object_type",))
         written = self.spark.read.schema(moved.schema).parquet(f"{self.base}/boundary_log/batch_id={batch_id}")
         for name in self.tracked:
-            self.versions(name).merge(written.where(F.col("object_type") == name).drop("object_type"))
+            self.versions(name).merge(written.where(F.col("object_type") == name).drop("object_type"), batch_id=batch_id)
 
     def rebuild_history(self) -> None:
         """History tables anew from the boundary log."""

@@ -237,3 +237,88 @@ def test_snapshot_diff_sees_an_added_column(spark):
     old = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string")
     new = spark.createDataFrame([("1", "a", "x"), ("2", "b", None)], "id string, name string, phone string")
     assert [(r.record_id, r.changed_fields) for r in snapshot_diff(old, new, "id").collect()] == [("1", ["phone"])]
+
+
+def _boundary(spark, *rows):
+    return h.boundaries(events_of(spark, [(e, r, "INSERT", at, None, f'{{"e":"{e}"}}') for e, r, at in rows]))
+
+
+def test_a_merge_writes_only_its_delta(spark, tmp_path):
+    table = VersionsTable(spark, str(tmp_path / "v"), buckets=2, compact_after=3)
+    table.rebuild(_boundary(spark, *[(f"E{i}", f"r{i}", hours(0)) for i in range(50)]))
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "v").rglob("*.parquet")}
+    table.merge(_boundary(spark, ("N1", "r7", hours(1))), batch_id=0)
+    new = [f for f in (tmp_path / "v").rglob("*.parquet") if f not in files]
+    assert new and all("/deltas/" in str(f) for f in new)
+    assert {f: f.stat().st_mtime_ns for f in files} == files
+    assert table.history().count() == 51 and table.history().where("id = 'r7' AND is_current").first().event_id == "N1"
+    # A recorded batch is not stored again, whatever it holds.
+    table.merge(_boundary(spark, ("N1", "r7", hours(1))), batch_id=0)
+    assert len(table._state()["deltas"]) == 1 and table._state()["batches"] == [[0, 0]]
+    assert table.as_of(hours(0)).count() == 50 and table.as_of(hours(2)).where("event_id = 'N1'").count() == 1
+    assert same(table.current(), table.history().where("is_current"))
+    table.compact()
+    assert not table._state()["deltas"] and table.history().count() == 51
+    assert same(table.current(), table.history().where("is_current"))
+
+
+def test_untouched_records_are_read_without_a_shuffle(spark, tmp_path):
+    table = VersionsTable(spark, str(tmp_path / "v"), buckets=2)
+    table.rebuild(_boundary(spark, *[(f"E{i}", f"r{i}", hours(i % 3)) for i in range(50)]))
+    table.append(_boundary(spark, ("N1", "r7", hours(5))))
+    plan = table.history()._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan
+    physical = table.history()._jdf.queryExecution().executedPlan().toString()
+    anti = next(x for x in physical.splitlines() if "LeftAnti" in x)
+    assert "BroadcastHashJoin" in anti and "BuildRight" in anti
+
+
+def test_a_reader_keeps_its_generation(spark, tmp_path):
+    table = VersionsTable(spark, str(tmp_path / "v"), buckets=1, compact_after=1)
+    table.merge(_boundary(spark, ("E1", "r", hours(0))))
+    before = table.history()
+    table.merge(_boundary(spark, ("E2", "r", hours(1))))
+    assert [r.event_id for r in before.collect()] == ["E1"]
+    now = table.history().orderBy("valid_from").collect()
+    assert [(r.event_id, r.is_current) for r in now] == [("E1", False), ("E2", True)]
+    assert table.clean() > 0
+    assert table.history().count() == 2
+
+
+def test_a_merge_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    table = VersionsTable(spark, str(tmp_path / "v"), buckets=1, compact_after=1)
+    table.merge(_boundary(spark, ("E1", "r", hours(0))), batch_id=0)
+    held = table.generations.current()
+
+    def dies(change):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(table.generations, "update", dies)
+    for step in (lambda: table.append(_boundary(spark, ("E2", "r", hours(1))), 1), lambda: table.rebuild(_boundary(spark, ("E3", "q", hours(1))))):
+        with pytest.raises(KeyboardInterrupt):
+            step()
+    monkeypatch.undo()
+    assert table.generations.current() == held
+    assert [r.event_id for r in table.history().collect()] == ["E1"]
+    table.merge(_boundary(spark, ("E2", "r", hours(1))), batch_id=1)
+    assert table.history().count() == 2
+
+
+def test_two_writers(spark, tmp_path):
+    """A delta that comes while another writer compacts stays pending; the slower of two compactions gives way."""
+    one, two = (VersionsTable(spark, str(tmp_path / "v"), buckets=1, compact_after=99) for _ in range(2))
+    one.merge(_boundary(spark, ("E1", "r", hours(0))))
+    write = one._write
+
+    def meanwhile(rows):
+        done = write(rows)
+        two.append(_boundary(spark, ("E2", "r", hours(1))))
+        two.compact()
+        return done
+
+    one._write = meanwhile
+    assert one.compact() is False
+    assert not two._state()["deltas"]
+    assert [(r.event_id, r.is_current) for r in two.history().orderBy("valid_from").collect()] == [("E1", False), ("E2", True)]
+    number, content = two.generations.current()
+    assert one.generations.publish(number, content) is False
