@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from crmflow.functions.values import encode_nested
 from crmflow.operators.quality import require_threshold, validate_batch
@@ -28,7 +29,7 @@ def ingest(
     """Append the responses (object name -> path) to their raw tables; returns the tables written.
 
     Invalid rows are kept and marked. With ``max_error_percent`` an object above it stops the run
-    before anything of that object is written.
+    before anything of that object is visible; the share is taken from the staged rows, so a response is read once.
     """
     written = []
     for name, path in responses.items():
@@ -36,10 +37,13 @@ def ingest(
             continue
         records = read_envelopes(spark, path, name, at, multi_line=multi_line)
         checked = validate_batch(records, at, rules=rules)
-        if max_error_percent is not None:
-            require_threshold(checked.withColumnRenamed("_is_valid", "is_valid"), max_error_percent)
+        gate = None if max_error_percent is None else partial(_gate, max_error_percent)
         rows = encode_nested(checked, skip=["_validation_errors"])
         out = table_path(base, name)
-        append_raw(rows, out, sink_schema(name), OBJECTS[name].cluster_by, disposition, on_bad)
+        append_raw(rows, out, sink_schema(name), OBJECTS[name].cluster_by, disposition, on_bad, audit=gate)
         written.append(out)
     return written
+
+
+def _gate(max_error_percent: float, staged: DataFrame) -> None:
+    require_threshold(staged.withColumnRenamed("_is_valid", "is_valid"), max_error_percent)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from crmflow.sources.generations import Generations
 
 FIRST, REPEATED, CONFLICT = "first", "repeated", "conflict"
-_ENTRY = "key string, content binary, won boolean, batch long"
+_ENTRY = "key string, content binary, won boolean, source string, batch long"
 
 
 def digest(value: Column) -> Column:
@@ -31,9 +31,10 @@ def ledger_key(event_id: Column, content: Column) -> Column:
 
 
 class SeenIds:
-    def __init__(self, spark: SparkSession, path: str, fold_every: int = 16):
-        """``fold_every`` runs of a size are folded into one."""
-        self.spark, self.path, self.fold_every = spark, path.rstrip("/"), fold_every
+    def __init__(self, spark: SparkSession, path: str, fold_every: int = 16, source: str = ""):
+        """``fold_every`` runs of a size are folded into one. ``source`` tells streams apart that number
+        their batches alike, as a stream with a new checkpoint does."""
+        self.spark, self.path, self.fold_every, self.source = spark, path.rstrip("/"), fold_every, source
         self.generations = Generations(spark, path)
 
     def _read(self, runs: list[dict]) -> DataFrame:
@@ -57,7 +58,8 @@ class SeenIds:
         named = messages.withColumns({"__content": content, "__key": ledger_key(event_id, content)})
         ours = named.groupBy("__key").agg(
             F.count("*").alias("__n"), F.min_by("__content", value.cast("binary")).alias("__least"))
-        near = self.entries().where(F.col("batch") < batch_id).join(
+        earlier = (F.col("source") != self.source) | (F.col("batch") < batch_id)
+        near = self.entries().where(earlier).join(
             ours.select(F.col("__key").alias("key")), "key", "left_semi")
         winners = near.where("won").select(F.col("key").alias("__key"), F.col("content").alias("__stored"))
         losers = near.where("NOT won").select(
@@ -77,16 +79,17 @@ class SeenIds:
 
     def record(self, judged: DataFrame, batch_id: int) -> None:
         """Add what the batch brought. Recording a batch again replaces its own run with the same rows."""
-        name = f"batch-{batch_id}"
+        name = f"batch-{self.source}-{batch_id}"
         new = judged.where(F.col("arrival") != REPEATED).select(
             F.col("__key").alias("key"), F.col("__content").alias("content"),
-            (F.col("arrival") == FIRST).alias("won"), F.lit(batch_id).cast("long").alias("batch"))
+            (F.col("arrival") == FIRST).alias("won"), F.lit(self.source).alias("source"), F.lit(batch_id).cast("long").alias("batch"))
         self._write(new, name)
 
         def added(content):
             runs = content["runs"] if content else []
-            folded = any(r["first"] <= batch_id <= r["last"] for r in runs)
-            return None if folded else {"runs": [*runs, {"name": name, "level": 0, "first": batch_id, "last": batch_id}]}
+            if any(name in r["batches"] for r in runs):
+                return None
+            return {"runs": [*runs, {"name": name, "level": 0, "batches": [name]}]}
 
         self.generations.update(added)
 
@@ -103,8 +106,7 @@ class SeenIds:
             self._write(self._read(group), name)
             folded += [r["name"] for r in group]
             runs = [r for r in runs if r["level"] != level] + [{
-                "name": name, "level": level + 1,
-                "first": min(r["first"] for r in group), "last": max(r["last"] for r in group)}]
+                "name": name, "level": level + 1, "batches": [b for r in group for b in r["batches"]][-self.fold_every:]}]
             level += 1
         if not folded:
             return False

@@ -28,6 +28,7 @@ from crmflow.sources.generations import Generations, has_batch, with_batch
 
 OPEN = "open"
 PLACE = ["period", "bucket"]
+EMPTY = {"places": {}, "deltas": [], "batches": {}}
 
 
 class VersionsTable:
@@ -61,7 +62,7 @@ class VersionsTable:
     # Reading
 
     def _state(self) -> dict:
-        return self.generations.current()[1] or {"places": {}, "deltas": [], "batches": []}
+        return self.generations.current()[1] or EMPTY
 
     def _stored(self, state: dict, since_day: str | None = None, before: bool = False) -> DataFrame:
         """Compacted versions with their place; with ``since_day`` those open or closed from then on (or ``before`` it)."""
@@ -137,12 +138,13 @@ class VersionsTable:
 
     # Writing
 
-    def append(self, new: DataFrame, batch_id: int | None = None) -> bool:
+    def append(self, new: DataFrame, batch_id: int | None = None, source: str = "") -> bool:
         """Store boundaries as a delta; False if ``batch_id`` is recorded already or there is nothing.
 
-        Nothing stored is read. Under two writers with one batch id only the first is recorded.
+        Nothing stored is read. Under two writers with one batch id only the first is recorded. ``source``
+        names the stream that numbers the batches.
         """
-        if batch_id is not None and has_batch(self._state()["batches"], batch_id):
+        if batch_id is not None and has_batch(self._state()["batches"].get(source, []), batch_id):
             return False
         name = f"{'x' if batch_id is None else batch_id}-{uuid.uuid4().hex}"
         path = f"{self.path}/deltas/{name}"
@@ -153,10 +155,11 @@ class VersionsTable:
         entry = {"name": name, "rows": rows, "first": first, "first_day": day}
 
         def added(content):
-            content = content or {"places": {}, "deltas": [], "batches": []}
-            if batch_id is not None and has_batch(content["batches"], batch_id):
+            content = content or EMPTY
+            own = content["batches"].get(source, [])
+            if batch_id is not None and has_batch(own, batch_id):
                 return None
-            batches = content["batches"] if batch_id is None else with_batch(content["batches"], batch_id)
+            batches = content["batches"] if batch_id is None else {**content["batches"], source: with_batch(own, batch_id)}
             if not rows and batches == content["batches"]:
                 return None
             return {**content, "deltas": content["deltas"] + ([entry] if rows else []), "batches": batches}
@@ -164,9 +167,10 @@ class VersionsTable:
         published = self.generations.update(added)
         return bool(rows) and any(d["name"] == name for d in published["deltas"])
 
-    def merge(self, new: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, batch_id: int | None = None) -> None:
+    def merge(self, new: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, batch_id: int | None = None,
+              source: str = "") -> None:
         """Fold boundaries into the table. Repeating a batch leaves the table as it is."""
-        self.append(new, batch_id)
+        self.append(new, batch_id, source)
         if len(self._state()["deltas"]) >= self.compact_after:
             self.compact(max_rows)
 
@@ -207,7 +211,7 @@ class VersionsTable:
         rows = self._placed(as_history(chain(log, hot), emit_tombstones=True))
         folder, filled = self._write(rows)
         self.generations.update(lambda content: {
-            "places": {p: folder for p in filled}, "deltas": [], "batches": content["batches"] if content else []})
+            "places": {p: folder for p in filled}, "deltas": [], "batches": content["batches"] if content else {}})
 
     def _write(self, rows: DataFrame) -> tuple[str, list[str]]:
         """Rows in a folder of their own; the folder's name and the places it has."""

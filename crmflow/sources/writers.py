@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crmflow.operators.parse import conform, missing_required
+from crmflow.sources.staged import Files, Stage, recover
 
 # Write dispositions of the configuration and their save modes.
 DISPOSITIONS = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite", "WRITE_EMPTY": "errorifexists"}
@@ -28,6 +30,14 @@ def split_conforming(df: DataFrame, schema: T.StructType, skip_invalid: bool = F
     With ``skip_invalid`` a value that does not fit only nulls its column, and a row is bad
     only when a required column is null. Undeclared columns are refused unless ignored.
     """
+    checked = with_problems(df, schema, skip_invalid, ignore_unknown)
+    good = checked.where(F.size("problems") == 0).drop("problems", "__original")
+    return good, checked.where(F.size("problems") > 0)
+
+
+def with_problems(df: DataFrame, schema: T.StructType, skip_invalid: bool = False,
+                  ignore_unknown: bool = False) -> DataFrame:
+    """All rows in the sink schema with ``problems`` (empty where a row is good) and the row as it came in ``__original``."""
     unknown = [c for c in df.columns if c not in schema.fieldNames()]
     if unknown and not ignore_unknown:
         raise BadRows(f"columns not in the sink schema: {unknown}")
@@ -37,9 +47,7 @@ def split_conforming(df: DataFrame, schema: T.StructType, skip_invalid: bool = F
     carried = T.StructType([*schema.fields, T.StructField("__original", T.StringType())])
     checked = missing_required(conform(kept, carried), carried)
     failed = F.col("missing") if skip_invalid else F.concat("cast_errors", "missing")
-    checked = checked.withColumn("problems", F.array_distinct(failed)).drop("cast_errors", "missing")
-    good = checked.where(F.size("problems") == 0).drop("problems", "__original")
-    return good, checked.where(F.size("problems") > 0)
+    return checked.withColumn("problems", F.array_distinct(failed)).drop("cast_errors", "missing")
 
 
 def lay_out(df: DataFrame, date_column: str, cluster_by: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -64,21 +72,48 @@ def write_table(df: DataFrame, path: str, disposition: str = "WRITE_APPEND", cod
 
 def append_raw(df: DataFrame, path: str, schema: T.StructType, cluster_by: Sequence[str],
                disposition: str = "WRITE_APPEND", on_bad: str = "dlq", skip_invalid: bool = False,
-               ignore_unknown: bool = False, codec: str = "snappy") -> None:
-    """Write rows of a declared schema. Bad rows go to ``<path>_dead_letters``, are dropped
-    ('continue') or stop the write before it starts ('fail')."""
+               ignore_unknown: bool = False, codec: str = "snappy",
+               audit: Callable[[DataFrame], None] | None = None) -> None:
+    """Write rows of a declared schema in one pass over ``df``. Bad rows go to ``<path>_dead_letters``, are
+    dropped ('continue') or stop the write ('fail').
+
+    All rows are staged with their route; the audit (which raises to stop the write), the letters and the rows to
+    publish come from there. A write that is stopped leaves nothing visible. Files are sorted by the
+    clustering columns; ``staged.fold_day`` later makes ranges of them.
+    """
     if on_bad not in FAILURE_POLICIES:
         raise ValueError(f"unknown policy {on_bad}")
-    good, bad = split_conforming(df, schema, skip_invalid, ignore_unknown)
-    if on_bad == "fail" and not bad.isEmpty():
-        raise BadRows(f"rows do not fit {path}")
-    if on_bad == "dlq":
-        letters = bad.select(
-            F.col("__original").alias("original_message"),
-            F.concat_ws(",", "problems").alias("error"), "ingestion_timestamp",
-        )
-        letters.write.mode("append").parquet(f"{path.rstrip('/')}_dead_letters")
-    write_table(lay_out(good, "ingestion_timestamp", cluster_by), path, disposition, codec)
+    if codec not in CODECS:
+        raise ValueError(f"unknown codec {codec}")
+    spark = df.sparkSession
+    recover(spark, path)
+    if disposition == "WRITE_EMPTY" and Files(spark, path).leaves():
+        raise FileExistsError(f"{path} holds rows")
+    good = F.size("problems") == 0
+    checked = with_problems(df, schema, skip_invalid, ignore_unknown)
+    routed = checked.withColumns({
+        "__route": F.when(good, "good").otherwise("bad"),
+        "__original": F.when(~good, F.col("__original")),
+        "ingest_date": F.to_date("ingestion_timestamp"),
+    })
+    stage = Stage(spark, path, uuid.uuid4().hex)
+    try:
+        laid_out = routed.hint("rebalance", "__route", "ingest_date").sortWithinPartitions("__route", "ingest_date", *cluster_by)
+        rows = stage.write(laid_out.select(*[c for c in routed.columns if c != "problems"], F.concat_ws(",", "problems").alias("__problems")),
+                           ("__route", "ingest_date"), codec)
+        if audit is not None:
+            audit(rows)
+        bad = rows.where("__route = 'bad'")
+        if on_bad == "fail" and not bad.isEmpty():
+            raise BadRows(f"rows do not fit {path}")
+        if on_bad == "dlq":
+            letters = bad.select(
+                F.col("__original").alias("original_message"), F.col("__problems").alias("error"), "ingestion_timestamp")
+            letters.write.mode("append").parquet(f"{path.rstrip('/')}_dead_letters")
+    except BaseException:
+        stage.drop()
+        raise
+    stage.publish("__route=good", replace=disposition == "WRITE_TRUNCATE")
 
 
 def write_json_lines(df: DataFrame, path: str, disposition: str = "WRITE_TRUNCATE") -> None:

@@ -1,13 +1,15 @@
 """Streaming jobs: the batch operators behind ``foreachBatch``, and windowed counts.
 
-Each output of a micro-batch is a directory named by its batch id and written with overwrite, so
-a replayed batch replaces its own output. Offsets live in the query's checkpoint. Messages that
-earlier batches brought are known from the job's ledger (``SeenIds``): a redelivered message changes
-nothing, and another content under a known event id goes to the dead letters.
+Raw rows are published once per batch below their day (``write_once``). Other outputs of a micro-batch
+are a directory named by its batch id and written with overwrite, so a replayed batch replaces its own
+output. Offsets live in the query's checkpoint. Messages that earlier batches brought are known from the
+job's ledger (``SeenIds``): a redelivered message changes nothing, and another content under a known
+event id goes to the dead letters. Started jobs try a failing batch again (``Attempts``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -20,8 +22,11 @@ from crmflow.operators import parse, quality, routing
 from crmflow.operators.history import boundaries
 from crmflow.operators.query import union_raw
 from crmflow.registry import HISTORY_TABLES, OBJECT_TYPES
+from crmflow.sources import staged
 from crmflow.sources.seen import CONFLICT, FIRST, SeenIds
 from crmflow.sources.versions import VersionsTable
+from crmflow.sources.writers import drop_expired
+from crmflow.streaming.attempts import MAX_ATTEMPTS, RETRY_SECONDS, Attempts
 
 # Windows, lateness and triggers of the two paths.
 RAW_WINDOW = "10 seconds"
@@ -90,6 +95,9 @@ class CdcJob:
     lateness: str = LATENESS
     buckets: int = 64
     tracked_fields: tuple[str, ...] | None = None
+    max_attempts: int = MAX_ATTEMPTS
+    retry_seconds: float = RETRY_SECONDS
+    on_failure: str = "dlq"
     last_metrics: dict = field(default_factory=dict)
 
     def _clock(self) -> Column:
@@ -101,7 +109,7 @@ class CdcJob:
 
     def ledger(self, name: str) -> SeenIds:
         """What the job ``name`` (raw, history) has seen."""
-        return SeenIds(self.spark, f"{self.base}/seen/{name}")
+        return SeenIds(self.spark, f"{self.base}/seen/{name}", source=stream_of(self.spark))
 
     def raw_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Raw rows, alerts, late events and dead letters of one micro-batch."""
@@ -112,8 +120,8 @@ class CdcJob:
         try:
             rows = self._raw_rows(events)
             fits = F.size("cast_errors") == 0
-            write_batch(rows.where(fits).drop("cast_errors", "text", "ingestion_time"),
-                        f"{self.base}/raw", batch_id, ("object_type", "ingest_date"))
+            staged.write_once(rows.where(fits).drop("cast_errors", "text", "ingestion_time"),
+                              f"{self.base}/raw", batch_id, RAW_LAYOUT, stream_of(self.spark))
             seen = Observation("cdc_events")
             measured = events.observe(seen, *quality.metric_columns(self._clock()))
             write_batch(routing.alert_messages(routing.quality_alerts(measured, self._clock())),
@@ -172,7 +180,7 @@ class CdcJob:
         write_batch(moved, f"{self.base}/boundary_log", batch_id, ("object_type",))
         written = self.spark.read.schema(moved.schema).parquet(f"{self.base}/boundary_log/batch_id={batch_id}")
         for name in self.tracked:
-            self.versions(name).merge(written.where(F.col("object_type") == name).drop("object_type"), batch_id=batch_id)
+            self.versions(name).merge(written.where(F.col("object_type") == name).drop("object_type"), batch_id=batch_id, source=stream_of(self.spark))
 
     def rebuild_history(self) -> None:
         """History tables anew from the boundary log."""
@@ -180,17 +188,55 @@ class CdcJob:
         for name in self.tracked:
             self.versions(name).rebuild(log.where(F.col("object_type") == name).drop("object_type"))
 
+    def fold_raw(self, day: str) -> bool:
+        """Rewrite a day's raw files, of a day that gets no more rows, as sorted ones with disjoint id ranges."""
+        return staged.fold_day(self.spark, f"{self.base}/raw", day, ["id"], ["object_type"])
+
+    def drop_raw(self, as_of: dt.date, days: int = 30) -> int:
+        """Delete raw days older than the retention; returns how many."""
+        return drop_expired(self.spark, f"{self.base}/raw", as_of, days)
+
+    def _probe(self, batch: DataFrame) -> None:
+        """Evaluate everything a batch evaluates, and store nothing."""
+        events = self._events(parse.parse_messages(batch, self._clock()))
+        alerts = routing.quality_alerts(events, self._clock()).select(F.to_json(F.struct("*")).alias("value"))
+        rows = self._raw_rows(events).select(F.to_json(F.struct("*")).alias("value"))
+        moved = boundaries(events.where("is_valid"), self.tracked_fields).select(F.to_json(F.struct("*")).alias("value"))
+        alerts.unionByName(rows).unionByName(moved).write.format("noop").mode("overwrite").save()
+
+    def attempt(self, batch: DataFrame, batch_id: int, history: bool = False) -> None:
+        """``raw_batch`` or ``history_batch`` under the job's attempts and failure policy."""
+        name, work, letters = ("history", self.history_batch, "history_dead_letters") if history else ("raw", self.raw_batch, "dead_letters")
+
+        def reject(rows: DataFrame, batch_id: int) -> None:
+            original = F.coalesce(F.try_validate_utf8(F.col("value").cast("string")), F.base64("value"))
+            rows.select(
+                F.lit("processing failed").alias("error"), original.alias("original_message"), self._clock().alias("timestamp"),
+            ).write.mode("append").parquet(f"{self.base}/{letters}/batch_id={batch_id}")
+
+        attempts = Attempts(self.spark, f"{self.base}/attempts/{name}", self.max_attempts, self.retry_seconds, self.on_failure)
+        attempts.run(work, self._probe, reject, batch, batch_id, stream_of(self.spark))
+
     def start_raw(self, messages: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
-        return self._start(messages, self.raw_batch, checkpoint, once, RAW_WINDOW)
+        return self._start(messages, self.attempt, checkpoint, once, RAW_WINDOW)
 
     def start_history(self, messages: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
-        return self._start(messages, self.history_batch, checkpoint, once, HISTORY_WINDOW)
+        return self._start(messages, lambda batch, i: self.attempt(batch, i, history=True), checkpoint, once, HISTORY_WINDOW)
 
     def _start(self, messages, batch_fn, checkpoint, once, every) -> StreamingQuery:
         writer = messages.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
         return trigger(writer, once, every).start()
 
 
+# Partition columns of raw rows, outermost first.
+RAW_LAYOUT = ("ingest_date", "object_type")
+
+
+def stream_of(spark: SparkSession) -> str:
+    """The id of the streaming query whose batch is being processed; it outlives restarts. Empty outside of one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 CONFLICTS = f"arrival = '{CONFLICT}'"
 
 
@@ -212,7 +258,7 @@ class IngestJob:
     ingestion_time: Column | None = None
 
     def batch(self, messages: DataFrame, batch_id: int) -> None:
-        ledger = SeenIds(messages.sparkSession, f"{self.base}/seen")
+        ledger = SeenIds(messages.sparkSession, f"{self.base}/seen", source=stream_of(messages.sparkSession))
         clock = F.current_timestamp() if self.ingestion_time is None else self.ingestion_time
         marked = arrivals(messages, ledger, batch_id, clock).persist(StorageLevel.MEMORY_AND_DISK)
         checked = parse.check_generic(_new(marked)).persist(StorageLevel.MEMORY_AND_DISK)

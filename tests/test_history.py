@@ -254,7 +254,7 @@ def test_a_merge_writes_only_its_delta(spark, tmp_path):
     assert table.history().count() == 51 and table.history().where("id = 'r7' AND is_current").first().event_id == "N1"
     # A recorded batch is not stored again, whatever it holds.
     table.merge(_boundary(spark, ("N1", "r7", hours(1))), batch_id=0)
-    assert len(table._state()["deltas"]) == 1 and table._state()["batches"] == [[0, 0]]
+    assert len(table._state()["deltas"]) == 1 and table._state()["batches"] == {"": [[0, 0]]}
     assert table.as_of(hours(0)).count() == 50 and table.as_of(hours(2)).where("event_id = 'N1'").count() == 1
     assert same(table.current(), table.history().where("is_current"))
     table.compact()

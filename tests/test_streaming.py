@@ -210,3 +210,131 @@ def test_ledger_folds_and_replays(spark, tmp_path):
     assert {r["level"] for r in ledger.generations.current()[1]["runs"]} == {1, 2}
     assert ledger.entries().groupBy("key", "content").count().where("count > 1").isEmpty()
     assert ledger.clean() >= 4 and ledger.entries().count() == 12
+
+
+class Fragile(jobs.CdcJob):
+    """A job whose evaluation raises on messages that say so."""
+
+    def _events(self, parsed):
+        bad = F.raise_error(F.concat(F.lit("cannot process "), F.col("text"))).cast("string")
+        return super()._events(parsed).withColumn("table_route", F.when(F.col("text").contains("POISON"), bad).otherwise(F.col("table_route")))
+
+
+def poisoned(spark, sf_dir, n=1):
+    rows = feed.cdc_messages(spark, sf_dir).where("message_id LIKE '%32'").cache()
+    good = rows.where("try_validate_utf8(CAST(value AS STRING)) IS NOT NULL")
+    spoiled = good.orderBy("message_id").limit(n).withColumns({
+        "value": F.regexp_replace(F.col("value").cast("string"), '"EVT-', '"POISON-').cast("binary"), "message_id": F.concat(F.lit("P"), "message_id")})
+    return rows.unionByName(spoiled)
+
+
+def test_poison_rows_end_in_the_letters(spark, sf_dir, tmp_path, n=2):
+    job = Fragile(spark, str(tmp_path / "out"), feed.as_of(), retry_seconds=0.0)
+    batch = poisoned(spark, sf_dir, n)
+    job.attempt(batch, 0)
+    letters = spark.read.parquet(f"{job.base}/dead_letters").where("error = 'processing failed'")
+    assert letters.count() == n and letters.where("NOT original_message LIKE '%POISON-%'").isEmpty()
+    clean = feed.cdc_messages(spark, sf_dir).where("message_id LIKE '%32'")
+    parsed = parse.parse_messages(clean, feed.as_of())
+    assert spark.read.parquet(f"{job.base}/raw").count() == routing.validate_events(parse.envelope(parsed), feed.as_of()).where("is_valid").count()
+    attempts = jobs.Attempts(spark, f"{job.base}/attempts/raw")
+    assert len(attempts.failures("", 0)) == 3 and all(f["error"] for f in attempts.failures("", 0))
+    assert not attempts.failures("", 1)
+
+
+def test_attempts_and_policies(spark, tmp_path):
+    from crmflow.streaming.attempts import Attempts
+
+    batch, waits, calls = spark.range(20).withColumnRenamed("id", "n"), [], []
+
+    def work(df, batch_id, fail_times=99):
+        calls.append(batch_id)
+        if len(calls) <= fail_times:
+            df.select(F.raise_error("no")).collect()
+
+    def probe(df):
+        df.select(F.when(F.col("n") == 7, F.raise_error("seven").cast("long")).otherwise(F.col("n"))).write.format("noop").mode("overwrite").save()
+
+    once = Attempts(spark, str(tmp_path / "a"), delay=1.0, sleep=waits.append)
+    once.run(lambda d, i: work(d, i, 2), probe, None, batch, 4)
+    assert calls == [4, 4, 4] and waits == [1.0, 2.0] and len(once.failures("", 4)) == 2
+    calls.clear()
+    with pytest.raises(RuntimeError, match="failed 3 times"):
+        Attempts(spark, str(tmp_path / "b"), policy="fail", sleep=waits.append).run(work, probe, None, batch, 0)
+    assert len(calls) == 3
+    # A restarted job goes on counting.
+    calls.clear()
+    with pytest.raises(RuntimeError, match="failed 3 times"):
+        Attempts(spark, str(tmp_path / "b"), policy="fail", sleep=waits.append).run(work, probe, None, batch, 0)
+    assert calls == []
+    # The store fails, no row does.
+    with pytest.raises(RuntimeError, match="no row"):
+        Attempts(spark, str(tmp_path / "c"), sleep=waits.append).run(work, lambda df: df.collect(), None, batch, 0)
+    kept, rejected = [], []
+
+    def store(df, batch_id):
+        probe(df)
+        kept[:] = sorted(r.n for r in df.collect())
+
+    for policy in ("continue", "dlq"):
+        Attempts(spark, str(tmp_path / policy), policy=policy, sleep=waits.append).run(
+            store, probe, lambda df, i: rejected.extend(r.n for r in df.collect()), batch, 0)
+        assert kept == [n for n in range(20) if n != 7] and rejected == ([7] if policy == "dlq" else [])
+
+
+def test_days_of_raw_rows(spark, sf_dir, tmp_path):
+    """Days outermost; small files fold into sorted ones with disjoint ids; old days go; a day is pruned to."""
+    from datetime import date
+
+    rows = feed.cdc_messages(spark, sf_dir)
+    job = jobs.CdcJob(spark, str(tmp_path / "out"), F.lit("2024-01-31").cast("timestamp"))
+    job.raw_batch(rows.where("message_id LIKE '%1'"), 0)
+    job.as_of = feed.as_of()
+    for n, last in enumerate("234", 1):
+        job.raw_batch(rows.where(f"message_id LIKE '%{last}'"), n)
+    path = f"{job.base}/raw"
+    raw = spark.read.parquet(path)
+    before = sorted(map(str, raw.collect()))
+    files = lambda: {f for f in (tmp_path / "out" / "raw").rglob("*.parquet") if "_staging" not in str(f)}
+    assert {f.relative_to(tmp_path / "out" / "raw").parts[0] for f in files()} == {"ingest_date=2024-01-31", "ingest_date=2024-02-01"}
+    many = len(files())
+    assert job.fold_raw("2024-02-01") and not job.fold_raw("2023-01-01")
+    assert len(files()) < many and sorted(map(str, spark.read.parquet(path).select(*raw.columns).collect())) == before
+    spans = spark.read.parquet(path).where("ingest_date = '2024-02-01'").groupBy("object_type", F.input_file_name().alias("f")).agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi")).collect()
+    for kind in {r.object_type for r in spans}:
+        own = sorted((r.lo, r.hi) for r in spans if r.object_type == kind)
+        assert all(a[1] <= b[0] for a, b in zip(own, own[1:]))
+    plan = spark.read.parquet(path).where("ingest_date = '2024-01-31'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert job.drop_raw(date(2024, 3, 2)) == 1
+    assert {str(r[0]) for r in spark.read.parquet(path).select("ingest_date").distinct().collect()} == {"2024-02-01"}
+    # A dropped batch stays recorded.
+    job.raw_batch(rows.where("message_id LIKE '%1'"), 0)
+    assert spark.read.parquet(path).where("ingest_date = '2024-01-31'").isEmpty()
+
+
+def test_publication_is_finished_after_a_stop(spark, tmp_path, monkeypatch):
+    from crmflow.sources import staged
+
+    df = spark.range(8).selectExpr("id", "date'2024-01-01' + CAST(id % 2 AS INT) AS ingest_date")
+    path, moves = str(tmp_path / "t"), []
+    move = staged.Files.move
+
+    def stops(self, source, target):
+        if target[0].startswith("ingest_date"):
+            moves.append(target)
+            if len(moves) > 1:
+                raise KeyboardInterrupt
+        return move(self, source, target)
+
+    monkeypatch.setattr(staged.Files, "move", stops)
+    with pytest.raises(KeyboardInterrupt):
+        staged.write_once(df.repartition(4), path, 0, ["ingest_date"])
+    monkeypatch.undo()
+    assert not staged.recorded(spark, path, "", 0)
+    # The same batch again: what was decided is finished, nothing is written twice.
+    assert staged.write_once(df, path, 0, ["ingest_date"]) is False
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(8))
+    assert staged.write_once(df, path, 0, ["ingest_date"], "another stream") is True
+    assert spark.read.parquet(path).count() == 16
