@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from crmflow.operators import history as h
 from crmflow.plans.catalog import query
-from crmflow.plans.feed import FEED_SQL, TRACKED, numbered_events, result, state_feed
+from crmflow.plans.feed import FEED_SQL, TRACKED, events, numbered_events, result, state_feed
 from crmflow.session import reliable, shared_path
 from crmflow.sources.seen import SeenIds
 from crmflow.sources.versions import VersionsTable
+from crmflow.streaming.windows import WindowJob
 
 # Three deliveries of the events as (versions of the message, condition on k): ids come again with the
 # same and with another content, in the same and in later deliveries.
@@ -66,3 +67,35 @@ def scd2_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result(table.history().select(
         "id", "valid_from", "valid_to", "is_current", "change_type", F.concat_ws(",", "changed_fields").alias("changed_fields"),
         state["event_type"].alias("state_type"), state["value"].alias("state_value"), "event_id"))
+
+
+# Days of the month that three deliveries bring; one event in seven comes with the delivery after its own.
+_ARRIVALS_SQL = """
+e AS (SELECT event_id, event_type, ts, least(2, CASE WHEN day(ts) <= 10 THEN 0 WHEN day(ts) <= 20 THEN 1 ELSE 2 END
+  + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) AS batch FROM events),
+tops AS (SELECT batch, max(max(ts)) OVER (ORDER BY batch) AS until FROM e GROUP BY batch),
+marks AS (SELECT batch, until - INTERVAL 600 SECOND AS watermark, lag(until) OVER (ORDER BY batch) - INTERVAL 600 SECOND AS before FROM tops),
+placed AS (SELECT e.*, date_trunc('hour', ts) AS window_start, before, coalesce(date_trunc('hour', ts) + INTERVAL 1 HOUR <= before, FALSE) AS late
+  FROM e JOIN marks USING (batch)),
+counts AS (SELECT window_start, event_type, count(*) AS n FROM placed WHERE NOT late GROUP BY ALL)"""
+
+
+@query(f"""WITH {_ARRIVALS_SQL},
+ended AS (SELECT window_start, event_type, n, (SELECT min(batch) FROM marks WHERE watermark >= window_start + INTERVAL 1 HOUR) AS batch FROM counts)
+SELECT CASE WHEN batch IS NULL THEN 'open' ELSE 'closed' END AS state, batch, window_start, event_type, n FROM ended
+UNION ALL SELECT 'late', batch, window_start, event_type, count(*) FROM placed WHERE late GROUP BY ALL""")
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts over three deliveries: each window with the batch that closed it, open windows, late rows."""
+    job = WindowJob(spark, shared_path(spark, "windows"), "1 hour", "600 seconds", ("event_type",), "ts")
+    day, rows = F.dayofmonth("ts"), events(spark, sf_dir).select("event_id", "event_type", "ts")
+    own = F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    rows = rows.withColumn("batch", F.least(F.lit(2), own))
+    for batch in (0, 1, 1, 2):
+        job.batch(rows.where(F.col("batch") == batch).drop("batch"), batch)
+    late = spark.read.schema("window_start timestamp, event_type string, batch_id long").parquet(f"{job.base}/late")
+    parts = [
+        job.closed().select(F.lit("closed").alias("state"), F.col("batch_id").alias("batch"), "window_start", "event_type", "n"),
+        job.open().select(F.lit("open").alias("state"), F.lit(None).cast("long").alias("batch"), "window_start", "event_type", "n"),
+        late.groupBy(F.lit("late").alias("state"), F.col("batch_id").alias("batch"), "window_start", "event_type").agg(F.count("*").alias("n")),
+    ]
+    return result(reduce(DataFrame.unionByName, parts))

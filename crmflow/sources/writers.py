@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,8 @@ from crmflow.sources.staged import Files, Stage, recover
 DISPOSITIONS = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite", "WRITE_EMPTY": "errorifexists"}
 CODECS = ("snappy", "gzip", "lz4", "zstd")
 FAILURE_POLICIES = ("dlq", "continue", "fail")
+# Fixed value: the largest message, the batch size of the publisher.
+MAX_MESSAGE_BYTES = 1 << 20
 
 
 class BadRows(RuntimeError):
@@ -120,12 +122,22 @@ def write_json_lines(df: DataFrame, path: str, disposition: str = "WRITE_TRUNCAT
     df.write.mode(DISPOSITIONS[disposition]).option("ignoreNullFields", "false").json(path)
 
 
-def publish(messages: DataFrame, servers: str, topic: str, **options: str) -> None:
-    """Send ``value`` rows (messages, alerts) to a Kafka topic (needs the Kafka connector)."""
-    (
-        messages.select("value").write.format("kafka").option("kafka.bootstrap.servers", servers)
-        .option("topic", topic).options(**options).save()
-    )
+def publish(messages: DataFrame, servers: str, topic: str, fmt: str = "kafka", max_bytes: int = MAX_MESSAGE_BYTES,
+            **options: str) -> dict[str, int]:
+    """Send ``value`` rows (messages, alerts) to a topic; returns how many were sent and how many cannot be.
+
+    A row without a value, or with one above ``max_bytes``, is not sent and counted as failed. A write that fails raises. Both
+    counts come from the write itself. Kafka needs its connector; another ``fmt`` takes its own options.
+    """
+    fits = F.col("value").isNotNull() & (F.octet_length("value") <= max_bytes)
+    seen = Observation()
+    # Counted before the filter, in the same pass; a count per task attempt that succeeds.
+    counted = messages.select("value", fits.alias("__fits")).observe(
+        seen, F.count_if("__fits").alias("sent"), F.count_if(~F.col("__fits")).alias("failed"))
+    if fmt == "kafka":
+        options = {"kafka.bootstrap.servers": servers, "topic": topic, **options}
+    counted.where("__fits").select("value").write.format(fmt).options(**options).save()
+    return {name: seen.get[name] or 0 for name in ("sent", "failed")}
 
 
 def drop_expired(spark: SparkSession, path: str, as_of: dt.date, days: int = 30, column: str = "ingest_date") -> int:

@@ -27,6 +27,7 @@ from crmflow.sources.seen import CONFLICT, FIRST, SeenIds
 from crmflow.sources.versions import VersionsTable
 from crmflow.sources.writers import drop_expired
 from crmflow.streaming.attempts import MAX_ATTEMPTS, RETRY_SECONDS, Attempts
+from crmflow.streaming.windows import WindowJob
 
 # Windows, lateness and triggers of the two paths.
 RAW_WINDOW = "10 seconds"
@@ -223,6 +224,18 @@ class CdcJob:
     def start_history(self, messages: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
         return self._start(messages, lambda batch, i: self.attempt(batch, i, history=True), checkpoint, once, HISTORY_WINDOW)
 
+    def windows(self, width: str = HISTORY_WINDOW) -> WindowJob:
+        return WindowJob(self.spark, f"{self.base}/windows", width, self.lateness)
+
+    def start_windows(self, messages: DataFrame, checkpoint: str, once: bool = False, width: str = HISTORY_WINDOW) -> StreamingQuery:
+        """Valid events per object and window: each window once, when it closes; late events aside."""
+        def count(batch: DataFrame, batch_id: int) -> None:
+            events = self._events(distinct_messages(parse.parse_messages(batch, self._clock()))).where("is_valid")
+            narrow = events.select("event_id", "object_type", "record_id", "event_timestamp", "publish_time")
+            self.windows(width).batch(narrow, batch_id, stream_of(self.spark))
+
+        return self._start(messages, count, checkpoint, once, RAW_WINDOW)
+
     def _start(self, messages, batch_fn, checkpoint, once, every) -> StreamingQuery:
         writer = messages.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
         return trigger(writer, once, every).start()

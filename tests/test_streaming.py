@@ -338,3 +338,65 @@ def test_publication_is_finished_after_a_stop(spark, tmp_path, monkeypatch):
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(8))
     assert staged.write_once(df, path, 0, ["ingest_date"], "another stream") is True
     assert spark.read.parquet(path).count() == 16
+
+
+def test_windows_close_once(spark, tmp_path):
+    from crmflow.streaming.windows import WindowJob
+
+    job = WindowJob(spark, str(tmp_path / "w"), "1 hour", "10 minutes", ("kind",), "at")
+
+    def batch(i, *rows):
+        return job.batch(spark.createDataFrame([(k, t and f"2024-01-01 {t}:00") for k, t in rows], "kind string, at string").withColumn("at", F.col("at").cast("timestamp")), i)
+
+    def closed():
+        return sorted(((r.window_start.hour, r.kind, r.n, r.batch_id) for r in job.closed().collect()), key=str)
+
+    assert batch(0, ("a", "10:05"), ("a", "10:59"), ("b", "11:05"), (None, "10:00"), ("a", None))
+    assert closed() == [] and job.open().count() == 3
+    # 11:09 less ten minutes is before 11:00: nothing closes, and 10:20 still counts.
+    assert batch(1, ("a", "10:20"), ("b", "11:09"))
+    assert closed() == [] and not batch(1, ("a", "10:20"))
+    assert batch(2, ("b", "11:10"))
+    assert sorted(closed(), key=str) == sorted([(10, "a", 3, 2), (10, None, 1, 2)], key=str)
+    assert batch(3, ("a", "10:30"), ("a", "11:30"))
+    assert job.state()["late"] == 1 and spark.read.parquet(f"{job.base}/late").first().kind == "a"
+    assert batch(4) and batch(5, ("z", "23:00"))
+    assert [(h_, k, n, b) for h_, k, n, b in closed() if b == 5] == [(11, "a", 1, 5), (11, "b", 3, 5)]
+    assert [(r.kind, r.n) for r in job.open().collect()] == [("z", 1)]
+
+
+def test_windows_of_a_stream(spark, messages_dir, validated, tmp_path):
+    from crmflow.streaming.metrics import StreamMetrics
+
+    listener = StreamMetrics(spark, str(tmp_path / "metrics"))
+    spark.streams.addListener(listener)
+    try:
+        names = []
+        for part in ("a", "b"):
+            job = jobs.CdcJob(spark, str(tmp_path / part), feed.as_of())
+            query = job.start_windows(stream(spark, f"{messages_dir}/{part}", 1000), str(tmp_path / f"cp-{part}"), once=True)
+            finish(query)
+            names.append((query.id, part))
+            # Batches are numbered by stream: the state knows which one.
+            assert job.windows().state(query.id)["batch"] == 0
+            counts = job.windows().closed().select("window_start", "object_type", "n").unionByName(
+                job.windows().open(query.id).select("window_start", "object_type", "n"))
+            parsed = parse.parse_messages(spark.read.parquet(f"{messages_dir}/{part}"), feed.as_of())
+            valid = routing.validate_events(parse.envelope(parsed), feed.as_of()).where("is_valid")
+            assert same(counts, quality.tumbling_counts(valid, jobs.HISTORY_WINDOW, ["object_type"]))
+        rows = listener.wait(2)
+    finally:
+        spark.streams.removeListener(listener)
+    by_query = {r["query_id"]: r["rows"] for r in rows if r["rows"]}
+    assert by_query == {str(i): spark.read.parquet(f"{messages_dir}/{part}").count() for i, part in names}
+    stored = spark.read.json(str(tmp_path / "metrics"))
+    assert stored.where("rows > 0").groupBy("query_id").count().count() == 2
+
+
+def test_publish_counts(spark, tmp_path):
+    from crmflow.sources import writers
+
+    rows = spark.createDataFrame([(bytearray(b"a"),), (None,), (bytearray(b"b" * 50),)], "value binary")
+    report = writers.publish(rows, "", "t", fmt="parquet", path=str(tmp_path / "p"), max_bytes=10)
+    assert report == {"sent": 1, "failed": 2} and spark.read.parquet(str(tmp_path / "p")).count() == 1
+    assert writers.publish(rows.limit(0), "", "t", fmt="parquet", path=str(tmp_path / "q")) == {"sent": 0, "failed": 0}
