@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crmflow.functions.rules import apply_rules, codes, history_rules
-from crmflow.functions.values import FEED_METADATA_FIELDS, changed_fields
+from crmflow.functions.values import FEED_METADATA_FIELDS, changed_fields, field_changes, once
 from crmflow.operators import history as h
 from crmflow.operators import quality
 from crmflow.plans.catalog import query
@@ -110,8 +110,9 @@ def detect_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "before": F.to_variant_object(F.when(F.col("before").isNotNull(), F.struct("before.*", F.lit("a").alias("source")))),
         "after": F.to_variant_object(F.struct("after.*", F.lit("b").alias("source"))),
     })
-    changed = changed_fields(stamped)
-    return stamped.select("event_id", _joined(changed).alias("changed_fields"), (F.size(changed) > 0).alias("has_changes"))
+    found = once(stamped, {"changed": changed_fields(stamped)})
+    changed = F.col("changed")
+    return found.select("event_id", _joined(changed).alias("changed_fields"), (F.size(changed) > 0).alias("has_changes"))
 
 
 @query(f"""WITH {FEED_SQL}, each_field AS (
@@ -250,3 +251,24 @@ def history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = h.as_of_join(facts, history, "record_id", "at", ["record_data"], ["event_id"], hot)
     return result(found.select("event_id", "record_id", "at", "valid_from",
                                F.col("record_data.event_type").alias("state_type")))
+
+
+@query(f"""WITH {FEED_SQL}, sides AS (
+  SELECT event_id, 'event_type' AS field, '"' || before_type || '"' AS before, '"' || state_type || '"' AS after FROM changes
+  WHERE before_type IS DISTINCT FROM state_type
+  UNION ALL SELECT event_id, 'value', CAST(before_value IS NOT NULL AS VARCHAR), CAST(state_value IS NOT NULL AS VARCHAR) FROM changes
+  WHERE before_value IS DISTINCT FROM state_value)
+SELECT * FROM sides""")
+def field_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each field that differs with its old and new text; numbers, whose texts engines write in their own ways, as present or not."""
+    feed, _ = state_feed(spark, sf_dir)
+    states = once(feed, {
+        "before": F.to_variant_object(F.when(F.col("before").isNotNull(), F.col("before"))), "after": F.to_variant_object("after")})
+    changes = once(states, {"changed": changed_fields(states)})
+    rows = changes.select("event_id", F.explode(field_changes(F.col("changed"), F.col("before"), F.col("after"))).alias("field", "sides"))
+
+    def shown(side: str) -> Column:
+        text = F.col(f"sides.{side}")
+        return F.when(F.col("field") == "value", text.isNotNull().cast("string")).otherwise(text).alias(side)
+
+    return rows.select("event_id", "field", shown("before"), shown("after"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -276,3 +278,26 @@ def extract_all_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result(union_raw([e.select("id", "created_date", *own) for e in extracts.values()]))
 
 
+
+
+@query(f"""WITH {DIRTY_SQL}
+SELECT obj AS object_type, lpad(CAST(user_id AS VARCHAR), 15, '0') AS id, eid AS event_id,
+  CASE obj WHEN 'Account' THEN 'Name ' || user_id WHEN 'Contact' THEN 'First Last' WHEN 'Opportunity' THEN 'Name ' || user_id || ' Open'
+    ELSE 'Help New' END AS label,
+  CASE WHEN obj = 'Account' THEN NULL WHEN k = 67 THEN 'short' ELSE lpad(CAST(user_id AS VARCHAR), 15, '0') END AS account_id,
+  ts AS created_date, CASE WHEN kind <> 'DELETE' AND k IN (47, 53) THEN NULL ELSE ts END AS last_modified_date,
+  CASE WHEN kind <> 'DELETE' AND k = 47 THEN 'last_modified_date' ELSE '' END AS unfit
+FROM cdc WHERE NOT broken AND obj <> 'Lead' AND kind IN ('INSERT', 'UPDATE', 'DELETE')
+  AND NOT (kind = 'DELETE' AND k = 61) AND NOT (kind <> 'DELETE' AND k = 59)""")
+def cdc_extract_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed rows of all four objects, with the fields whose value does not fit."""
+    found, labels = _events(spark, sf_dir), {
+        "Account": ["name"], "Contact": ["first_name", "last_name"], "Opportunity": ["name", "stage_name"], "Case": ["subject", "status"]}
+    parts = []
+    for name, columns in labels.items():
+        rows = parse.extract_record(found, name, as_of(), flag_casts=True)
+        account = F.col("account_id") if name != "Account" else F.lit(None).cast("string")
+        parts.append(rows.select(
+            "object_type", "id", F.col("_cdc_event_id").alias("event_id"), F.concat_ws(" ", *columns).alias("label"),
+            account.alias("account_id"), "created_date", "last_modified_date", F.array_join("cast_errors", ",").alias("unfit")))
+    return result(reduce(DataFrame.unionByName, parts))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,49 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet", include: str
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+# What a lake zone takes in and leaves out.
+INCLUDE, EXCLUDE = ("**/*.parquet", "**/*.json"), ("_temp/**", "_tmp/**")
+
+
+def glob_pattern(globs: Iterable[str]) -> str:
+    """A regular expression for paths below a root (with a leading ``/``) that one of the globs matches, at any depth.
+
+    ``**`` stands for any folders, ``*`` and ``?`` stay inside one name.
+    """
+    special = {"**/": "(?:[^/]+/)*", "**": ".*", "*": "[^/]*", "?": "[^/]"}
+    each = ["".join(special.get(x, re.escape(x)) for x in re.split(r"(\*\*/|\*\*|\*|\?)", g.lstrip("/"))) for g in globs]
+    return f"/(?:{'|'.join(each)})$"
+
+
+def _wanted(spark: SparkSession, root: str, path: Column, include: Sequence[str], exclude: Sequence[str]) -> Column:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    whole = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(jpath).toUri().getPath()
+    path = F.regexp_replace(path, "^[A-Za-z0-9+.-]+:(?://[^/]*)?" + re.escape(whole.rstrip("/")), "")
+    found = path.rlike(glob_pattern(include)) if include else F.lit(True)
+    return found & ~path.rlike(glob_pattern(exclude)) if exclude else found
+
+
+def discover(spark: SparkSession, path: str, include: Sequence[str] = INCLUDE, exclude: Sequence[str] = EXCLUDE) -> DataFrame:
+    """Files below ``path`` that one glob includes and none excludes: path, length, modified. No file is opened.
+
+    Names beginning with ``_`` or ``.`` are never listed, at any depth.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "length", F.col("modificationTime").alias("modified")).where(_wanted(spark, path, F.col("path"), include, exclude))
+
+
+def read_new_files(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
+                   include: Sequence[str] = (), exclude: Sequence[str] = EXCLUDE, max_files: int = 1000) -> DataFrame:
+    """A stream over the files of one format; the query's checkpoint is the ledger of those that were read.
+
+    A run that takes what is there and stops (``availableNow``) therefore reads new files only. The globs work on
+    the file's path, so rows of a file that is left out are never decoded.
+    """
+    reader = spark.readStream.format(fmt).schema(schema).options(
+        recursiveFileLookup=True, pathGlobFilter=f"*.{fmt}", maxFilesPerTrigger=max_files)
+    return reader.load(path).where(_wanted(spark, path, F.col("_metadata.file_path"), include, exclude))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores where the input has too few splits for CPU-heavy work.
 

@@ -14,20 +14,20 @@ from crmflow.registry import ACCOUNT, HISTORY
 
 AS_OF = F.lit
 ACCOUNT_ROW = {
-    "id": "001000000000001AAA", "name": "Acme Corp", "type": "Customer", "annual_revenue": 1000000,
-    "created_date": "2023-01-15T10:30:00Z", "last_modified_date": "2023-12-01T15:45:00Z",
+    "id": "001700000000042QAB", "name": "Brook Mill", "type": "Customer", "annual_revenue": 730500,
+    "created_date": "2023-01-15T05:06:07Z", "last_modified_date": "2023-08-09T10:11:12Z",
 }
 INSERT = {
-    "event_id": "CDC-ABC123XYZ001", "event_type": "INSERT", "object_type": "Account",
-    "record_id": "001000000000001AAA", "event_timestamp": "2025-10-30T15:30:00Z",
+    "event_id": "EV-2024-000017", "event_type": "INSERT", "object_type": "Account",
+    "record_id": "001700000000042QAB", "event_timestamp": "2025-10-29T08:07:06Z",
     "changed_fields": [], "before": None, "after": ACCOUNT_ROW, "source": "salesforce_cdc",
 }
 UPDATE = dict(INSERT, event_type="UPDATE", changed_fields=["name"], before=ACCOUNT_ROW,
-              after=dict(ACCOUNT_ROW, name="Acme Corporation"))
+              after=dict(ACCOUNT_ROW, name="Brook Mill Works"))
 DELETE = dict(INSERT, event_type="DELETE", before=ACCOUNT_ROW, after=None)
 CONTACT = {
-    "id": "003000000000001AAA", "account_id": "001000000000001AAA", "first_name": "Ann", "last_name": "Lee",
-    "created_date": "2023-01-15T10:30:00Z", "last_modified_date": "2023-01-15T10:30:00Z",
+    "id": "003700000000042QAB", "account_id": "001700000000042QAB", "first_name": "Ann", "last_name": "Lee",
+    "created_date": "2023-01-15T05:06:07Z", "last_modified_date": "2023-01-15T05:06:07Z",
 }
 
 
@@ -129,7 +129,7 @@ def test_alert_and_threshold(spark):
     alerts = routing.quality_alerts(checked, as_of())
     message = json.loads(bytes(routing.alert_messages(alerts).first().value))
     assert (message["alert_type"], message["severity"], message["event_id"]) == ("data_quality_violation", "ERROR", "bad")
-    assert message["event_data"]["after"]["name"] == "Acme Corp"
+    assert message["event_data"]["after"]["name"] == "Brook Mill"
     assert len(message["validation_errors"]) == 1
     with pytest.raises(quality.ThresholdExceeded):
         quality.require_threshold(checked, 5.0)
@@ -138,7 +138,7 @@ def test_alert_and_threshold(spark):
 
 def test_batch_validation(spark):
     rows = spark.createDataFrame([
-        ("001", "2023-01-15T10:30:00Z"), (None, None), ("", "2023-01-15"), ("002", "invalid-timestamp"),
+        ("001", "2023-01-15T05:06:07Z"), (None, None), ("", "2023-01-15"), ("002", "invalid-timestamp"),
     ], "id string, created_date string")
     got = quality.validate_batch(rows, as_of()).collect()
     assert [r._is_valid for r in got] == [True, False, False, False]
@@ -172,16 +172,16 @@ def test_schema_errors(spark):
 
 @pytest.mark.parametrize(("name", "record", "want"), [
     ("Account", {"name": "A", "type": "Customer", "annual_revenue": 1.0, "phone": "+14155550100", "website": "http://x"}, []),
-    ("Account", {"name": " ", "type": "Other", "annual_revenue": -1.0, "phone": "555-0100", "website": "ftp://x"},
+    ("Account", {"name": " ", "type": "Other", "annual_revenue": -1.0, "phone": "555-0199", "website": "ftp://x"},
      ["required_field", "valid_account_type", "valid_revenue", "valid_phone_format", "valid_website_format"]),
     ("Account", {"name": "A", "type": None, "annual_revenue": None, "phone": "", "website": None}, []),
     ("Contact", {"email": "a@b", "first_name": "A", "last_name": "B", "title": "CEO"}, []),
     ("Contact", {"email": None, "first_name": None, "last_name": "B", "title": "King"},
      ["required_email", "valid_name_format", "valid_title"]),
     ("Opportunity", {"stage_name": "x", "probability": 100.0, "amount": 0.0, "close_date": "2023-01-15",
-                     "created_date": "2023-01-15T10:30:00Z"}, []),
+                     "created_date": "2023-01-15T05:06:07Z"}, []),
     ("Opportunity", {"stage_name": "", "probability": 101.0, "amount": -1.0, "close_date": "2023-01-14",
-                     "created_date": "2023-01-15T10:30:00Z"},
+                     "created_date": "2023-01-15T05:06:07Z"},
      ["required_stage", "valid_probability", "valid_amount", "valid_close_date"]),
     ("Case", {"subject": "s", "status": "New", "priority": "Low", "origin": None}, []),
     ("Case", {"subject": "", "status": None, "priority": "No", "origin": "Fax"},

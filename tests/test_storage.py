@@ -12,9 +12,9 @@ from crmflow.sources import batch, readers, writers
 
 AT = datetime(2025, 10, 31, 1, tzinfo=UTC)
 ENVELOPE = {"records": [
-    {"id": "001000000000001AAA", "name": "Acme Corp", "type": "Customer", "annual_revenue": 1000000, "phone": "555-0100",
-     "created_date": "2023-01-15T10:30:00Z", "billing_address": {"city": "X"}},
-    {"id": "001000000000002AAA", "name": "TechStart Inc", "type": "Prospect", "annual_revenue": 500000},
+    {"id": "001700000000042QAB", "name": "Brook Mill", "type": "Customer", "annual_revenue": 730500, "phone": "555-0199",
+     "created_date": "2023-01-15T05:06:07Z", "billing_address": {"city": "X"}},
+    {"id": "001700000000043QAB", "name": "Lantern Yard", "type": "Prospect", "annual_revenue": 41250},
 ], "totalSize": 2, "done": True}
 
 
@@ -25,7 +25,7 @@ def accounts(spark, path):
 
 def test_read_envelopes(spark, tmp_path):
     rows = accounts(spark, tmp_path).orderBy("id").collect()
-    assert [r.name for r in rows] == ["Acme Corp", "TechStart Inc"]
+    assert [r.name for r in rows] == ["Brook Mill", "Lantern Yard"]
     assert rows[0].source == "salesforce_api" and rows[0].object_type == "Account"
     with pytest.raises(Exception):
         readers.read_envelopes(spark, str(tmp_path / "none"), "Account", F.lit(AT)).count()
@@ -44,8 +44,8 @@ def test_batch_ingest_end_to_end(spark, tmp_path):
     writers.append_raw(rows, out, sink_schema("Account"), ACCOUNT.cluster_by)
     back = spark.read.parquet(out)
     assert back.count() == 4 and back.where("ingest_date = '2025-10-31'").count() == 4
-    row = back.where("id = '001000000000001AAA'").first()
-    assert float(row.annual_revenue) == 1000000 and row.billing_address == '{"city":"X"}' and row._validation_errors == []
+    row = back.where("id = '001700000000042QAB'").first()
+    assert float(row.annual_revenue) == 730500 and row.billing_address == '{"city":"X"}' and row._validation_errors == []
 
 
 def test_ingest(spark, tmp_path):
@@ -119,3 +119,31 @@ def test_retention_and_lake(spark, tmp_path):
     assert readers.read_lake(spark, str(tmp_path / "j"), "json", schema="n int").count() == 3
     (tmp_path / "arr.json").write_text('[{"n":1},{"n":2}]')
     assert readers.read_json_array(spark, str(tmp_path / "arr.json"), "n int").count() == 2
+
+
+def test_discovery(spark, tmp_path):
+    for name in ("a/x.parquet", "a/b/tmp/y.parquet", "a/_temp/z.parquet", "tmp/w.parquet", "a/b/deep.parquet"):
+        spark.createDataFrame([(name,)], "n string").coalesce(1).write.parquet(str(tmp_path / "lake" / name))
+    (tmp_path / "lake" / "note.json").write_text('{"n":"j"}')
+    (tmp_path / "lake" / "note.txt").write_text("x")
+    root = str(tmp_path / "lake")
+
+    def names(df):
+        return sorted({r.path.split("/lake/")[1].split(".parquet")[0] for r in df.collect()})
+
+    assert names(readers.discover(spark, root)) == ["a/b/deep", "a/b/tmp/y", "a/x", "note.json", "tmp/w"]
+    assert names(readers.discover(spark, root, ["**/*.parquet"], ["tmp/**", "_temp/**"])) == ["a/b/deep", "a/x"]
+    assert names(readers.discover(spark, root, ["a/*/part-*", "*.json"], [])) == ["a/x", "note.json"]
+    assert names(readers.discover(spark, root, ["no?e.json"])) == ["note.json"]
+
+    def run():
+        new = readers.read_new_files(spark, root, "n string", exclude=["tmp/**"])
+        query = new.writeStream.format("parquet").option("path", str(tmp_path / "out")).trigger(availableNow=True)
+        assert query.option("checkpointLocation", str(tmp_path / "cp")).start().awaitTermination(120)
+        return sorted(r.n for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert run() == ["a/b/deep.parquet", "a/x.parquet"]
+    spark.createDataFrame([("new",)], "n string").coalesce(1).write.mode("append").parquet(f"{root}/a/x.parquet")
+    spark.createDataFrame([("out",)], "n string").coalesce(1).write.mode("append").parquet(f"{root}/tmp/w.parquet")
+    assert run() == ["a/b/deep.parquet", "a/x.parquet", "new"]
+    assert run() == ["a/b/deep.parquet", "a/x.parquet", "new"]
