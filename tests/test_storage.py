@@ -147,3 +147,48 @@ def test_discovery(spark, tmp_path):
     spark.createDataFrame([("out",)], "n string").coalesce(1).write.mode("append").parquet(f"{root}/tmp/w.parquet")
     assert run() == ["a/b/deep.parquet", "a/x.parquet", "new"]
     assert run() == ["a/b/deep.parquet", "a/x.parquet", "new"]
+
+
+@pytest.mark.parametrize("split", [40, 700, 5000])
+def test_one_file_in_many_tasks(spark, tmp_path, split):
+    """Braces, brackets, quotes and escapes in strings, nested values, several files: the rows of a one-task read."""
+    import random
+
+    from pyspark.sql import types as T
+
+    from crmflow.sources.split_json import read_large_envelopes
+
+    draw = random.Random(split)
+    odd = ['}', '{"a":[', '\\"', "\\", "]", "é中😀", '"records":[{', "\n", "x" * 90, ",", "\\\\}"]
+    schema = T.StructType.fromDDL("id string, note string, inner struct<a:string,b:array<struct<c:string>>>, tags array<string>")
+
+    def text():
+        return "".join(draw.choice(odd) for _ in range(draw.randrange(6)))
+
+    (tmp_path / "in").mkdir()
+    for f in range(3):
+        records = [{"id": f"{f}-{i}", "note": text(), "inner": {"a": text(), "b": [{"c": text()}] * draw.randrange(3)}, "tags": [text()] * draw.randrange(3)}
+                   for i in range(40 * f + 1)]
+        envelope = {"meta": {"deep": {"x": [{"y": text()}]}}, "records": records, "totalSize": len(records), "more": {"z": {}}, "done": True}
+        (tmp_path / "in" / f"{f}.json").write_text(json.dumps(envelope, indent=f or None, ensure_ascii=f == 1) + "\n" * f)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    opened = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        got = read_large_envelopes(spark, str(tmp_path / "in"), schema).collect()
+        if split == 700:
+            assert spark.read.option("lineSep", "}").text(str(tmp_path / "in")).rdd.getNumPartitions() > 10
+            (tmp_path / "in" / "2.json").write_text('{"records":[{"id":"1"},{"id":"2"}')
+            with pytest.raises(Exception, match="ends early"):
+                read_large_envelopes(spark, str(tmp_path / "in"), schema).collect()
+            (tmp_path / "in" / "2.json").write_text('{"records":[{"id":"1"}],"errors":[{"id":"2"}]}')
+            with pytest.raises(Exception, match="not one array"):
+                read_large_envelopes(spark, str(tmp_path / "in"), schema).collect()
+            return
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+        spark.conf.set("spark.sql.files.openCostInBytes", opened)
+    want = spark.read.schema(T.StructType([T.StructField("records", T.ArrayType(schema))])).json(str(tmp_path / "in"), multiLine=True)
+    want = want.select(F.inline("records")).collect()
+    assert len(want) == 123 and sorted(map(str, got)) == sorted(map(str, want))
