@@ -3,32 +3,52 @@ from pyspark.sql import DataFrame, SparkSession
 
 from crmflow.llm import common, decontaminate, mixing, ngram_join, token_files, toxicity
 
+#: Rows of an Arrow batch: whole texts, some MB of them. Buffers of JVM and workers stay small over all stages.
+BATCH_ROWS = 1000
+
 #: The mix repeats documents and drops none: rates from 1 on, towards a quarter more tokens.
 LEAST_RATE, GROWTH = 1.0, 1.25
 
 
+def bounded(spark: SparkSession) -> None:
+    """Batches between JVM and Python workers hold at most ``BATCH_ROWS`` rows, or fewer where the session says so."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the toxicity chain rejects go. Null and empty texts stay as judged; without labels none goes."""
+    bounded(spark)
     return toxicity.without_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at 0.8 or more stays; empty texts all stay."""
+    bounded(spark)
     return ngram_join.one_of_each(docs, 5, 80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark item go; without items none goes."""
+    bounded(spark)
     return decontaminate.without_benchmark(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated by their rates; none goes. Without labelled documents all stay as they are."""
+    bounded(spark)
     labelled = mixing.labelled_domains(docs, _table(spark, sf_dir, "labels"))
     return mixing.mixed(docs, labelled, floor=LEAST_RATE, growth=GROWTH)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of all documents, and per document what is read back; no documents, no rows."""
+    bounded(spark)
     return token_files.encoded(docs)
 
 
@@ -47,7 +67,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the table between two stages is written and read again."""
     docs = common.documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        kept = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = common.saved(docs, name)
+            kept = common.saved(kept, name)
+            if k:
+                common.dropped(docs)
+        docs = kept
     return docs
