@@ -2,20 +2,29 @@
 
 Each previous word is a context restaurant; all of them share one parent, the word restaurant, whose base is uniform over
 the vocabulary and one unknown word. Seatings are sampled by Gibbs: in each sweep the customers of a dish leave their
-restaurant and sit down again, one by one, at an old table or at a new one (with the parent's probability of the dish). After
-``BURN`` sweeps the tables are averaged over ``SWEEPS`` more; as predictions are linear in the tables, that averages the
-predictive probabilities. The parent's customers are the tables of all contexts: before each sweep they are summed by word over
-all buckets, seated in the same way, and the parent's probabilities are sent back to the buckets. For every context the probabilities of all words sum to one.
+restaurant and sit down again, one by one, at an old table or at a new one; a new one has the weight (strength + discount *
+all tables of the restaurant) * the parent's probability of the dish, the dish's own new tables included. All dishes of a
+sweep are seated at once, against the other dishes' tables of the sweep before. After ``BURN`` sweeps the tables are averaged
+over ``SWEEPS`` more; as predictions are linear in the tables, that averages the predictive probabilities. The parent's
+customers are the tables of all contexts: before each sweep they are summed by word over all buckets, seated in the same way,
+and the parent's probabilities are sent back to the buckets. For every context the probabilities of all words sum to one.
+
+Draws follow from context, word, sweep and table alone (a hash of them), and all sums are of whole numbers: the same rows
+have the same scores in any order, number of partitions and layout. Customers who join old tables are counted in one
+draw, by the exact law of the wait for the next new table, so a dish costs its tables, not its customers.
 
 How it is spread: texts are cut into chunks of about ``CHUNK_TOKENS`` tokens, kept as word numbers with the chunk's word table. A
 chunk sends its distinct word pairs with their training counts, as packed arrays, to the bucket of the context (contexts that a
 bounded sample of documents shows to be frequent are split into parts by the word, for the layout only: the tables of all parts are
-summed after each sweep). A bucket merges all chunks; each sweep is a shuffle of table sums to word buckets and one back. At the end a bucket
-sends to each chunk one number a pair and the customers and tables of each context. Words go to vocabulary buckets and
+summed in Spark after each sweep). A bucket merges all chunks and keeps where each chunk's pairs are; each sweep is a shuffle of table
+sums to word buckets and one back. There are as many word buckets as the root of the number of buckets. At the end a bucket
+sends to each chunk one number a pair and the customers and tables of each context. Words go to the word buckets and
 back likewise, with exact counts. So what is gathered is in proportion to the distinct words and pairs of each chunk.
+Words are 64-bit keys throughout; packed pairs name them by their place in a table of the row's words.
 
 Nulls and empty texts: the end token alone. Null doc_id: scored, not learnt from, held_out true. Repeated rows are each learnt and
-scored. No training rows: counts 0, V 0, uniform probability of one unknown word. Other columns are ignored.
+scored. No training rows: counts 0, V 0, uniform probability of one unknown word. No documents: no rows. Texts are never cut;
+one longer than ``CHUNK_TOKENS`` is a chunk of its own. Ties do not arise. Other columns are ignored.
 """
 import numpy as np
 import pyarrow as pa
@@ -29,10 +38,10 @@ DISCOUNT, STRENGTH, PARENT_DISCOUNT, PARENT_STRENGTH = 0.75, 1.0, 0.75, 1.0
 BURN, SWEEPS = 2, 4
 CHUNK_TOKENS = 2_500_000
 SAMPLE_DOCS, HOT_SHARE = 2000, 0.002
+#: Marks of rows that aren't from chunks, and the first seed after those of the sweeps.
+OFFER, PAST, LAST = -1, -2, 1000
 END, START = np.uint64(0x1234567), np.uint64(0x7654321)
-#: Pair weights are sent as 16-bit logarithms; this code stands for 0.
-NOTHING, LOG_STEP = 65535, 2000.0
-
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def packed(x, kind) -> bytes:
@@ -46,6 +55,15 @@ def unpacked(raw, kind):
     return np.frombuffer(pa.decompress(raw[8:], decompressed_size=n, codec="zstd", asbytes=True) if n else b"", kind)
 
 
+def coded(x) -> bytes:
+    """Whole numbers below 2**32, as four byte planes, which compress well."""
+    return packed(np.ascontiguousarray(x, "<u4").view(np.uint8).reshape(-1, 4).T, np.uint8)
+
+
+def decoded(raw):
+    return np.ascontiguousarray(unpacked(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 STATE = "chunk long, doc_ids array<long>, lengths binary, train binary, words binary, low binary, mid binary, high binary, trained long"
 
 
@@ -97,186 +115,240 @@ class Chunk:
         for shift, plane in ((0, "low"), (8, "mid"), (16, "high")):
             word |= unpacked(row[plane], np.uint8).astype(np.int32) << shift
         self.word, n = word, len(self.words)
+        self.learnt = np.repeat(unpacked(row["train"], np.int8), self.lengths)
+        if vocabulary_only:
+            return
         code = np.empty(len(word), np.int64)
         code[1:] = word[:-1]
         code[np.cumsum(self.lengths) - self.lengths] = np.flatnonzero(self.words == START)[0]
         code *= n
         code += word
-        self.learnt = np.repeat(unpacked(row["train"], np.int8), self.lengths)
         code, pair = np.unique(code, return_inverse=True)
         self.pair = pair.astype(np.int32)
         del pair
         self.left, self.right = (code // n).astype(np.int32), (code % n).astype(np.int32)
         del code
         self.count = np.bincount(self.pair, weights=self.learnt, minlength=len(self.left)).astype(np.int64)
-        if vocabulary_only:
-            return
-        # Seat groups: contexts, or parts of frequent ones. Every part of a frequent context is asked, with or without pairs.
+        # Seat groups: contexts, or what a bucket has of the parts of frequent ones. Every part is asked, with or without pairs.
         parts = np.ones(n, np.int64)
-        if len(hot[0]):
-            at = np.minimum(np.searchsorted(hot[0], self.words), len(hot[0]) - 1)
-            parts = np.where(hot[0][at] == self.words, hot[1][at], 1)
+        at = _context_of(self.words, hot)
+        parts[at >= 0] = hot[1][at[at >= 0]]
         part = (mix(self.words[self.right]) >> np.uint64(33)).astype(np.int64) % parts[self.left]
-        used = np.unique(self.left)
+        used = np.flatnonzero(np.bincount(self.left, minlength=n))
         groups = np.repeat(used, parts[used])
-        group_part = np.arange(len(groups)) - np.repeat(np.cumsum(parts[used]) - parts[used], parts[used])
         first = np.zeros(n, np.int64)
         first[used] = np.cumsum(parts[used]) - parts[used]
-        key = mix(self.words[groups] + mix(group_part.astype(np.uint64)))
-        bucket = (mix(key) >> np.uint64(40)).astype(np.int64) % buckets
-        self.group_order = np.lexsort((key, bucket))
-        rank = np.empty(len(groups), np.int64)
-        rank[self.group_order] = np.arange(len(groups))
-        place = rank[first[self.left] + part]
-        self.short = (self.words >> np.uint64(32)).astype(np.int64)
-        self.pair_order = np.lexsort((self.short[self.right], place))
-        self.group_left, self.group_key, self.group_bucket = groups[self.group_order], key[self.group_order], bucket[self.group_order]
-        self.pair_group = place[self.pair_order]
+        group_part = np.arange(len(groups)) - first[groups]
+        bucket = (mix(mix(self.words[groups]) + group_part.astype(np.uint64) * GOLDEN) >> np.uint64(24)).astype(np.int64) % buckets
+        by_key = np.argsort(self.words)
+        rank = np.empty(n, np.int64)
+        rank[by_key] = np.arange(n)
+        self.sorted_words = self.words[by_key]
+        code, place = np.unique(bucket * n + rank[groups], return_inverse=True)
+        self.group_left, self.group_bucket = by_key[code % n], code // n
+        place = place[first[self.left] + part]
+        self.pair_order = np.argsort(place * n + rank[self.right])
+        self.pair_group, self.pair_rank = place[self.pair_order], rank[self.right[self.pair_order]]
         self.edges = np.searchsorted(self.group_bucket, np.arange(buckets + 1))
 
     def requests(self):
-        """(bucket, group keys, pairs of each group, 32-bit word keys of the pairs, training counts)."""
-        short, count = self.short[self.right[self.pair_order]], self.count[self.pair_order]
+        """(bucket, contexts, pairs of each, table of the pairs' words, words of the pairs by their place in it, training counts)."""
+        count = self.count[self.pair_order]
+        own, number = np.zeros(len(self.words), bool), np.empty(len(self.words), np.int64)
         for b in np.flatnonzero(np.diff(self.edges)):
             low, high = self.edges[b], self.edges[b + 1]
             x, y = np.searchsorted(self.pair_group, [low, high])
             size = np.bincount(self.pair_group[x:y] - low, minlength=high - low)
-            yield int(b), self.group_key[low:high].tobytes(), packed(size, np.uint32), short[x:y].astype("<u4").tobytes(), packed(count[x:y], np.uint32)
+            own[:] = False
+            own[self.pair_rank[x:y]] = True
+            table = np.flatnonzero(own)
+            number[table] = np.arange(len(table))
+            yield int(b), self.words[self.group_left[low:high]].tobytes(), coded(size), self.sorted_words[table].tobytes(), coded(number[self.pair_rank[x:y]]), coded(count[x:y])
+
+
+def rise(x, w):
+    """log gamma(x + w) - log gamma(x) for x > 0, w >= 0, by Stirling's series eight steps up."""
+    y, z, product = x + 8, x + 8 + w, np.ones(len(x))
+    for k in range(8):
+        product *= 1 + w / (x + k)
+    return (y - 0.5) * np.log1p(w / y) + w * (np.log(z) - 1) + (1 / z - 1 / y) / 12 - (z ** -3 - y ** -3) / 360 - np.log(product)
 
 
-def seat(customers, weight, discount, draw):
-    """Tables of dishes whose customers sit down one by one; ``weight`` is the chance weight of a new table.
+def uniform(key, counter):
+    """Numbers between 0 and 1 that follow from 64-bit keys and counters."""
+    return ((mix(key + (counter.astype(np.uint64) + np.uint64(1)) * GOLDEN) >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
-    Customer k + 1 opens a table with chance weight / (weight + k - discount * tables). The first 256 are seated singly, the rest in
-    blocks that grow with k, each with the chance at its start.
+
+def seat(customers, others, strength, discount, parent, key):
+    """Tables of dishes whose customers sit down one by one, each with the draws of its ``key``.
+
+    With k customers at t tables the next one opens a table with weight w = (strength + discount * (others + t)) * parent
+    against k - discount * t for the old ones; ``others`` counts the restaurant's tables of other dishes. That m customers in
+    a row open none has the probability gamma(a + m) gamma(a + w) / (gamma(a) gamma(a + m + w)), a = k - discount * t:
+    one uniform number gives the wait for each new table.
     """
     tables = np.minimum(customers, 1).astype(np.float64)
     live = np.flatnonzero(customers > 1)
-    k = 1
+    seated, others = np.ones(len(live)), np.broadcast_to(others, len(customers))
+    parent = np.broadcast_to(parent, len(customers))
     while len(live):
-        block = 1 if k < 256 else k // 16
-        n = np.minimum(customers[live] - k, block)
-        chance = weight[live] / (weight[live] + np.maximum(k - discount * tables[live], 1e-9))
-        tables[live] += draw.random(len(live)) < chance if block == 1 else draw.binomial(n, np.minimum(chance, 1))
-        k += block
-        live = live[customers[live] > k]
+        t, left = tables[live], customers[live] - seated
+        w, a = (strength + discount * (others[live] + t)) * parent[live], seated - discount * t
+        level = rise(a, w) - np.log(uniform(key[live], t))
+        opens = np.flatnonzero(rise(a + left, w) >= level)
+        live, seated, left, w, a, level = live[opens], seated[opens], left[opens], w[opens], a[opens], level[opens]
+        # The wait lies from low (possible) to below high (not); near a * (u ** (-1 / w) - 1) in most cases.
+        low, high = np.zeros(len(live)), left.copy()
+        with np.errstate(over="ignore"):
+            guess = a * np.expm1(np.minimum((level - rise(a, w)) / w, 700))
+        for probe in (0.9 * guess - 2, 1.1 * guess + 2):
+            probe = np.clip(np.floor(probe), low, high)
+            shorter = rise(a + probe, w) >= level
+            low, high = np.where(shorter, low, probe), np.where(shorter, np.minimum(high, probe), high)
+        some = np.flatnonzero(high - low > 1)
+        while len(some):
+            probe = np.floor((low[some] + high[some]) / 2)
+            shorter = rise(a[some] + probe, w[some]) >= level[some]
+            high[some[shorter]], low[some[~shorter]] = probe[shorter], probe[~shorter]
+            some = some[high[some] - low[some] > 1]
+        seated = seated + low + 1
+        tables[live] += 1
+        more = customers[live] > seated
+        live, seated = live[more], seated[more]
     return tables
 
 
-SEATS = "bucket int, groups binary, sizes binary, pairs binary, counts binary, tables binary, mean binary, hot binary"
+def parent_chance(weight, customers, tables, known):
+    """The parent's probability of words of these weights (customers less discounted tables; 0: never learnt)."""
+    return (weight + (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)) / (PARENT_STRENGTH + customers)
 
 
-def _pooled(rows):
-    """One bucket's requests merged: groups, their place for each request, entry of each pair, and owner, word and count of each entry."""
-    keys = [np.frombuffer(r["groups"], np.uint64) for r in rows]
-    sizes = [unpacked(r["sizes"], np.uint32).astype(np.int64) for r in rows]
-    counts = np.concatenate([unpacked(r["counts"], np.uint32) for r in rows])
-    short = np.concatenate([np.frombuffer(r["pairs"], "<u4") for r in rows])
-    every, place = np.unique(np.concatenate(keys), return_inverse=True)
-    owner = np.repeat(place, np.concatenate(sizes))
-    order = np.lexsort((short, owner))
-    new = np.ones(len(order), bool)
-    new[1:] = (owner[order][1:] != owner[order][:-1]) | (short[order][1:] != short[order][:-1])
-    entry = np.empty(len(order), np.int32)
-    entry[order] = np.cumsum(new) - 1
-    head = order[new]
-    total = np.bincount(entry, weights=counts, minlength=len(head)).astype(np.int64)
-    return keys, sizes, every, place, entry, owner[head], short[head], total
-
-
-def hot_groups(hot):
-    """Sorted keys of all parts of the frequent contexts, and the context of each."""
-    context = np.repeat(np.arange(len(hot[0])), hot[1])
-    part = np.arange(len(context)) - np.repeat(np.cumsum(hot[1]) - hot[1], hot[1])
-    key = mix(hot[0][context] + mix(part.astype(np.uint64)))
-    order = np.argsort(key)
-    return key[order], context[order]
+def chance(weight, customers, tables, parent):
+    """The probability of words of these weights in a context of so many customers and tables."""
+    return (weight + (STRENGTH + DISCOUNT * tables) * parent) / (STRENGTH + customers)
+
+
+SEATS = "bucket int, groups binary, sizes binary, words binary, pairs binary, counts binary, tables binary, total binary, hot array<double>"
+LINKS = "chunk long, places binary, entries binary"
 
 
 def _context_of(groups, hot):
-    """Place of each group's context among the frequent ones, or -1."""
-    key, context = hot_groups(hot)
-    if not len(key):
+    """Place of each context among the frequent ones, or -1."""
+    if not len(hot[0]):
         return np.full(len(groups), -1)
-    at = np.minimum(np.searchsorted(key, groups), len(key) - 1)
-    return np.where(key[at] == groups, context[at], -1)
+    at = np.minimum(np.searchsorted(hot[0], groups), len(hot[0]) - 1)
+    return np.where(hot[0][at] == groups, at, -1)
 
 
-def _hot_tables(groups, owner, tables, hot) -> bytes:
+def _hot_tables(groups, owner, tables, hot) -> list:
     """Tables of each frequent context in a bucket."""
     mine = _context_of(groups, hot)
     whole = np.bincount(owner, weights=tables, minlength=len(groups))
-    return packed(np.bincount(mine[mine >= 0], weights=whole[mine >= 0], minlength=len(hot[0])), "<f8")
+    return np.bincount(mine[mine >= 0], weights=whole[mine >= 0], minlength=len(hot[0])).tolist()
 
 
 def _first_seats(bucket, rows, hot):
-    """A bucket with one table for each learnt pair."""
-    _, _, every, _, _, owner, short, total = _pooled(rows)
-    learnt = np.flatnonzero(total)
-    owner, one = owner[learnt], np.ones(len(learnt))
-    size = np.bincount(owner, minlength=len(every))
-    return bucket, every.tobytes(), packed(size, np.uint32), packed(short[learnt], "<u4"), packed(total[learnt], np.uint32), packed(one, np.uint32), packed(0 * one, "<f4"), _hot_tables(every, owner, one, hot)
+    """A bucket's requests merged, with one table for each learnt pair; then, for each chunk, the places of its contexts and pairs."""
+    keys, sizes = [np.frombuffer(r["groups"], np.uint64) for r in rows], [decoded(r["sizes"]) for r in rows]
+    tables = [np.frombuffer(r["words"], np.uint64) for r in rows]
+    every, place = np.unique(np.concatenate(keys), return_inverse=True)
+    words, number = np.unique(np.concatenate(tables), return_inverse=True)
+    start = np.cumsum([0, *map(len, tables)])
+    number = np.concatenate([number[s + decoded(r["pairs"])] for s, r in zip(start.tolist(), rows)])
+    code, entry = np.unique(np.repeat(place, np.concatenate(sizes)) * len(words) + number, return_inverse=True)
+    total = np.bincount(entry, weights=np.concatenate([decoded(r["counts"]) for r in rows]), minlength=len(code)).astype(np.int64)
+    owner, number, one = code // len(words), code % len(words), np.minimum(total, 1)
+    yield (bucket, every.tobytes(), coded(np.bincount(owner, minlength=len(every))), words.tobytes(), coded(number), coded(total),
+           coded(one), coded(0 * one), _hot_tables(every, owner, one, hot), None, None, None)
+    at, group_at = 0, 0
+    for r, k, s in zip(rows, keys, sizes):
+        n, g = int(s.sum()), len(k)
+        # Both ascend within a request: differences are small.
+        yield (bucket, *(None,) * 8, r["chunk"], coded(np.diff(place[group_at:group_at + g], prepend=0)), coded(np.diff(entry[at:at + n], prepend=0)))
+        at, group_at = at + n, group_at + g
 
 
-def _offered(row, buckets, column):
-    """(word bucket, words, sums of their tables) of a bucket."""
-    word, place = np.unique(unpacked(row["pairs"], "<u4"), return_inverse=True)
-    total = np.bincount(place, weights=unpacked(row[column], np.uint32 if column == "tables" else "<f4"), minlength=len(word))
-    home = word_bucket(word, buckets)
+def word_bucket(words, buckets):
+    return (mix(words) >> np.uint64(24)).astype(np.int64) % buckets
+
+
+def _learnt_by_bucket(row, buckets):
+    """Word table and word places of a bucket's pairs, and the learnt words' places in the table by word bucket."""
+    words, number = np.frombuffer(row["words"], np.uint64), decoded(row["pairs"])
+    learnt = np.flatnonzero(np.bincount(number, weights=decoded(row["counts"]), minlength=len(words)))
+    home = word_bucket(words[learnt], buckets)
     order = np.argsort(home, kind="stable")
-    edges = np.searchsorted(home[order], np.arange(buckets + 1))
+    return words, number, learnt[order], home[order]
+
+
+def _offered(row, buckets, column):
+    """(word bucket, bucket, words, sums of their tables) of a bucket."""
+    words, number, own, home = _learnt_by_bucket(row, buckets)
+    total = np.bincount(number, weights=decoded(row[column]), minlength=len(words))[own]
+    edges = np.searchsorted(home, np.arange(buckets + 1))
     for v in np.flatnonzero(np.diff(edges)):
-        own = order[edges[v]:edges[v + 1]]
-        yield int(v), row["bucket"], packed(word[own], "<u4"), packed(total[own], "<f4")
+        x, y = edges[v], edges[v + 1]
+        yield int(v), row["bucket"], words[own[x:y]].tobytes(), packed(total[x:y], "<f8")
+
+
+def _summed(rows):
+    """Sorted words of all rows, and the sums of their numbers."""
+    words = [np.frombuffer(r["words"], np.uint64) for r in rows]
+    every = np.unique(np.concatenate([np.empty(0, np.uint64), *words]))
+    total = np.zeros(len(every))
+    for r, w in zip(rows, words):
+        total[np.searchsorted(every, w)] += unpacked(r["sums"], "<f8")
+    return every, total
 
 
-def word_bucket(short, buckets):
-    return (mix(short.astype(np.uint64)) >> np.uint64(40)).astype(np.int64) % buckets
+def _seated_parent(every, customers, before, tables, known, seed):
+    """Parent tables of words; ``before`` are theirs and ``tables`` those of all words after the sweep before."""
+    return seat(customers, tables - before, PARENT_STRENGTH, PARENT_DISCOUNT, 1 / (known + 1), mix(every + np.uint64((seed + 1) * int(GOLDEN) % (1 << 64))))
 
 
-def _parent(v, rows, base, seed):
-    """Seats all contexts' tables of a bucket's words at the parent; ``base`` is the weight of a new table, None at the start."""
-    words = [unpacked(r["words"], "<u4") for r in rows]
-    every, place = np.unique(np.concatenate(words), return_inverse=True)
-    customers = np.rint(np.bincount(place, weights=np.concatenate([unpacked(r["sums"], "<f4") for r in rows]), minlength=len(every))).astype(np.int64)
-    tables = np.minimum(customers, 1).astype(float) if base is None else seat(customers, np.full(len(every), base), PARENT_DISCOUNT, np.random.default_rng([seed, v]))
-    weight, at = customers - PARENT_DISCOUNT * tables, 0
-    for k, (r, w) in enumerate(zip(rows, words)):
-        sums = (len(every), int(customers.sum()), float(tables.sum())) if k == 0 else (0, 0, 0.0)
-        yield (r["bucket"], v, packed(weight[place[at:at + len(w)]], "<f4"), *sums)
-        at += len(w)
+def _parent(v, rows, tables, known, seed):
+    """Seats all contexts' tables of a bucket's words at the parent: its own row (bucket -1), then an answer to each bucket.
+
+    ``rows`` begin with its row of the sweep before; at the start ``tables`` is None and each word has one table.
+    """
+    past, rows = [r for r in rows if r["bucket"] < 0], [r for r in rows if r["bucket"] >= 0]
+    every, customers = _summed(rows)
+    if tables is None:
+        now = np.minimum(customers, 1)
+    else:
+        now = _seated_parent(every, customers, unpacked(past[0]["sums"], "<f8"), tables, known, seed)
+    yield -1, v, every.tobytes(), packed(now, "<f8"), int((customers > 0).sum()), int(customers.sum()), float(now.sum())
+    weight = customers - PARENT_DISCOUNT * now
+    for r in rows:
+        yield r["bucket"], v, None, packed(weight[np.searchsorted(every, np.frombuffer(r["words"], np.uint64))], "<f8"), 0, 0, 0.0
 
 
 def _swept(row, answers, buckets, hot, whole_hot, known, customers, tables, seed, averaged):
     """A bucket's seats after one more sweep; ``answers`` are the parent's weights by word bucket."""
-    groups, size = np.frombuffer(row["groups"], np.uint64), unpacked(row["sizes"], np.uint32)
-    owner, count, now = np.repeat(np.arange(len(groups)), size), unpacked(row["counts"], np.uint32).astype(np.int64), unpacked(row["tables"], np.uint32).astype(float)
-    word, place = np.unique(unpacked(row["pairs"], "<u4"), return_inverse=True)
-    parent = np.empty(len(word))
-    parent[np.argsort(word_bucket(word, buckets), kind="stable")] = np.concatenate([unpacked(a, "<f4") for a in answers]) if answers else 0
-    parent = (parent + (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)) / (PARENT_STRENGTH + customers)
+    groups, size = np.frombuffer(row["groups"], np.uint64), decoded(row["sizes"])
+    owner, count, now = np.repeat(np.arange(len(groups)), size), decoded(row["counts"]), decoded(row["tables"])
+    words, number, own, _ = _learnt_by_bucket(row, buckets)
+    parent = np.zeros(len(words))
+    if answers:
+        parent[own] = np.concatenate([unpacked(a, "<f8") for a in answers])
+    parent = parent_chance(parent, customers, tables, known)
     whole, mine = np.bincount(owner, weights=now, minlength=len(groups)), _context_of(groups, hot)
     whole[mine >= 0] = whole_hot[mine[mine >= 0]]
-    weight = (STRENGTH + DISCOUNT * np.maximum(whole[owner] - now, 0)) * parent[place]
-    now = seat(count, weight, DISCOUNT, np.random.default_rng([seed, row["bucket"]]))
-    mean = unpacked(row["mean"], "<f4") + (now / SWEEPS if averaged else 0)
-    return row["bucket"], row["groups"], row["sizes"], row["pairs"], row["counts"], packed(now, np.uint32), packed(mean, "<f4"), _hot_tables(groups, owner, now, hot)
-
-
-def _merged(rows, mean):
-    """One bucket's answer to each chunk, with the averaged tables of its learnt pairs."""
-    keys, sizes, every, place, entry, owner, _, total = _pooled(rows)
-    tables = np.zeros(len(total))
-    tables[total > 0] = mean
-    customers, group_tables = (np.bincount(owner, weights=x, minlength=len(every)) for x in (total, tables))
-    weight = np.maximum(total - DISCOUNT * tables, 0)
-    coded = np.where(weight > 0, np.minimum(np.round((np.log(np.maximum(weight, 1e-9)) + 5) * LOG_STEP), NOTHING - 1), NOTHING).astype(np.uint16)
-    at, group_at = 0, 0
-    for r, k, s in zip(rows, keys, sizes):
-        n, g = int(s.sum()), len(k)
-        own = place[group_at:group_at + g]
-        yield r["chunk"], r["bucket"], packed(coded[entry[at:at + n]], np.uint16), packed(customers[own], "<i8"), packed(group_tables[own], "<f4")
-        at, group_at = at + n, group_at + g
+    key = mix(mix(groups)[owner] + words[number]) + np.uint64(seed) * mix(words)[number]
+    now = seat(count, whole[owner] - now, STRENGTH, DISCOUNT, parent[number], key).astype(np.int64)
+    total = coded(decoded(row["total"]) + now) if averaged else row["total"]
+    return (*(row[k] for k in ("bucket", "groups", "sizes", "words", "pairs", "counts")), coded(now), total, _hot_tables(groups, owner, now, hot))
+
+
+def _merged(row, links):
+    """One bucket's answer to each chunk: weights of its pairs, customers and tables of its contexts."""
+    size, total, tables = decoded(row["sizes"]), decoded(row["counts"]), decoded(row["total"]) / SWEEPS
+    owner = np.repeat(np.arange(len(size)), size)
+    customers, group_tables = (np.bincount(owner, weights=x, minlength=len(size)) for x in (total, tables))
+    weight = total - DISCOUNT * tables
+    for r in links:
+        own, entry = np.cumsum(decoded(r["places"])), np.cumsum(decoded(r["entries"]))
+        yield r["chunk"], r["bucket"], packed(weight[entry], "<f4"), packed(customers[own], "<i8"), packed(group_tables[own], "<f4")
 
 
 def _by(batches, key):
@@ -326,7 +398,9 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
     source = texts(docs)
     spark = source.sparkSession
     buckets = spread(source)
+    word_buckets = int(np.ceil(np.sqrt(buckets)))
     names, binary = [x.split()[0] for x in SEATS.split(", ")], pa.binary()
+    seat_kinds = [pa.int32(), *(binary,) * 7, pa.list_(pa.float64())]
     state = saved(source.select("doc_id", "text", F.expr(f"coalesce({train}, false)").alias("train")).mapInArrow(_chunks, STATE), "chunks")
     trained = state.agg(F.sum("trained")).first()[0] or 0
     hot = spark.sparkContext.broadcast(_frequent(source, buckets))
@@ -335,105 +409,102 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 for r in Chunk(row, hot.value, buckets).requests():
-                    yield _table([(row["chunk"], *r)], ["chunk", "bucket", "groups", "sizes", "pairs", "counts"], [pa.int64(), pa.int32(), *(pa.binary(),) * 4])
+                    yield _table([(row["chunk"], *r)], ["chunk", "bucket", "groups", "sizes", "words", "pairs", "counts"], [pa.int64(), pa.int32(), *(binary,) * 5])
 
     def first(batches):
         for b, rows in _by(batches, "bucket"):
-            yield _table([_first_seats(b, rows, hot.value)], names, [pa.int32(), *(binary,) * 7])
+            for r in _first_seats(b, rows, hot.value):
+                yield _table([r], [*names, "chunk", "places", "entries"], [*seat_kinds, pa.int64(), binary, binary])
 
     def offer(column):
         def offer(batches):
             for batch in batches:
                 for k in range(batch.num_rows):
-                    for r in _offered(batch.slice(k, 1).to_pylist()[0], buckets, column):
+                    for r in _offered(batch.slice(k, 1).to_pylist()[0], word_buckets, column):
                         yield _table([r], ["v", "bucket", "words", "sums"], [pa.int32(), pa.int32(), binary, binary])
         return offer
 
-    def parent(base, seed):
+    def parent(*given):
         def parent(batches):
             for v, rows in _by(batches, "v"):
-                for r in _parent(v, rows, base, seed):
-                    yield _table([r], ["bucket", "v", "answer", "known", "customers", "all_tables"], [pa.int32(), pa.int32(), binary, pa.int64(), pa.int64(), pa.float64()])
+                for r in _parent(v, rows, *given):
+                    yield _table([r], ["bucket", "v", "words", "sums", "known", "customers", "all_tables"], [pa.int32(), pa.int32(), binary, binary, pa.int64(), pa.int64(), pa.float64()])
         return parent
 
     def sweep(*given):
         def sweep(batches):
             for _, rows in _by(batches, "bucket"):
-                rows.sort(key=lambda r: r["v"])
-                yield _table([_swept(rows[0], [r["answer"] for r in rows[1:]], buckets, hot.value, *given)], names, [pa.int32(), *(binary,) * 7])
+                yield _table([_swept(rows[0], [r["sums"] for r in rows[1:]], word_buckets, hot.value, *given)], names, seat_kinds)
         return sweep
 
     def sample(batches):
-        for b, rows in _by(batches, "bucket"):
-            rows.sort(key=lambda r: r["chunk"])
-            for r in _merged(rows[1:], unpacked(rows[0]["mean"], "<f4")):
-                yield _table([(r[0], 0, *r[1:])], ["chunk", "kind", "bucket", "a", "b", "c"], [pa.int64(), pa.int32(), pa.int32(), *(pa.binary(),) * 3])
+        for _, rows in _by(batches, "bucket"):
+            for chunk, b, *r in _merged(rows[0], rows[1:]):
+                yield _table([(chunk, 0, b, *r)], ["chunk", "kind", "bucket", "a", "b", "c"], [pa.int64(), pa.int32(), pa.int32(), *(binary,) * 3])
 
     def ask_words(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row, hot.value, buckets, vocabulary_only=True)
-                n = len(chunk.words)
-                count = np.bincount(chunk.word, weights=chunk.learnt, minlength=n).astype(np.int64)
-                bucket = word_bucket(chunk.words >> np.uint64(32), buckets)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                for b in np.flatnonzero(np.diff(edges)):
-                    own = order[edges[b]:edges[b + 1]]
-                    yield _table([(row["chunk"], int(b), chunk.words[own].tobytes(), packed(count[own], "<i8"), None)], ["chunk", "bucket", "words", "counts", "sums"], [pa.int64(), pa.int32(), *(pa.binary(),) * 3])
-
-    def count_words(batches):
-        for b, rows in _by(batches, "bucket"):
-            tabled = [r for r in rows if r["chunk"] is None]
-            rows = [r for r in rows if r["chunk"] is not None]
-            if not rows:
-                continue
-            keys = [np.frombuffer(r["words"], np.uint64) for r in rows]
-            every, place = np.unique(np.concatenate(keys), return_inverse=True)
-            count = np.bincount(place, weights=np.concatenate([unpacked(r["counts"], "<i8") for r in rows]), minlength=len(every)).astype(np.int64)
-            known = int((count > 0).sum())
-            # The contexts' averaged tables, by the words' short keys; words of one short key share them.
-            short, at = np.unique(every >> np.uint64(32), return_inverse=True)
-            total = np.zeros(len(short))
-            for r in tabled:
-                np.add.at(total, np.searchsorted(short, unpacked(r["words"], "<u4").astype(np.uint64)), unpacked(r["sums"], "<f4"))
-            sharing = np.bincount(at, weights=count > 0, minlength=len(short))
-            customers = np.rint(np.where(count > 0, (total / np.maximum(1, sharing))[at], 0)).astype(np.int64)
-            draw, tables = np.random.default_rng(b), np.zeros(len(every))
-            for _ in range(SWEEPS):
-                tables += seat(customers, np.full(len(every), base), PARENT_DISCOUNT, draw) / SWEEPS
-            weight = np.maximum(customers - PARENT_DISCOUNT * tables, 0)
-            at = 0
-            for k, r in enumerate(rows):
-                own = place[at:at + len(keys[k])]
-                at += len(keys[k])
-                sums = (known, int(customers.sum()), float(tables.sum())) if k == 0 else (0, 0, 0.0)
-                yield _table([(r["chunk"], 1, b, packed(count[own], "<i8"), packed(weight[own], "<f4"), b"", *sums)], ["chunk", "kind", "bucket", "a", "b", "c", "known", "customers", "tables"], [pa.int64(), pa.int32(), pa.int32(), *(pa.binary(),) * 3, pa.int64(), pa.int64(), pa.float64()])
+                count = np.bincount(chunk.word, weights=chunk.learnt, minlength=len(chunk.words))
+                home = word_bucket(chunk.words, word_buckets)
+                order = np.argsort(home, kind="stable")
+                edges = np.searchsorted(home[order], np.arange(word_buckets + 1))
+                for v in np.flatnonzero(np.diff(edges)):
+                    own = order[edges[v]:edges[v + 1]]
+                    yield _table([(int(v), row["chunk"], chunk.words[own].tobytes(), packed(count[own], "<f8"))], ["v", "chunk", "words", "sums"], [pa.int32(), pa.int64(), binary, binary])
+
+    def count_words(total, distinct):
+        def count_words(batches):
+            for v, rows in _by(batches, "v"):
+                own, past, rows = ([r for r in rows if x(r["chunk"])] for x in (lambda c: c == OFFER, lambda c: c == PAST, lambda c: c >= 0))
+                every, count = _summed(rows)
+                weight, sums = np.zeros(len(every)), (0, 0, 0.0)
+                if own:
+                    # The contexts' averaged tables sit down at the parent once more, averaged in their turn.
+                    words, customers = _summed(own)
+                    customers = np.rint(customers / SWEEPS).astype(np.int64)
+                    before, tables = unpacked(past[0]["sums"], "<f8"), np.zeros(len(words))
+                    for k in range(SWEEPS):
+                        tables += _seated_parent(words, customers, before, total, distinct, LAST + k) / SWEEPS
+                    weight[np.searchsorted(every, words)] = customers - PARENT_DISCOUNT * tables
+                    sums = (int((count > 0).sum()), int(customers.sum()), float(tables.sum()))
+                for k, r in enumerate(rows):
+                    at = np.searchsorted(every, np.frombuffer(r["words"], np.uint64))
+                    yield _table([(r["chunk"], 1, v, packed(count[at], "<i8"), packed(weight[at], "<f8"), b"", *(sums if k == 0 else (0, 0, 0.0)))],
+                                 ["chunk", "kind", "bucket", "a", "b", "c", "known", "customers", "tables"], [pa.int64(), pa.int32(), pa.int32(), *(binary,) * 3, pa.int64(), pa.int64(), pa.float64()])
+        return count_words
 
     answer = "chunk long, kind int, bucket int, a binary, b binary, c binary"
-    asked = state.mapInArrow(ask, "chunk long, bucket int, groups binary, sizes binary, pairs binary, counts binary")
-    seats, base = saved(asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(first, SEATS), "seats"), None
-    offers = "v int, bucket int, words binary, sums binary"
+    asked = state.mapInArrow(ask, "chunk long, bucket int, groups binary, sizes binary, words binary, pairs binary, counts binary")
+    begun = saved(asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(first, f"{SEATS}, {LINKS}"), "seats")
+    links = begun.where("chunk is not null").select("bucket", "chunk", "places", "entries")
+    seats, told, tables, known = begun.where("chunk is null").select(*names), None, None, 0
     for k in range(BURN + SWEEPS):
-        sums = seats.mapInArrow(offer("tables"), offers).repartition(buckets, "v").sortWithinPartitions("v", "bucket")
-        told = saved(sums.mapInArrow(parent(base, 2 * k), "bucket int, v int, answer binary, known long, customers long, all_tables double"), "parent")
+        sums = seats.mapInArrow(offer("tables"), "v int, bucket int, words binary, sums binary")
+        if told is not None:
+            sums = sums.unionByName(told.where("bucket < 0").select("v", "bucket", "words", "sums"))
+        sums = sums.repartition(buckets, "v").sortWithinPartitions("v", "bucket")
+        past, told = told, saved(sums.mapInArrow(parent(tables, known, 2 * k), "bucket int, v int, words binary, sums binary, known long, customers long, all_tables double"), "parent")
         known, customers, tables = (x or 0 for x in told.agg(F.sum("known"), F.sum("customers"), F.sum("all_tables")).first())
-        base = (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)
-        whole = sum((unpacked(r[0], "<f8") for r in seats.select("hot").toLocalIterator()), np.zeros(len(hot.value[0])))
-        both = seats.withColumn("v", F.lit(-1)).unionByName(told.select("bucket", "v", "answer"), allowMissingColumns=True)
+        whole = np.zeros(len(hot.value[0]))
+        # At most 1 / HOT_SHARE frequent contexts.
+        for place, n in seats.select(F.posexplode("hot")).groupBy("pos").agg(F.sum("col")).collect():
+            whole[place] = n
+        both = seats.withColumn("v", F.lit(-1)).unionByName(told.where("bucket >= 0").select("bucket", "v", "sums"), allowMissingColumns=True)
         both = both.repartition(buckets, "bucket").sortWithinPartitions("bucket", "v")
         swept = saved(both.mapInArrow(sweep(whole, known, customers, tables, 2 * k + 1, k >= BURN), SEATS), "seats")
-        dropped(told)
-        dropped(seats)
+        if k:
+            dropped(past)
+            dropped(seats)
         seats = swept
-    base = base or 1.0
-    asked_words = state.mapInArrow(ask_words, "chunk long, bucket int, words binary, counts binary, sums binary")
-    sums = seats.mapInArrow(offer("mean"), offers).select(F.lit(None).cast("long").alias("chunk"), F.col("v").alias("bucket"), "words", F.lit(None).cast("binary").alias("counts"), "sums")
-    words = saved(asked_words.unionByName(sums).repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(count_words, answer + ", known long, customers long, tables double"), "words")
-    totals = words.agg(F.sum("known"), F.sum("customers"), F.sum("tables")).first()
-    known, customers, tables = (x or 0 for x in totals)
-    mean = seats.select(F.lit(-1).cast("long").alias("chunk"), "bucket", "mean")
-    pairs = asked.unionByName(mean, allowMissingColumns=True).repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(sample, answer)
+    offers = "v int, chunk long, words binary, sums binary"
+    sums = seats.mapInArrow(offer("total"), "v int, bucket int, words binary, sums binary").select("v", F.lit(OFFER).cast("long").alias("chunk"), "words", "sums")
+    sums = sums.unionByName(told.where("bucket < 0").select("v", F.lit(PAST).cast("long").alias("chunk"), "words", "sums"))
+    words = state.mapInArrow(ask_words, offers).unionByName(sums).repartition(buckets, "v").sortWithinPartitions("v", "chunk")
+    words = saved(words.mapInArrow(count_words(tables, known), answer + ", known long, customers long, tables double"), "words")
+    known, customers, tables = (x or 0 for x in words.agg(F.sum("known"), F.sum("customers"), F.sum("tables")).first())
+    pairs = seats.unionByName(links, allowMissingColumns=True).repartition(buckets, "bucket").sortWithinPartitions("bucket", F.col("chunk").asc_nulls_first()).mapInArrow(sample, answer)
 
     def finish(batches):
         for _, rows in _by(batches, "chunk"):
@@ -441,21 +512,19 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
             chunk, ids = Chunk(rows[-1], hot.value, buckets), rows[-1]["doc_ids"]
             n = len(chunk.words)
             own = [r for r in rows if r["kind"] == 0]
-            coded = np.concatenate([unpacked(r["a"], np.uint16) for r in own])
-            weight = np.empty(len(coded))
-            weight[chunk.pair_order] = np.where(coded == NOTHING, 0, np.exp(coded / LOG_STEP - 5))
+            weight = np.empty(len(chunk.left))
+            weight[chunk.pair_order] = np.concatenate([unpacked(r["a"], "<f4") for r in own])
             # Parts of a context are summed.
             context_customers = np.bincount(chunk.group_left, weights=np.concatenate([unpacked(r["b"], "<i8") for r in own]), minlength=n)
             context_tables = np.bincount(chunk.group_left, weights=np.concatenate([unpacked(r["c"], "<f4") for r in own]), minlength=n)
             own = [r for r in rows if r["kind"] == 1]
-            order = np.argsort(word_bucket(chunk.words >> np.uint64(32), buckets), kind="stable")
+            order = np.argsort(word_bucket(chunk.words, word_buckets), kind="stable")
             count, parent = np.zeros(n, np.int64), np.zeros(n)
             count[order] = np.concatenate([unpacked(r["a"], "<i8") for r in own])
-            parent[order] = np.concatenate([unpacked(r["b"], "<f4") for r in own])
-            parent = (parent + (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)) / (PARENT_STRENGTH + customers)
+            parent[order] = np.concatenate([unpacked(r["b"], "<f8") for r in own])
+            parent = parent_chance(parent, customers, tables, known)
             left = chunk.left
-            chance = (weight + (STRENGTH + DISCOUNT * context_tables[left]) * parent[chunk.right]) / (STRENGTH + context_customers[left])
-            score = np.log10(chance)[chunk.pair]
+            score = np.log10(chance(weight, context_customers[left], context_tables[left], parent[chunk.right]))[chunk.pair]
             base = np.log10((count + 1) / (trained + known + 1))[chunk.word]
             doc = np.repeat(np.arange(len(chunk.lengths)), chunk.lengths)
             out = [np.bincount(doc, weights=x, minlength=len(chunk.lengths)) for x in ((count > 0)[chunk.word], base, score)]

@@ -1,14 +1,20 @@
-"""The language model does not depend on how its input is laid out."""
+"""The language model: the law of seating, its probabilities, counts, and that the layout of its input does not matter."""
+import collections
+import math
 import random
+import re
+import zlib
 
+import cases
 import numpy as np
 import pytest
 
 from crmflow.llm import hpy_model
+from crmflow.llm.hpy_model import coded, decoded, packed, seat, unpacked
 
 
 @pytest.fixture(scope="module")
-def zipf(spark):
+def zipf():
     draw = random.Random(4)
     word = lambda: f"w{int(draw.paretovariate(0.7)) % 3000}"
     return [(d, " ".join(word() for _ in range(100))) for d in range(400)]
@@ -25,19 +31,93 @@ def scores(spark, rows, partitions, buckets):
 
 
 def test_layout_does_not_matter(spark, zipf):
-    one, chunks, buckets = scores(spark, zipf, 1, 2), scores(spark, zipf, 12, 2), scores(spark, zipf, 1, 24)
-    # A pair in many chunks is one customer more for each of its contexts' tables, not for each chunk.
-    assert np.abs(one - chunks).max() < 1e-3
-    # Other buckets and parts draw other numbers, from the same parent and whole contexts.
-    assert np.abs(one - buckets).mean() < 0.005 and abs((one - buckets).mean()) < 0.002
+    one, chunks, buckets = scores(spark, zipf, 1, 2), scores(spark, zipf, 12, 2), scores(spark, zipf, 7, 24)
+    assert np.abs(one - chunks).max() < 1e-9 and np.abs(one - buckets).max() < 1e-9
+
+
+def one_by_one(customers, others, strength, discount, parent, draw):
+    tables = 1
+    for k in range(1, customers):
+        new = (strength + discount * (others + tables)) * parent
+        tables += draw.random() < new / (new + k - discount * tables)
+    return tables
+
+
+@pytest.mark.parametrize("customers, others, parent", [(2, 0, 0.5), (7, 3, 0.1), (200, 0, 0.3), (200, 50, 0.02), (600, 400, 0.3), (1500, 20, 1e-5)])
+def test_seats_have_the_law_of_one_by_one(customers, others, parent):
+    n, draw = 3000, random.Random(1)
+    want = np.array([one_by_one(customers, others, 1.0, 0.75, parent, draw) for _ in range(n)])
+    got = seat(np.full(n, customers), np.full(n, others), 1.0, 0.75, np.full(n, parent), hpy_model.mix(np.arange(1, n + 1, dtype=np.uint64)))
+    error = math.sqrt((want.var() + got.var()) / n) + 1e-9
+    assert abs(want.mean() - got.mean()) < 4 * error
+    assert abs(want.std() - got.std()) < 0.1 * want.std() + 0.01
+    values = range(1, int(want.max()) + 1)
+    assert max(abs((want <= v).mean() - (got <= v).mean()) for v in values) < 0.05
+
+
+def test_wait_of_very_many_customers():
+    key = hpy_model.mix(np.arange(1, 2001, dtype=np.uint64))
+    got = seat(np.full(2000, 10 ** 9), np.zeros(2000), 1.0, 0.75, np.full(2000, 1e-7), key)
+    # Almost no new table raises the weight: they come at rate weight / k.
+    mean = 1 + 1.75e-7 * (math.log(10 ** 9) + 4)
+    assert abs(got.mean() - mean) < 0.01 and seat(np.array([0, 1]), 0, 1.0, 0.75, 0.5, key[:2]).tolist() == [0, 1]
+
+
+def test_a_context_sums_to_one():
+    draw = np.random.default_rng(3)
+    known, words = 500, 500
+    customers = draw.integers(1, 400, words)
+    parent_tables = seat(customers, 300, 1.0, 0.75, 1 / (known + 1), hpy_model.mix(np.arange(words, dtype=np.uint64)))
+    parent = hpy_model.parent_chance(np.append(customers - 0.75 * parent_tables, 0), customers.sum(), parent_tables.sum(), known)
+    assert abs(parent.sum() - 1) < 1e-12
+    pairs = np.where(draw.random(words + 1) < 0.2, draw.integers(1, 90, words + 1), 0)
+    tables = seat(pairs, 100, 1.0, 0.75, parent, hpy_model.mix(np.arange(words + 1, dtype=np.uint64)))
+    got = hpy_model.chance(pairs - 0.75 * tables, pairs.sum(), tables.sum(), parent)
+    assert abs(got.sum() - 1) < 1e-12 and got.min() > 0
+
+
+def test_numbers_survive_packing():
+    numbers = np.array([0, 1, 255, 256, 70_000, (1 << 32) - 1])
+    assert decoded(coded(numbers)).tolist() == numbers.tolist() and decoded(coded([])).tolist() == []
 
 
 def test_parts_of_a_context_have_its_whole_tables():
     hot = (np.array([5], np.uint64), np.array([2]))
-    key, context = hpy_model.hot_groups(hot)
-    assert len(key) == 2 and (hpy_model._context_of(np.append(key, np.uint64(1)), hot) == [0, 0, -1]).all() and (context == 0).all()
-    row = {"bucket": 0, "groups": key[:1].tobytes(), "sizes": hpy_model.packed([200], np.uint32), "pairs": hpy_model.packed(np.arange(200), "<u4"), "counts": hpy_model.packed(np.full(200, 3), np.uint32),
-           "tables": hpy_model.packed(np.ones(200), np.uint32), "mean": hpy_model.packed(np.zeros(200), "<f4")}
-    answers = [hpy_model.packed(np.full(200, 0.25), "<f4")]
-    few, many = (hpy_model.unpacked(hpy_model._swept(row, answers, 1, hot, np.array([whole]), 1000, 1000, 1000.0, 1, True)[5], np.uint32).sum() for whole in (200.0, 200_000.0))
+    groups = np.array([5, 6], np.uint64)
+    assert hpy_model._context_of(groups, hot).tolist() == [0, -1]
+    words = np.arange(100, 300, dtype=np.uint64)
+    row = {"bucket": 0, "groups": groups[:1].tobytes(), "sizes": coded([200]), "words": words.tobytes(), "pairs": coded(np.arange(200)), "counts": coded(np.full(200, 3)),
+           "tables": coded(np.ones(200)), "total": coded(np.zeros(200))}
+    answers = [packed(np.full(200, 0.25), "<f8")]
+    few, many = (decoded(hpy_model._swept(row, answers, 1, hot, np.array([whole]), 1000, 1000, 1000.0, 1, True)[6]).sum() for whole in (200.0, 200_000.0))
     assert many > few + 100
+
+
+def test_words_are_told_apart_by_all_bits():
+    near = np.array([1 << 40, (1 << 40) + 1], np.uint64)
+    rows = [{"words": near.tobytes(), "sums": packed([2, 3], "<f8")}, {"words": near[1:].tobytes(), "sums": packed([5], "<f8")}]
+    every, total = hpy_model._summed(rows)
+    assert every.tolist() == near.tolist() and total.tolist() == [2, 8]
+
+
+def plain(rows):
+    """Counts and base scores of texts, word by word."""
+    told = []
+    for i, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        held = i is None or zlib.crc32(str(i).encode()) % 7 == 2
+        told.append((i, held, [*words, None]))
+    count = collections.Counter(w for _, held, words in told if not held for w in words)
+    total = sum(count.values())
+    return [(i, held, len(words), sum(w in count for w in words), total, sum(math.log10((count[w] + 1) / (total + len(count) + 1)) for w in words)) for i, held, words in told]
+
+
+@pytest.mark.parametrize("source", ["odd rows", "given table"])
+def test_counts_against_plain_python(spark, sf_dir, source):
+    docs = cases.documents(spark) if source == "odd rows" else spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = hpy_model.seventh_scores(docs).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[5])
+    got = sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got), key=key)
+    want = sorted(plain([(r["doc_id"], r["text"]) for r in docs.collect()]), key=key)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5] for r in got], [r[5] for r in want], rtol=1e-9)
