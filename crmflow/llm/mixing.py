@@ -3,9 +3,17 @@
 A softmax classifier over hashed token indicators, fitted on a labelled table of domains (at most ``SAMPLE_ROWS`` rows), gives
 every document its posterior over domains. Document rates r >= ``floor`` (0 unless asked) are found by projected-gradient
 least squares, so that the expected token total of each domain, the sum of rate * tokens * posterior, meets its target:
-r starts at 1, and each step sums all totals over Spark tasks, then moves every rate by the posterior times the relative
-errors and projects it. A rate follows from its document's posterior and the errors of the steps so far (a few numbers a
-step), so no rates are kept between steps and a lost task is simply run again.
+r starts at 1, and each step sums all totals over Spark tasks, then moves every rate against the gradient and projects it.
+The gradient is scaled by G, the sum of tokens * posterior * posterior' over the rates above the floor, with ``DAMPING``
+of the sum over all: the rates move by the posterior times the solution of G x = errors, so that where no further rate
+meets the floor one step meets all targets. A rate follows from its document's posterior and the solutions of the steps so
+far (a few numbers a step), so no rates are kept between steps and a lost task is simply run again. The descent ends when
+every total is met, after ``PATIENCE`` steps without a better mix or after ``STEPS`` steps; the best mix met counts. What it
+misses is returned: ``unmet`` is the largest distance of a domain's total from its target, as a part of all tokens of
+the mix (``mixed`` warns of it). Soft posteriors can make targets unreachable: no rates take tokens from a domain alone.
+
+Rates from a floor on can't lower a domain below the floor. Then the targets are raised where they lie below, and the others
+lowered by one factor, so that their sum stays: these totals are in reach, and ``unmet`` still counts from the targets asked.
 
 Rates become whole copies: floor(r), and one more with the probability of the rest, by a hash of doc_id. Tokens are words.
 
@@ -13,6 +21,8 @@ Nulls and empty texts: no tokens, the classifier's offset as posterior. Null doc
 No labelled rows, or no tokens: all rates are 1. Domains without a target have target 0; a domain that no text has is left out of the
 errors. Other columns are ignored (``mixed`` returns them).
 """
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +32,7 @@ from crmflow.llm.common import saved, texts, workers_see_package
 from crmflow.llm.features import indicators, sample
 from crmflow.llm.textgrid import grids, mix
 
-BITS, SAMPLE_ROWS, STEPS, CLOSE = 16, 4000, 40, 1e-4
+BITS, SAMPLE_ROWS, STEPS, PATIENCE, CLOSE, DAMPING = 16, 4000, 40, 15, 1e-4, 1e-3
 #: Token shares of the mix by language and quality; their products are the targets of the domains "language:quality".
 LANGUAGES = {"en": 0.5, "fr": 0.2, "de": 0.18, "es": 0.12}
 QUALITY = {"1": 0.95, "0": 0.05}
@@ -83,7 +93,7 @@ class Membership:
 
 
 def rates(posterior, steps, floor):
-    """Rates after the steps, each a vector of relative errors by domain."""
+    """Rates after the steps, each a vector by domain."""
     r = np.ones(len(posterior))
     for error in steps:
         r = np.maximum(floor, r - posterior @ error)
@@ -95,41 +105,60 @@ def copies(ids: pa.Array, rate):
     return (np.floor(rate) + (unit < rate - np.floor(rate))).astype(np.int64)
 
 
+def in_reach(want, least):
+    """The totals with the sum of ``want`` that are at least ``least`` and else in the proportions of ``want``."""
+    if least.sum() >= want.sum():
+        return least
+    held = np.zeros(len(want), bool)
+    while True:
+        factor = (want.sum() - least[held].sum()) / max(want[~held].sum(), 1e-300)
+        more = ~held & (factor * want < least)
+        if not more.any():
+            return np.where(held, least, factor * want)
+        held |= more
+
+
 def descend(members: DataFrame, names, targets, floor, growth):
-    """Error vectors of all steps; ``members`` has n_tokens and posterior."""
-    spark, steps, first, want, last = members.sparkSession, [], None, None, None
+    """(vectors of all steps, what is unmet); ``members`` has n_tokens and posterior."""
+    spark, steps, size, best, least, every = members.sparkSession, [], len(names), 0, np.inf, None
     for _ in range(STEPS + 1):
         shared = spark.sparkContext.broadcast(list(steps))
 
         def total(batches):
-            out = np.zeros(len(names))
+            out = np.zeros(size + size * size)
             for batch in batches:
                 n = batch.column(0).to_numpy(zero_copy_only=False)
                 p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(n), -1)
-                out += (n * rates(p, shared.value, floor)) @ p
+                r = rates(p, shared.value, floor)
+                out[:size] += (n * r) @ p
+                # At the start all rates can move.
+                own = r > floor if shared.value else slice(None)
+                out[size:] += ((n[own, None] * p[own]).T @ p[own]).ravel()
             yield pa.record_batch([pa.array([out.tolist()], pa.list_(pa.float64()))], names=["t"])
 
         parts = members.select("n_tokens", "posterior").mapInArrow(total, "t array<double>")
         now = parts.select(F.posexplode("t")).groupBy("pos").agg(F.sum("col")).collect()
-        got = np.zeros(len(names))
+        got = np.zeros(size + size * size)
         for pos, x in now:
             got[pos] = x
-        if first is None:
-            first = got
+        got, pairs = got[:size], got[size:].reshape(size, size)
+        if every is None:
             share = np.array([targets.get(n, 0.0) for n in names])
             if got.sum() <= 0 or share.sum() <= 0:
-                return []
-            want = growth * got.sum() * share / share.sum()
-        error = np.where(first > 1e-9 * first.sum(), (got - want) / np.maximum(first, 1e-300), 0.0)
-        if np.abs(got - want).max() <= CLOSE * want.sum() or (last is not None and np.abs(error - last).max() < CLOSE / 10) or len(steps) == STEPS:
+                return [], 0.0
+            asked = growth * got.sum() * share / share.sum()
+            want, every = in_reach(asked, floor * got), pairs
+        miss = float(np.abs(got - want).max() / want.sum())
+        if miss < least:
+            best, least, unmet = len(steps), miss, float(np.abs(got - asked).max() / asked.sum())
+        if miss <= CLOSE or len(steps) == best + PATIENCE or len(steps) == STEPS:
             break
-        steps.append(error)
-        last = error
-    return steps
+        steps.append(np.linalg.pinv(pairs + DAMPING * every, rcond=1e-9, hermitian=True) @ (got - want))
+    return steps[:best], 0.0 if unmet <= CLOSE else unmet
 
 
 def solved(docs: DataFrame, labelled: DataFrame, targets=None, floor=0.0, growth=1.0):
-    """Broadcast (membership, steps), and the saved table doc_id, n_tokens, posterior; None where nothing can be learnt."""
+    """Broadcast (membership, steps, unmet), and the saved table doc_id, n_tokens, posterior; None where nothing can be learnt."""
     source = texts(docs)
     membership = Membership(docs, labelled)
     if membership.model is None:
@@ -142,17 +171,17 @@ def solved(docs: DataFrame, labelled: DataFrame, targets=None, floor=0.0, growth
             yield pa.record_batch([batch.column(0), pa.array(n), pa.array(list(p), pa.list_(pa.float64()))], names=["doc_id", "n_tokens", "posterior"])
 
     members = saved(source.mapInArrow(score, "doc_id long, n_tokens long, posterior array<double>"), "members")
-    steps = descend(members, membership.names, targets or TARGETS, floor, growth)
-    return source.sparkSession.sparkContext.broadcast((membership, steps)), members
+    steps, unmet = descend(members, membership.names, targets or TARGETS, floor, growth)
+    return source.sparkSession.sparkContext.broadcast((membership, steps, unmet)), members
 
 
 def rated(docs: DataFrame, labelled: DataFrame, targets=None, floor=0.0, growth=1.0) -> DataFrame:
-    """doc_id, n_tokens, domain (likeliest), posterior (by domain name), rate, copies of every row of ``docs``."""
+    """doc_id, n_tokens, domain (likeliest), posterior (by domain name), rate, copies of every row of ``docs``, and what is unmet of the mix."""
     shared, members = solved(docs, labelled, targets, floor, growth)
     if members is None:
         words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != ""))
         return texts(docs).select("doc_id", words.cast("long").alias("n_tokens"), F.lit(None).cast("string").alias("domain"),
-                                  F.lit(None).cast("map<string,double>").alias("posterior"), F.lit(1.0).alias("rate"), F.lit(1).cast("long").alias("copies"))
+                                  F.lit(None).cast("map<string,double>").alias("posterior"), F.lit(1.0).alias("rate"), F.lit(1).cast("long").alias("copies"), F.lit(0.0).alias("unmet"))
     names = shared.value[0].names
 
     def rate(batches):
@@ -163,7 +192,7 @@ def rated(docs: DataFrame, labelled: DataFrame, targets=None, floor=0.0, growth=
             yield pa.record_batch([batch.column(0), batch.column(1), domain, batch.column(2), pa.array(r), pa.array(copies(batch.column(0), r))], names=["doc_id", "n_tokens", "domain", "posterior", "rate", "copies"])
 
     out = members.mapInArrow(rate, "doc_id long, n_tokens long, domain string, posterior array<double>, rate double, copies long")
-    return out.withColumn("posterior", F.map_from_arrays(F.array(*[F.lit(n) for n in names]), "posterior"))
+    return out.withColumns({"posterior": F.map_from_arrays(F.array(*[F.lit(n) for n in names]), "posterior"), "unmet": F.lit(shared.value[2])})
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets=None, floor=0.0, growth=1.0) -> DataFrame:
@@ -171,12 +200,14 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets=None, floor=0.0, growth=
     shared, members = solved(docs, labelled, targets, floor, growth)
     if members is None:
         return docs
+    if shared.value[2]:
+        warnings.warn(f"the mix misses a target by {shared.value[2]:.4f} of its tokens", RuntimeWarning, stacklevel=2)
     workers_see_package(docs.sparkSession)
     text, at = docs.columns.index("text"), docs.columns.index("doc_id")
 
     def repeat(batches):
         for batch in batches:
-            membership, steps = shared.value
+            membership, steps, _ = shared.value
             n = copies(batch.column(at), rates(membership.of(batch.column(text))[1], steps, floor))
             yield batch.take(pa.array(np.repeat(np.arange(batch.num_rows), n)))
 

@@ -99,19 +99,18 @@ def test_labelers_are_told_apart():
 
 
 def test_seating():
-    draw = np.random.default_rng(7)
     customers = np.array([0, 1, 2, 50, 5000])
-    tables = hpy_model.seat(customers, np.full(5, 0.5), 0.75, draw)
+    tables = hpy_model.seat(customers, 0, 1.0, 0.75, 0.5, textgrid.mix(np.arange(1, 6, dtype=np.uint64)))
     assert (tables <= customers).all() and (tables[1:] >= 1).all() and tables[0] == 0
 
 
 def test_rates_meet_targets():
     draw = np.random.default_rng(8)
     n, p = draw.integers(1, 500, 3000).astype(float), draw.dirichlet([0.3] * 4, 3000)
-    first, share = n @ p, np.array([0.4, 0.3, 0.2, 0.1])
-    want, steps = n.sum() * share, []
-    for _ in range(60):
-        steps.append(((n * mixing.rates(p, steps, 0)) @ p - want) / first)
+    share = np.array([0.4, 0.3, 0.2, 0.1])
+    want, steps, pairs = n.sum() * share, [], (n[:, None] * p).T @ p
+    for _ in range(mixing.STEPS):
+        steps.append(np.linalg.solve(pairs, (n * mixing.rates(p, steps, 0)) @ p - want))
     assert np.abs((n * mixing.rates(p, steps, 0)) @ p - want).max() < 1e-3 * want.sum()
 
 
