@@ -20,8 +20,9 @@ Skew: equal sets are one row of the matrix (a class). In each batch rows with a
 of them, and only that one is sent on, so a slice that a third of all rows have arrives once per batch. Families are cut
 into blocks of bounded size.
 
-Nulls and empty texts: no n-grams, linked with nothing. Null doc_id: such rows are classed with the others and returned, but
-do not name a component. Repeated rows: returned as often as they come. Other columns are ignored. Ties do not arise:
+Nulls and empty texts: no n-grams, linked with nothing. Null doc_id: such rows are classed, linked and returned with the others,
+but do not name a component (null where no row of it has an id). A doc_id with several texts: each row is judged by its own
+text. Repeated rows: returned as often as they come. No documents: no rows. Texts are never cut. Other columns are ignored. Ties do not arise:
 the least doc_id names a component.
 """
 import numpy as np
@@ -147,7 +148,7 @@ def _scan(n, seed):
     def scan(batches):
         for batch in batches:
             for i, j, _, _, size, node, check in _sets(batch, 1, n, seed):
-                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(node), pa.array(check), pa.array(size.astype(np.int32))], names=["doc_id", "node", "c", "n"])
+                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(node), pa.array(check), pa.array(size.astype(np.int32))], names=["doc_id", "h", "node", "c", "n"])
     return scan
 
 
@@ -316,7 +317,14 @@ def _linked(frame, percent):
 
 def _rows(n):
     def rows(batches):
+        sent = np.empty(0, np.int64)
         for batch in batches:
+            # Rows with the id and the text of a class's representative are alike: a task sends one of them.
+            node = batch.column(1).to_numpy(zero_copy_only=False)
+            first = np.unique(node, return_index=True)[1]
+            first = np.sort(first[~np.isin(node[first], sent)])
+            sent = np.concatenate([sent, node[first]])
+            batch = batch.take(pa.array(first))
             for i, j, grid in grids(batch.column(0)):
                 value, doc = gram_sets(grid, n)
                 ends = np.cumsum(np.bincount(doc, minlength=j - i))
@@ -326,30 +334,32 @@ def _rows(n):
     return rows
 
 
-def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id and class_id of every row of ``docs`` (see the module's text)."""
-    source = texts(docs)
+def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, h (hash of the text), n, node (class), component and component_id (least doc_id) of every row of ``docs``."""
+    source = texts(docs).withColumn("h", F.xxhash64("text"))
     for seed in range(1, 9):
-        rows = saved(source.mapInArrow(_scan(n, seed), "doc_id long, node long, c long, n int"), "rows")
+        rows = saved(source.mapInArrow(_scan(n, seed), "doc_id long, h long, node long, c long, n int"), "rows")
         rows = rows.withColumn("node", F.when(F.col("n") > 0, F.col("node")))
         classes = saved(rows.where("node is not null").groupBy("node").agg(
-            F.min("doc_id").alias("least"), F.max("n").alias("n"), (F.min("c") != F.max("c")).alias("clash")), "classes")
+            F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "h")).alias("rep"), F.max("n").alias("n"), (F.min("c") != F.max("c")).alias("clash")), "classes")
         if not classes.where("clash").limit(1).count():
             break
+    else:
+        raise RuntimeError("different sets of n-grams have one signature under each of eight seeds")
     buckets = spread(source)
     common = source.sparkSession.sparkContext.broadcast(common_grams(source, n))
     slices = source.select("text").mapInArrow(_slice_scan(n, percent, seed, buckets, common), "bucket int, keys binary, place binary, nodes binary, a binary, b binary")
     edges = slices.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_stars, "a long, b long")
     rows = rows.drop("c")
     families = components(edges)
-    families = families.join(classes.select("node", "least", "n"), "node").withColumnRenamed("component", "fam")
+    families = families.join(classes.select("node", "rep", "n"), "node").withColumnRenamed("component", "fam")
     families = saved(families, "families")
     cuts = families.groupBy("fam").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     # A family of one block is the rule: only the others are looked up.
     cuts = cuts.where("blocks > 1")
-    members = families.join(cuts, "fam", "left").select(F.col("least").alias("rep"), "node", "fam", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+    members = families.join(cuts, "fam", "left").select(F.col("rep.doc_id").alias("rep_id"), F.col("rep.h").alias("rep_h"), "node", "fam", F.coalesce("blocks", F.lit(1)).alias("blocks"))
     members = saved(members, "members")
-    grams = source.join(small_side(members, members.count()), source["doc_id"] == F.col("rep")).select("text", "node", "fam", "blocks")
+    grams = source.join(small_side(members, members.count()), (source["h"] == F.col("rep_h")) & source["doc_id"].eqNullSafe(F.col("rep_id"))).select("text", "node", "fam", "blocks")
     grams = grams.mapInArrow(_rows(n), "node long, fam long, blocks int, grams binary")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
@@ -360,20 +370,33 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     joined = components(links)
     named = classes.select("node", "least").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(lowest, "component").select("node", "component_id")
-    out = rows.join(named, "node", "left")
+    named = named.join(lowest, "component").select("node", "component", "component_id")
+    return rows.join(named, "node", "left")
+
+
+def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id, n_shingles, component_id and class_id of every row of ``docs`` (see the module's text)."""
+    out = _components(docs, n, percent)
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("node").alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component: the first of the least doc_id. Rows without doc_id, or without n-grams, stay."""
-    found = jaccard_components(docs, n, percent)
-    found = saved(found, "found")
-    gone = saved(found.where("n_shingles > 0 and doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    kept = docs.join(small_side(gone, gone.count()), docs["doc_id"] == F.col("_gone"), "left_anti")
-    many = saved(found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
+    """``docs`` with one row of each component; rows without n-grams all stay.
+
+    The least doc_id stays, then the least hash of the text; rows without doc_id come last. Rows are told apart by doc_id and
+    text, so another text under a repeated doc_id is judged by itself. Of rows equal in both any one stays.
+    """
+    found = saved(_components(docs, n, percent).where("n > 0").select("doc_id", "h", "component"), "found")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")
+    first = found.groupBy("component").agg(F.min(order).alias("first"))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h"))
+    gone = saved(found.join(first, "component").where(~same).select(F.col("doc_id").alias("_gone_id"), F.col("h").alias("_gone_h")).distinct(), "gone")
+    many = saved(found.groupBy("doc_id", "h").count().where("count > 1").select(F.col("doc_id").alias("_gone_id"), F.col("h").alias("_gone_h")), "repeated")
+    own_id, own_hash = docs["doc_id"].cast("long"), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    row = own_id.eqNullSafe(F.col("_gone_id")) & (own_hash == F.col("_gone_h"))
+    kept = docs.join(small_side(gone, gone.count()), row, "left_anti")
     if not many.limit(1).count():
         return kept
     many = small_side(many, many.count())
-    once = kept.join(many, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(many, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    once = kept.join(many, row, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(many, row, "left_anti").unionByName(once)
