@@ -214,7 +214,7 @@ def _segment(shard, first, ids, docs, lengths):
 
 
 def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 1) -> None:
-    """Encodes whole texts, appends ``end_id`` to each and writes the files, in ascending doc_id order, below ``path``."""
+    """Encodes whole texts, appends ``end_id`` to each and writes the files, in ascending doc_id order (then by a hash of the text), below ``path``."""
     tokenizer = tokenizer or default_tokenizer()
 
     def encode(batches):
@@ -235,7 +235,9 @@ def write_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         if total:
             yield _segment(shard, first, np.concatenate(held), names, np.concatenate(sizes))
 
-    ordered = texts(docs).repartitionByRange(spread(docs), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = texts(docs).withColumns({"hash": F.xxhash64("text"), "part": F.spark_partition_id()})
+    # Rows of one id, and equal rows too, are dealt to as many tasks as they need.
+    ordered = ordered.repartitionByRange(spread(docs), "doc_id", "hash", "part").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
     ordered.mapInArrow(encode, SEGMENTS).write.option("compression", "zstd").parquet(path)
 
 
