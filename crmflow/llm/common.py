@@ -25,9 +25,11 @@ def workers_see_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where that is unset (tests), a folder of this machine is set."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset a local session sets one of its own, a cluster raises."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them see")
         conf = Path(tempfile.mkdtemp(prefix="llm-")).as_uri()
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf

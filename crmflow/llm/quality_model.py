@@ -7,7 +7,8 @@ as the method's authors advise. Margins become probabilities by a sigmoid fitted
 
 The model is fitted on the driver on at most ``features.SAMPLE_ROWS`` labelled rows (a bound, whatever the input); every
 text is scored whole. Nulls and empty texts have no indicators: their score is that of the offset. Rows without doc_id are
-scored too. Repeated rows are scored each. No labels, or one class only: a constant score.
+scored too. Repeated rows are scored each. No labels, or one class only: a constant score. No documents: no rows. Other columns are
+ignored. Ties of the score with the threshold are predicted 1.
 """
 import numpy as np
 import pyarrow as pa
@@ -94,6 +95,6 @@ def fifth(doc_id):
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted: learns from ids whose crc32 isn't divisible by 5."""
+    """doc_id, held_out, score, predicted: learns from ids whose crc32 isn't divisible by 5. Without an id: not held out, nor learnt from."""
     out = scored(docs, labels, lambda x: fifth(x) != 0)
-    return out.select("doc_id", (fifth(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(fifth(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
