@@ -8,7 +8,7 @@ every item whole. Document frequencies are counted over all documents; frequent
 A window is four strides of a text with one more on either side. Every window of every document is mapped to the latent space
 and checked on its words by the longest common subsequence (LCS) of item and window. An item is found
 if the LCS covers ``WHOLE`` of it, or ``PART`` of it with its answer: its last words, ``ANSWER`` of them in order. Two bounds that follow
-from this rule save most checks and lose no window: the latent product with an item is at least the
+from this rule save most checks and lose no window: the latent product with an item (the sum of its words' products) is at least the
 weight of the lightest words with which the rule can hold (``least_mass``), and so many of the item's words, and of its answer's,
 occur in the window. Each item has windows of its own length class, so long and short items are treated alike. Benchmark
 tables are reference sets; they, the terms and the bases are sent to all tasks.
@@ -29,8 +29,8 @@ STEPS = 3
 #: Most items, and words of items, that share a latent space.
 BLOCK_ITEMS, BLOCK_WORDS = 256, 1 << 14
 WHOLE, PART, ANSWER, ANSWER_WORDS = 0.75, 0.5, 0.75, 8
-#: Words with a term whose latent vectors a task holds at once.
-SLICE = 1 << 14
+#: Words with a term whose latent products a task holds at once.
+SLICE = 1 << 15
 #: Words of windows that are compared with items' words at once; items of more than ``MASKED`` words skip that bound.
 GATHER, MASKED = 1 << 20, 512
 
@@ -176,12 +176,14 @@ class Block:
         self.vectors, self.norm = vectors.astype(np.float32), np.linalg.norm(vectors, axis=1)
         # Room for the rounding of single precision.
         self.least = 0.999 * np.asarray(least)
-        self.classes, self.rule = {}, np.array([needed(x)[:3] for x in items])
+        self.classes, self.rule, self.products = {}, np.array([needed(x)[:3] for x in items]), {}
         for k, item in enumerate(items):
             if len(item):
                 self.classes.setdefault(1 << int(np.ceil(np.log2(max(16, 1.5 * len(item))))), []).append(k)
         self.masks, self.answer = {}, {}
         for width, own in self.classes.items():
+            # A window's latent product with an item is the sum of its words' products, formed here once.
+            self.products[width] = self.latent @ self.vectors[own].T
             parts = -(-max(len(items[k]) for k in own) // 64)
             if parts <= MASKED // 64:
                 # For each item and term a bit for each of its places in the item.
@@ -212,8 +214,14 @@ class Block:
             out[i:i + step] = (have >= whole) | ((have >= part) & (told >= least))
         return out
 
+    def cosine(self, key, k):
+        """Cosine of a window's words and an item in the latent space."""
+        at = np.minimum(np.searchsorted(self.terms, key), len(self.terms) - 1)
+        vector = self.latent[at[self.terms[at] == key]].sum(0)
+        return float(vector @ self.vectors[k] / (np.linalg.norm(vector) * self.norm[k] + 1e-9))
+
     def candidates(self, key, first):
-        """(text, item, begin and end word, cosine) of every window that passes the bounds."""
+        """(text, place of the item in the block, begin and end word) of every window that passes the bounds."""
         at = np.minimum(np.searchsorted(self.terms, key), len(self.terms) - 1)
         hit = np.flatnonzero(self.terms[at] == key)
         if not len(hit):
@@ -237,17 +245,18 @@ class Block:
                 # Windows over at most SLICE words with a term at once, so that long texts take no more memory than short ones.
                 j = max(i + 1, min(i + SLICE // 4, int(np.searchsorted(ends, edge[low[i]] + SLICE, "right"))))
                 a, b = low[i], high[j - 1]
-                total = np.zeros((b - a + 1, self.latent.shape[1]))
-                np.cumsum(np.add.reduceat(self.latent[term[edge[a]:edge[b]]], edge[a:b] - edge[a], axis=0), axis=0, out=total[1:])
-                vector = (total[high[i:j] - a] - total[low[i:j] - a]).astype(np.float32)
-                dot = vector @ self.vectors[own].T
-                x, y = np.nonzero(dot >= self.least[own])
+                product, size = self.products[width], np.diff(edge[a:b + 1])
+                blocks = product[term[edge[a:b]]]
+                for n in range(1, int(size.max())):
+                    more = np.flatnonzero(size > n)
+                    blocks[more] += product[term[edge[a + more] + n]]
+                total = np.zeros((b - a + 1, len(own)))
+                np.cumsum(blocks, axis=0, out=total[1:])
+                x, y = np.nonzero(total[high[i:j] - a] - total[low[i:j] - a] >= self.least[own])
                 good = self.enough(width, own[y], y, term, edge[low[i + x]], edge[high[i + x]])
-                x, y = x[good], y[good]
-                norm = np.linalg.norm(vector[x], axis=1) * self.norm[own[y]] + 1e-9
-                for w, k, cosine in zip((i + x).tolist(), own[y].tolist(), (dot[x, y] / norm).tolist()):
+                for w, k in zip((i + x[good]).tolist(), own[y[good]].tolist()):
                     t, at = int(d[w]), int(begin[w])
-                    yield t, int(self.ids[k]), max(int(first[t]), at - stride), min(int(first[t + 1]), at + width + stride), cosine
+                    yield t, k, max(int(first[t]), at - stride), min(int(first[t + 1]), at + width + stride)
                 i = j
 
 
@@ -259,14 +268,15 @@ class Index:
 
     def candidates(self, key, first):
         for block in self.blocks:
-            yield from block.candidates(key, first)
+            for doc, k, begin, end in block.candidates(key, first):
+                yield doc, int(block.ids[k]), begin, end, block, k
 
     def found(self, column):
         """Yields (text, item id, cosine, lcs share, answer found) for an Arrow column of texts, the best window of each pair."""
         for i, j, grid in grids(column, keys=False):
             key, _, first = words(grid)
             best = {}
-            for doc, k, begin, end, cosine in self.candidates(key, first):
+            for doc, k, begin, end, block, place in self.candidates(key, first):
                 item = self.items[k]
                 near = key[begin:end].tolist()
                 share = common_subsequence(item, near) / len(item)
@@ -275,7 +285,7 @@ class Index:
                 answer = item[-ANSWER_WORDS:]
                 told = common_subsequence(answer, near) >= ANSWER * len(answer)
                 if (share >= WHOLE or told) and (share, told) > best.get((doc, k), (0, 0, 0))[1:]:
-                    best[doc, k] = (cosine, share, told)
+                    best[doc, k] = (block.cosine(key[begin:end], place), share, told)
             for (doc, k), (cosine, share, told) in sorted(best.items()):
                 yield i + doc, int(self.ids[k]), cosine, share, bool(told)
 
