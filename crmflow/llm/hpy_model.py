@@ -9,9 +9,9 @@ over ``SWEEPS`` more; as predictions are linear in the tables, that averages the
 customers are the tables of all contexts: before each sweep they are summed by word over all buckets, seated in the same way,
 and the parent's probabilities are sent back to the buckets. For every context the probabilities of all words sum to one.
 
-Draws follow from context, word, sweep and table alone (a hash of them), and all sums are of whole numbers: the same rows
-have the same scores in any order, number of partitions and layout. Customers who join old tables are counted in one
-draw, by the exact law of the wait for the next new table, so a dish costs its tables, not its customers.
+Draws follow from context, word, sweep and customer alone (a hash of them), and all sums are of whole numbers: the same rows
+have the same scores in any order, number of partitions and layout. Where new tables are rare, customers who join old ones
+are counted in one draw, by the exact law of the wait for the next new table.
 
 How it is spread: texts are cut into chunks of about ``CHUNK_TOKENS`` tokens, kept as word numbers with the chunk's word table. A
 chunk sends its distinct word pairs with their training counts, as packed arrays, to the bucket of the context (contexts that a
@@ -37,6 +37,8 @@ from crmflow.llm.textgrid import grids, mix
 DISCOUNT, STRENGTH, PARENT_DISCOUNT, PARENT_STRENGTH = 0.75, 1.0, 0.75, 1.0
 BURN, SWEEPS = 2, 4
 CHUNK_TOKENS = 2_500_000
+#: Customers of a dish who sit down one at a time; customers a table from which on waits are drawn; customers seated at once.
+FEW, RARE, SEATED = 32, 32, 1 << 19
 SAMPLE_DOCS, HOT_SHARE = 2000, 0.002
 #: Marks of rows that aren't from chunks, and the first seed after those of the sweeps.
 OFFER, PAST, LAST = -1, -2, 1000
@@ -179,24 +181,52 @@ def uniform(key, counter):
     return ((mix(key + (counter.astype(np.uint64) + np.uint64(1)) * GOLDEN) >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
-def seat(customers, others, strength, discount, parent, key):
-    """Tables of dishes whose customers sit down one by one, each with the draws of its ``key``.
+def _threshold(u, k, first, more, discount):
+    """The least number of tables above which a customer with draw ``u`` opens one: u < w / (w + k - discount * t) with
+    w = first + more * t, solved for t."""
+    return (u * k - (1 - u) * first) / ((1 - u) * more + u * discount)
 
-    With k customers at t tables the next one opens a table with weight w = (strength + discount * (others + t)) * parent
-    against k - discount * t for the old ones; ``others`` counts the restaurant's tables of other dishes. That m customers in
-    a row open none has the probability gamma(a + m) gamma(a + w) / (gamma(a) gamma(a + m + w)), a = k - discount * t:
-    one uniform number gives the wait for each new table.
+
+def _each(tables, start, end, first, more, discount, key):
+    """Tables after the customers ``start`` to ``end`` of each dish have sat down, every customer with a draw of its own.
+
+    The tables met by a customer are those of the dish before plus the ones opened by earlier customers. From any guess of them
+    follows who opens a table, and from that the next guess; the first customers are right at once, and what no longer
+    changes is the walk one by one.
     """
-    tables = np.minimum(customers, 1).astype(np.float64)
-    live = np.flatnonzero(customers > 1)
-    seated, others = np.ones(len(live)), np.broadcast_to(others, len(customers))
-    parent = np.broadcast_to(parent, len(customers))
+    size = (end - start).astype(np.int64)
+    edge = np.cumsum(size)
+    low = edge - size
+    place = np.arange(int(edge[-1])) - np.repeat(low, size)
+    dish = np.repeat(np.arange(len(size)), size)
+    k = start[dish] + place
+    limit = _threshold(uniform(key[dish], k), k, first[dish], more[dish], discount)
+    w = first + more * tables
+    met = tables[dish] + np.floor((w / (w + start - discount * tables))[dish] * place)
+    opens = met > limit
+    total = np.zeros(len(opens) + 1)
+    while True:
+        np.cumsum(opens, out=total[1:])
+        met = (tables - total[low])[dish] + total[:-1]
+        now = met > limit
+        if np.array_equal(now, opens):
+            return tables + total[edge] - total[low]
+        opens = now
+
+
+def _waits(tables, start, end, first, more, discount, key):
+    """As ``_each`` for dishes that seldom open a table: one draw gives the wait for the next.
+
+    That m customers in a row open none has the probability gamma(a + m) gamma(a + w) / (gamma(a) gamma(a + m + w)) with
+    a = k - discount * t.
+    """
+    tables, seated, live = tables.copy(), start.astype(np.float64), np.arange(len(tables))
     while len(live):
-        t, left = tables[live], customers[live] - seated
-        w, a = (strength + discount * (others[live] + t)) * parent[live], seated - discount * t
-        level = rise(a, w) - np.log(uniform(key[live], t))
+        t, left = tables[live], end[live] - seated[live]
+        w, a = first[live] + more[live] * t, seated[live] - discount * t
+        level = rise(a, w) - np.log(uniform(key[live], seated[live]))
         opens = np.flatnonzero(rise(a + left, w) >= level)
-        live, seated, left, w, a, level = live[opens], seated[opens], left[opens], w[opens], a[opens], level[opens]
+        live, left, w, a, level = live[opens], left[opens], w[opens], a[opens], level[opens]
         # The wait lies from low (possible) to below high (not); near a * (u ** (-1 / w) - 1) in most cases.
         low, high = np.zeros(len(live)), left.copy()
         with np.errstate(over="ignore"):
@@ -211,10 +241,59 @@ def seat(customers, others, strength, discount, parent, key):
             shorter = rise(a[some] + probe, w[some]) >= level[some]
             high[some[shorter]], low[some[~shorter]] = probe[shorter], probe[~shorter]
             some = some[high[some] - low[some] > 1]
-        seated = seated + low + 1
+        seated[live] += low + 1
         tables[live] += 1
-        more = customers[live] > seated
-        live, seated = live[more], seated[more]
+        live = live[end[live] > seated[live]]
+    return tables
+
+
+def seat(customers, others, strength, discount, parent, key):
+    """Tables of dishes whose customers sit down one by one, each with the draws of its ``key``; 0 < discount < 1.
+
+    With k customers at t tables the next one opens a table with weight w = (strength + discount * (others + t)) * parent
+    against k - discount * t for the old ones; ``others`` counts the restaurant's tables of other dishes. The first
+    ``FEW`` customers sit down one at a time in all dishes at once, then as many as sit already, by a draw for each customer.
+    Large dishes in which a new table is rarer than one in ``RARE`` customers go on by a draw for each wait. All have the law of one by one.
+    """
+    shape = len(customers)
+    tables = np.minimum(customers, 1).astype(np.float64)
+    live = np.flatnonzero(customers > 1)
+    live = live[np.argsort(-customers[live], kind="stable")]
+    parent, others = np.broadcast_to(parent, shape)[live], np.broadcast_to(others, shape)[live]
+    first, more, key, end = (strength + discount * others) * parent, np.asarray(discount * parent), key[live], customers[live].astype(np.float64)
+    t = np.ones(len(live))
+
+    def rare(own, start):
+        """Seats the dishes that seldom open a table to their ends; the others, in order."""
+        w = first[own] + more[own] * t[own]
+        seldom = w * RARE < w + start - discount * t[own]
+        some = own[seldom]
+        t[some] = _waits(t[some], np.full(len(some), start), end[some], first[some], more[some], discount, key[some])
+        return own[~seldom]
+
+    # Dishes lie by their customers, the ones still open in front.
+    large = int(np.searchsorted(-end, -FEW, "left"))
+    own = np.concatenate([rare(np.arange(large), 1), np.arange(large, len(end))])
+    few = [x[own] for x in (t, first, more, key, end)]
+    n = len(own)
+    for k in range(1, FEW):
+        n = int(np.searchsorted(-few[4][:n], -k, "left"))
+        few[0][:n] += few[0][:n] > _threshold(uniform(few[3][:n], np.full(n, k)), k, few[1][:n], few[2][:n], discount)
+    t[own] = few[0]
+    start = FEW
+    while len(own := own[end[own] > start]):
+        own = rare(own, start)
+        # No more than SEATED customers at once, however many a dish has.
+        for i in range(start, 2 * start, SEATED):
+            some = own[end[own] > i]
+            stop = np.minimum(end[some], min(2 * start, i + SEATED))
+            total = np.cumsum(stop - i)
+            cut = np.unique(np.searchsorted(total, np.arange(SEATED, total[-1], SEATED))) if len(some) else []
+            for o, last in zip(np.split(some, cut), np.split(stop, cut)):
+                if len(o):
+                    t[o] = _each(t[o], np.full(len(o), float(i)), last, first[o], more[o], discount, key[o])
+        start *= 2
+    tables[live] = t
     return tables
 
 

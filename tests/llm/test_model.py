@@ -121,3 +121,35 @@ def test_counts_against_plain_python(spark, sf_dir, source):
     want = sorted(plain([(r["doc_id"], r["text"]) for r in docs.collect()]), key=key)
     assert [r[:5] for r in got] == [r[:5] for r in want]
     assert np.allclose([r[5] for r in got], [r[5] for r in want], rtol=1e-9)
+
+
+def exact_law(customers, others, parent, strength=1.0, discount=0.75):
+    """Probability of each number of tables after so many customers, step by step."""
+    law, t = np.zeros(customers + 2), np.arange(customers + 2)
+    law[1] = 1
+    for k in range(1, customers):
+        w = (strength + discount * (others + t)) * parent
+        moved = np.where(t <= k, w / (w + np.maximum(k - discount * t, 0.1)), 0) * law
+        law -= moved
+        law[1:] += moved[:-1]
+    return law
+
+
+@pytest.mark.parametrize("customers, others, parent", [(31, 3, 0.3), (32, 3, 0.3), (33, 3, 0.3), (70, 100, 0.01), (200, 50, 0.02), (600, 400, 0.3), (1500, 20, 1e-3), (1500, 2000, 0.01)])
+def test_seats_have_the_exact_law(customers, others, parent):
+    n = 60_000
+    law = exact_law(customers, others, parent)
+    got = seat(np.full(n, customers), np.full(n, others), 1.0, 0.75, np.full(n, parent), hpy_model.mix(np.arange(1, n + 1, dtype=np.uint64)))
+    share = np.bincount(got.astype(int), minlength=len(law)) / n
+    # Kolmogorov's distance: below 1.95 / sqrt(n) in 999 of 1000 samples of the law.
+    assert np.abs(np.cumsum(share) - np.cumsum(law)).max() < 1.95 / math.sqrt(n)
+
+
+def test_seats_do_not_depend_on_their_company(monkeypatch):
+    draw = np.random.default_rng(8)
+    customers, others, parent = draw.integers(0, 3000, 300), draw.integers(0, 500, 300), draw.random(300) ** 4
+    key = hpy_model.mix(np.arange(300, dtype=np.uint64))
+    together = seat(customers, others, 1.0, 0.75, parent, key)
+    alone = [seat(customers[i:i + 1], others[i:i + 1], 1.0, 0.75, parent[i:i + 1], key[i:i + 1])[0] for i in range(300)]
+    monkeypatch.setattr(hpy_model, "SEATED", 100)
+    assert together.tolist() == alone == seat(customers, others, 1.0, 0.75, parent, key).tolist()
