@@ -45,6 +45,14 @@ def text_member(value: Column, name: str) -> Column:
     return F.try_variant_get(value, f"$.{name}", "string")
 
 
+def chosen(value: Column, types: dict[str, str]) -> Column:
+    """Members of a JSON object as a struct, in one walk over it; each as ``member`` or ``text_member`` gives it.
+
+    Every single lookup scans the object, so this is for several members. All are null for other values.
+    """
+    return F.try_variant_get(value, "$", f"struct<{', '.join(f'{n}: {t}' for n, t in types.items())}>")
+
+
 def members(value: Column) -> Column:
     """All members of a JSON object as map<string,variant>; null for other values."""
     return value.try_cast(T.MapType(T.StringType(), T.VariantType()))

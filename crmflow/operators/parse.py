@@ -13,10 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crmflow.functions.rules import has_required_keys, quality_score
-from crmflow.functions.values import iso_text, iso_timestamp, member, once, present, text_member
+from crmflow.functions.values import chosen, iso_text, iso_timestamp, member, once, present, text_member
 from crmflow.registry import OBJECTS, SOURCE_CDC, SPARK_TYPES
 
 
+# Members of a change event and how they are read.
+ENVELOPE = {
+    **dict.fromkeys(("event_id", "event_type", "object_type", "record_id", "event_timestamp", "source"), "string"),
+    **dict.fromkeys(("changed_fields", "before", "after"), "variant"),
+}
+
+
 def parse_messages(messages: DataFrame, ingestion_time: Column | None = None) -> DataFrame:
     """Add ``text``, ``event`` (VARIANT, null on failure), ``parse_error``, ``ingestion_time``."""
     read = once(messages, {"text": F.try_validate_utf8(F.col("value").cast("string"))})
@@ -51,24 +58,26 @@ def envelope(parsed: DataFrame) -> DataFrame:
     ``event_timestamp_text`` keeps the text for validation, ``event_timestamp`` is the instant.
     """
     event = F.col("event")
-    ts = text_member(event, "event_timestamp")
-    return once(parsed.where(event.isNotNull()), {
-        "event_id": text_member(event, "event_id"),
-        "event_type": text_member(event, "event_type"),
-        "object_type": text_member(event, "object_type"),
-        "record_id": text_member(event, "record_id"),
-        "event_timestamp_text": ts,
-        "event_timestamp": iso_timestamp(ts),
-        "changed_fields": member(event, "changed_fields"),
-        "before": _side(event, "before"),
-        "after": _side(event, "after"),
-        "source": F.coalesce(text_member(event, "source"), F.lit(SOURCE_CDC)),
-    })
-
-
-def _side(event: Column, name: str) -> Column:
-    value = member(event, name)
-    return F.when(present(value), value)
+    read = once(parsed.where(event.isNotNull()), {"__event": chosen(event, ENVELOPE)})
+
+    def part(name: str) -> Column:
+        return F.col("__event")[name]
+
+    def side(name: str) -> Column:
+        return F.when(present(part(name)), part(name))
+
+    return once(read, {
+        "event_id": part("event_id"),
+        "event_type": part("event_type"),
+        "object_type": part("object_type"),
+        "record_id": part("record_id"),
+        "event_timestamp_text": part("event_timestamp"),
+        "event_timestamp": iso_timestamp(part("event_timestamp")),
+        "changed_fields": part("changed_fields"),
+        "before": side("before"),
+        "after": side("after"),
+        "source": F.coalesce(part("source"), F.lit(SOURCE_CDC)),
+    }).drop("__event")
 
 
 def changed_field_list(changed: Column) -> Column:

@@ -122,13 +122,18 @@ def read_new_files(spark: SparkSession, path: str, schema: T.StructType | str, f
     return reader.load(path).where(_wanted(spark, path, F.col("_metadata.file_path"), include, exclude))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the input has too few splits for CPU-heavy work.
+# Most rows of a task that parses and checks messages: some seconds of work, whatever the input.
+TASK_ROWS = 100_000
 
-    A large input has more splits than cores and stays as it is, without a shuffle.
+
+def spread(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Rows over all cores, and over tasks of about ``task_rows`` rows, where the input has fewer splits than that.
+
+    For CPU-heavy work: a compact file has few splits by its bytes, and a split without a row group of its own is
+    empty, so the longest task would grow with the table. The count reads the footers of a plain table only.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // task_rows))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def read_messages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:

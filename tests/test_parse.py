@@ -149,3 +149,23 @@ def test_sizing():
 
     assert sizing(1)["spark.sql.shuffle.partitions"] == "200"
     assert sizing(10 << 40)["spark.sql.shuffle.partitions"] == "81920"
+
+
+def test_long_inputs_are_spread_by_rows(spark):
+    from crmflow.sources.readers import spread
+
+    few = spread(spark.range(1000, numPartitions=2), 100).rdd
+    assert few.getNumPartitions() == 10 and max(few.glom().map(len).collect()) <= 110
+    assert spread(spark.range(10, numPartitions=1), 100).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(spark.range(10, numPartitions=20), 100).rdd.getNumPartitions() == 20
+
+
+def test_members_in_one_walk_equal_single_lookups(spark):
+    from crmflow.functions.values import chosen, member, text_member
+
+    texts = ['{"a": 1, "b": null}', '{"a": "x", "b": {"c": [1, null]}, "d": 2}', '{"a": {"b": 1}}', '{}', '[1]', '"a"', 'null', None]
+    rows = spark.createDataFrame([(x,) for x in texts], "x string").select(F.try_parse_json("x").alias("v"))
+    both = rows.select(chosen(F.col("v"), {"a": "string", "b": "variant"}).alias("s"), "v").select(
+        F.col("s")["a"].eqNullSafe(text_member(F.col("v"), "a")), F.to_json(F.col("s")["b"]).eqNullSafe(F.to_json(member(F.col("v"), "b"))),
+        F.col("s")["b"].isNull() == member(F.col("v"), "b").isNull())
+    assert [tuple(r) for r in both.collect()] == [(True, True, True)] * len(texts)
