@@ -2,21 +2,12 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from crmflow.llm import common, decontaminate, mixing, ngram_join, token_files, toxicity
-
-#: Rows of an Arrow batch: whole texts, some MB of them. Buffers of JVM and workers stay small over all stages.
-BATCH_ROWS = 1000
+from crmflow.llm.common import bounded
 
 #: The mix repeats documents and drops none: rates from 1 on, towards a quarter more tokens.
 LEAST_RATE, GROWTH = 1.0, 1.25
 
 
-def bounded(spark: SparkSession) -> None:
-    """Batches between JVM and Python workers hold at most ``BATCH_ROWS`` rows, or fewer where the session says so."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

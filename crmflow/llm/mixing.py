@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crmflow.llm.common import saved, texts, workers_see_package
+from crmflow.llm.common import bounded, saved, texts, workers_see_package
 from crmflow.llm.features import indicators, sample
 from crmflow.llm.textgrid import grids, mix
 
@@ -159,6 +159,7 @@ def descend(members: DataFrame, names, targets, floor, growth):
 
 def solved(docs: DataFrame, labelled: DataFrame, targets=None, floor=0.0, growth=1.0):
     """Broadcast (membership, steps, unmet), and the saved table doc_id, n_tokens, posterior; None where nothing can be learnt."""
+    bounded(docs.sparkSession)
     source = texts(docs)
     membership = Membership(docs, labelled)
     if membership.model is None:
@@ -168,7 +169,8 @@ def solved(docs: DataFrame, labelled: DataFrame, targets=None, floor=0.0, growth
     def score(batches):
         for batch in batches:
             n, p = shared.value.of(batch.column(1))
-            yield pa.record_batch([batch.column(0), pa.array(n), pa.array(list(p), pa.list_(pa.float64()))], names=["doc_id", "n_tokens", "posterior"])
+            ends = pa.array(np.arange(len(n) + 1) * p.shape[1], pa.int32())
+            yield pa.record_batch([batch.column(0), pa.array(n), pa.ListArray.from_arrays(ends, pa.array(p.ravel()))], names=["doc_id", "n_tokens", "posterior"])
 
     members = saved(source.mapInArrow(score, "doc_id long, n_tokens long, posterior array<double>"), "members")
     steps, unmet = descend(members, membership.names, targets or TARGETS, floor, growth)

@@ -42,6 +42,18 @@ def test_no_labels(spark):
     assert all(r["n_boilerplate"] == 0 for r in line_labels.judged(docs, none).collect())
 
 
+def test_mixing_takes_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 10_000)
+        docs = cases.documents(spark)
+        mixing.rated(docs, mixing.labelled_domains(docs, cases.labels(spark)))
+        assert int(spark.conf.get(name)) <= 1000
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_benchmark(spark):
     for docs in (cases.documents(spark), cases.documents(spark, True)):
         got = decontaminate.contaminated(docs, cases.benchmark(spark)).collect()
