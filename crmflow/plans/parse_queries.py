@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -291,13 +291,16 @@ FROM cdc WHERE NOT broken AND obj <> 'Lead' AND kind IN ('INSERT', 'UPDATE', 'DE
   AND NOT (kind = 'DELETE' AND k = 61) AND NOT (kind <> 'DELETE' AND k = 59)""")
 def cdc_extract_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rows of all four objects, with the fields whose value does not fit."""
-    found, labels = _events(spark, sf_dir), {
+    labels = {
         "Account": ["name"], "Contact": ["first_name", "last_name"], "Opportunity": ["name", "stage_name"], "Case": ["subject", "status"]}
-    parts = []
-    for name, columns in labels.items():
-        rows = parse.extract_record(found, name, as_of(), flag_casts=True)
-        account = F.col("account_id") if name != "Account" else F.lit(None).cast("string")
-        parts.append(rows.select(
-            "object_type", "id", F.col("_cdc_event_id").alias("event_id"), F.concat_ws(" ", *columns).alias("label"),
-            account.alias("account_id"), "created_date", "last_modified_date", F.array_join("cast_errors", ",").alias("unfit")))
-    return result(reduce(DataFrame.unionByName, parts))
+
+    def columns(name: str) -> dict[str, Callable[[Column], Column]]:
+        return {
+            "object_type": lambda r: r["object_type"], "id": lambda r: r["id"], "event_id": lambda r: r["_cdc_event_id"],
+            "label": lambda r: F.concat_ws(" ", *[r[c] for c in labels[name]]),
+            "account_id": lambda r: r["account_id"] if name != "Account" else F.lit(None).cast("string"),
+            "created_date": lambda r: r["created_date"], "last_modified_date": lambda r: r["last_modified_date"],
+            "unfit": lambda r: F.array_join(r["cast_errors"], ","),
+        }
+
+    return result(parse.extract_records(_events(spark, sf_dir), {name: columns(name) for name in labels}, as_of()))

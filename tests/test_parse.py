@@ -169,3 +169,21 @@ def test_members_in_one_walk_equal_single_lookups(spark):
         F.col("s")["a"].eqNullSafe(text_member(F.col("v"), "a")), F.to_json(F.col("s")["b"]).eqNullSafe(F.to_json(member(F.col("v"), "b"))),
         F.col("s")["b"].isNull() == member(F.col("v"), "b").isNull())
     assert [tuple(r) for r in both.collect()] == [(True, True, True)] * len(texts)
+
+
+def test_all_objects_in_one_pass_equal_single_extracts(spark):
+    events = [dict(EVENT, object_type=o, event_type=k, after=a) for o in ("Account", "Contact", "Case", "Lead") for k in ("INSERT", "UPDATE", "DELETE", "MERGE")
+              for a in (EVENT["after"], {"id": 7, "created_date": "no", "account_id": "A"}, None)]
+    found = parse.envelope(parsed(spark, *events))
+    wanted = {o: {"object_type": lambda r: r["object_type"], "id": lambda r: r["id"], "unfit": lambda r: r["cast_errors"],
+                  "account": (lambda r: F.lit(None).cast("string")) if o == "Account" else (lambda r: r["account_id"])}
+              for o in ("Account", "Contact", "Case")}
+    singles = [tuple(r) for o in wanted for r in parse.extract_record(found, o, at(), flag_casts=True).select(
+        "object_type", "id", F.col("cast_errors").alias("unfit"), F.lit(None).alias("account") if o == "Account" else "account_id").collect()]
+    assert singles and sorted(map(str, singles)) == sorted(str(tuple(r)) for r in parse.extract_records(found, wanted, at()).collect())
+
+
+def test_all_objects_read_the_events_once(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    assert entry.queries()["cdc_extract_objects"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
