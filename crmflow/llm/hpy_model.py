@@ -576,12 +576,17 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
         if k:
             dropped(past)
             dropped(seats)
+        else:
+            # Of the first table only the links are read again.
+            links = saved(links, "links")
+            dropped(begun)
         seats = swept
     offers = "v int, chunk long, words binary, sums binary"
     sums = seats.mapInArrow(offer("total"), "v int, bucket int, words binary, sums binary").select("v", F.lit(OFFER).cast("long").alias("chunk"), "words", "sums")
     sums = sums.unionByName(told.where("bucket < 0").select("v", F.lit(PAST).cast("long").alias("chunk"), "words", "sums"))
     words = state.mapInArrow(ask_words, offers).unionByName(sums).repartition(buckets, "v").sortWithinPartitions("v", "chunk")
     words = saved(words.mapInArrow(count_words(tables, known), answer + ", known long, customers long, tables double"), "words")
+    dropped(told)
     known, customers, tables = (x or 0 for x in words.agg(F.sum("known"), F.sum("customers"), F.sum("tables")).first())
     pairs = seats.unionByName(links, allowMissingColumns=True).repartition(buckets, "bucket").sortWithinPartitions("bucket", F.col("chunk").asc_nulls_first()).mapInArrow(sample, answer)
 

@@ -42,6 +42,21 @@ def test_no_labels(spark):
     assert all(r["n_boilerplate"] == 0 for r in line_labels.judged(docs, none).collect())
 
 
+def test_model_keeps_no_finished_tables(spark):
+    from collections import Counter
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from crmflow.llm.common import shared_folder
+
+    folder = Path(urlparse(shared_folder(spark)).path)
+    before = set(folder.iterdir()) if folder.exists() else set()
+    got = hpy_model.seventh_scores(cases.documents(spark))
+    left = Counter(x.name.split("-")[0] for x in set(folder.iterdir()) - before)
+    assert left["seats"] == 1 and not left["parent"]
+    assert got.count() == len(cases.rows())
+
+
 def test_mixing_takes_small_batches(spark):
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
