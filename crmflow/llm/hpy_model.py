@@ -565,6 +565,8 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
             sums = sums.unionByName(told.where("bucket < 0").select("v", "bucket", "words", "sums"))
         sums = sums.repartition(buckets, "v").sortWithinPartitions("v", "bucket")
         past, told = told, saved(sums.mapInArrow(parent(tables, known, 2 * k), "bucket int, v int, words binary, sums binary, known long, customers long, all_tables double"), "parent")
+        if k:
+            dropped(past)
         known, customers, tables = (x or 0 for x in told.agg(F.sum("known"), F.sum("customers"), F.sum("all_tables")).first())
         whole = np.zeros(len(hot.value[0]))
         # At most 1 / HOT_SHARE frequent contexts.
@@ -574,7 +576,6 @@ def scored(docs: DataFrame, train: str) -> DataFrame:
         both = both.repartition(buckets, "bucket").sortWithinPartitions("bucket", "v")
         swept = saved(both.mapInArrow(sweep(whole, known, customers, tables, 2 * k + 1, k >= BURN), SEATS), "seats")
         if k:
-            dropped(past)
             dropped(seats)
         else:
             # Of the first table only the links are read again.
