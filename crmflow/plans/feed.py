@@ -100,18 +100,19 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     absent, 59/61 missing side, 67 bad reference, 71 broken JSON, 73 broken UTF-8.
     """
     ts_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    stamp = F.when(k() == 47, "12345").when(k() == 53, None).otherwise(F.concat(F.lit('"'), ts_text, F.lit('"')))
+    stamp = F.when(k() == 47, F.lit(12345).cast("variant")).when(k() == 53, None).otherwise(ts_text.cast("variant"))
     common = [
         record_id().alias("id"), F.concat(F.lit("Name "), F.col("user_id")).alias("name"),
         F.lit("First").alias("first_name"), F.lit("Last").alias("last_name"),
         F.lit("Open").alias("stage_name"), F.lit("Help").alias("subject"), F.lit("New").alias("status"),
         F.when(k() == 67, "short").otherwise(record_id()).alias("account_id"), ts_text.alias("created_date"),
     ]
-    after = F.struct(*common, F.try_parse_json(stamp).alias("last_modified_date"),
+    after = F.struct(*common, stamp.alias("last_modified_date"),
                      F.col("value").cast("decimal(18,2)").alias("annual_revenue"))
     before = F.struct(*common, ts_text.alias("last_modified_date"), F.lit(0).alias("annual_revenue"))
     kind = cdc_kind()
-    changed = F.when(k() == 41, "[]").when(k() == 43, '"annual_revenue"').otherwise('["annual_revenue"]')
+    listed = {text: F.parse_json(F.lit(text)) for text in ("[]", '"annual_revenue"', '["annual_revenue"]')}
+    changed = F.when(k() == 41, listed["[]"]).when(k() == 43, listed['"annual_revenue"']).otherwise(listed['["annual_revenue"]'])
     body = F.struct(
         F.concat(F.lit("EVT-"), F.col("event_id")).alias("event_id"),
         kind.alias("event_type"), cdc_object().alias("object_type"),
@@ -119,11 +120,13 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(record_id()).alias("record_id"),
         F.when(k() == 29, "not-a-timestamp").when(k() == 31, "2099-12-31T23:59:59Z")
         .when(k() == 37, "2020-01-01T00:00:00Z").otherwise(ts_text).alias("event_timestamp"),
-        F.when(kind == "UPDATE", F.try_parse_json(changed)).alias("changed_fields"),
+        F.when(kind == "UPDATE", changed).alias("changed_fields"),
         F.when((kind != "INSERT") & (k() != 61), before).alias("before"),
         F.when((kind != "DELETE") & (k() != 59), after).alias("after"),
     )
-    text = F.to_json(body)
+    # One column for the text: a copy of it in each case below is more code than the JVM compiles.
+    rows = once(numbered_events(spark, sf_dir), {"text": F.to_json(body)})
+    text = F.col("text")
     value = (
         F.when(k() == 71, F.concat(F.lit("{"), text).cast("binary"))
         .when(k() == 73, F.concat(text.cast("binary"), F.unhex(F.lit("FF"))))
@@ -132,10 +135,9 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     attributes = F.when(k() < 20, F.create_map().cast("map<string,string>")).otherwise(
         F.create_map(F.lit("event_type"), kind, F.lit("object_type"), cdc_object())
     )
-    return once(numbered_events(spark, sf_dir), {
-        "value": value, "attributes": attributes, "message_id": F.concat(F.lit("MSG-"), F.col("event_id")),
-        "publish_time": F.col("ts"),
-    }).select("value", "attributes", "message_id", "publish_time")
+    return rows.select(
+        value.alias("value"), attributes.alias("attributes"), F.concat(F.lit("MSG-"), F.col("event_id")).alias("message_id"),
+        F.col("ts").alias("publish_time"))
 
 
 def generic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

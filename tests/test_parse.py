@@ -1,6 +1,8 @@
 """Parsing, extraction, messages and typing."""
 
+import importlib
 import json
+import re
 from datetime import UTC, datetime
 
 import pytest
@@ -187,3 +189,33 @@ def test_all_objects_read_the_events_once(spark, sf_dir):
     import __spark_entry__ as entry
 
     assert entry.queries()["cdc_extract_objects"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+# Bytes of a method above which the JVM does not compile it, so that it runs interpreted for every row.
+HUGE_METHOD = 8000
+
+
+@pytest.mark.parametrize("name", ["error_types"])
+def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, capsys, name):
+    df = importlib.import_module("__spark_entry__").queries()[name](spark, sf_dir)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < HUGE_METHOD
+
+
+def test_dirty_messages_keep_their_texts(spark, sf_dir):
+    from crmflow.plans.feed import cdc_messages
+
+    text = {r.message_id: bytes(r.value) for r in cdc_messages(spark, sf_dir).collect()}
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    of = {(r.k, r.event_type): text[f"MSG-{r.event_id}"] for r in rows.collect()}
+    assert all(v.startswith(b"{{") for (k, _), v in of.items() if k == 71) and all(v.endswith(b"}\xff") for (k, _), v in of.items() if k == 73)
+    updates = {k: v for (k, kind), v in of.items() if kind not in ("signup", "error") and k != 13}
+    assert b'"changed_fields":[],' in updates[41] and b'"changed_fields":"annual_revenue",' in updates[43]
+    assert b'"changed_fields":["annual_revenue"],' in updates[1]
+    after = {k: v[v.index(b'"after"'):] for k, v in updates.items() if k in (1, 47, 53)}
+    assert b'"last_modified_date":12345' in after[47] and b"last_modified_date" not in after[53] and b'"last_modified_date":"2024' in after[1]
