@@ -195,7 +195,7 @@ def test_all_objects_read_the_events_once(spark, sf_dir):
 HUGE_METHOD = 8000
 
 
-@pytest.mark.parametrize("name", ["error_types", "threshold_gate", "route_counts", "validate_cdc"])
+@pytest.mark.parametrize("name", ["error_types", "threshold_gate", "route_counts", "validate_cdc", "validation_stats"])
 def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, capsys, name):
     df = importlib.import_module("__spark_entry__").queries()[name](spark, sf_dir)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
