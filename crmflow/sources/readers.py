@@ -127,13 +127,17 @@ TASK_ROWS = 100_000
 
 
 def spread(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
-    """Rows over all cores, and over tasks of about ``task_rows`` rows, where the input has fewer splits than that.
+    """Rows over all cores, and over tasks of about ``task_rows`` rows, unless the input's splits are that small and even.
 
-    For CPU-heavy work: a compact file has few splits by its bytes, and a split without a row group of its own is
-    empty, so the longest task would grow with the table. The count reads the footers of a plain table only.
+    For CPU-heavy work: a compact file has few splits by its bytes, and a row group lies whole in one split while others
+    stay empty, so the longest task would grow with the table. Rows are counted by split; of a plain table that reads the
+    footers only.
     """
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // task_rows))
-    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+    splits = df.select(F.spark_partition_id().alias("split")).groupBy("split").agg(F.count("*").alias("n"))
+    rows, largest = splits.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // task_rows))
+    uneven = largest * tasks > 2 * rows
+    return df.repartition(tasks) if uneven or df.rdd.getNumPartitions() < tasks else df
 
 
 def read_messages(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:

@@ -162,6 +162,37 @@ def test_long_inputs_are_spread_by_rows(spark):
     assert spread(spark.range(10, numPartitions=20), 100).rdd.getNumPartitions() == 20
 
 
+@pytest.fixture
+def one_full_split(spark, sf_dir, tmp_path):
+    """A copy of the events in one row group, so that one of its many splits holds every row."""
+    spark.read.parquet(f"{sf_dir}/events.parquet").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    size = max(p.stat().st_size for p in (tmp_path / "events.parquet").glob("*.parquet"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 30))
+    yield str(tmp_path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_full_split_among_empty_ones_is_spread(spark, one_full_split):
+    from crmflow.sources.readers import spread
+
+    events = spark.read.parquet(f"{one_full_split}/events.parquet")
+    rows, had = events.count(), [len(x) for x in events.rdd.glom().collect()]
+    assert len(had) >= 30 and max(had) == rows
+    got = [len(x) for x in spread(events, rows // 20).rdd.glom().collect()]
+    assert sum(got) == rows and max(got) <= rows // 10
+    empty = spark.createDataFrame([], "n long").repartition(20)
+    assert spread(empty, 10).count() == 0
+
+
+@pytest.mark.parametrize("name", ["threshold_gate"])
+def test_queries_spread_a_full_split(spark, one_full_split, sf_dir, name):
+    query = importlib.import_module("__spark_entry__").queries()[name]
+    got = query(spark, one_full_split)
+    assert "RoundRobinPartitioning" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, query(spark, sf_dir).collect()))
+
+
 def test_members_in_one_walk_equal_single_lookups(spark):
     from crmflow.functions.values import chosen, member, text_member
 
