@@ -185,7 +185,7 @@ def test_a_full_split_among_empty_ones_is_spread(spark, one_full_split):
     assert spread(empty, 10).count() == 0
 
 
-@pytest.mark.parametrize("name", ["threshold_gate", "route_counts", "validate_cdc"])
+@pytest.mark.parametrize("name", ["threshold_gate", "route_counts", "validate_cdc", "validation_stats"])
 def test_queries_spread_a_full_split(spark, one_full_split, sf_dir, name):
     query = importlib.import_module("__spark_entry__").queries()[name]
     got = query(spark, one_full_split)
