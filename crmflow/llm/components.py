@@ -5,14 +5,18 @@ from pyspark.sql import functions as F
 from crmflow.llm.common import saved
 
 
-def _minimum(pairs: DataFrame) -> DataFrame:
-    """(node, neighbour) rows with the least neighbour of each node, itself included, as ``low``.
+def _stars(edges: DataFrame) -> DataFrame:
+    """One round on edges with a > b: every larger neighbour, then every smaller one, goes to the least neighbour.
 
-    A hub's rows all carry one value, so the least is found by partial aggregation; the join back is on narrow rows, and
-    AQE splits a hub's side.
+    A hub's rows all carry one value, so the least is found by partial aggregation; the joins back are on narrow rows, and
+    AQE splits a hub's side. Edges point down, so the least neighbour of b is that of its own edges, or b itself. Both
+    ends of an edge leave one join: it isn't run once for each, and repeated rows go at the end of the round only.
     """
-    low = pairs.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
-    return pairs.join(low, "a")
+    below = edges.groupBy(F.col("a").alias("at")).agg(F.min("b").alias("low"))
+    large = edges.join(below, F.col("b") == F.col("at"), "left").select("a", F.coalesce("low", "b").alias("b"))
+    small = large.join(large.groupBy("a").agg(F.min("b").alias("low")), "a")
+    ends = F.explode(F.array("a", "b")).alias("a")
+    return small.select(ends, F.col("low").alias("b")).where("a <> b").distinct()
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -24,12 +28,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = saved(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = None
     for _ in range(most_rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _minimum(both).where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.where("a <> b").distinct()
-        low = _minimum(large)
-        small = low.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(low.select("a", F.col("low").alias("b")))
-        edges = saved(small.where("a <> b").distinct(), "edges")
+        edges = saved(_stars(edges), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20)"))).first()
         if now == mark:
             break

@@ -137,7 +137,8 @@ def descend(members: DataFrame, names, targets, floor, growth):
             yield pa.record_batch([pa.array([out.tolist()], pa.list_(pa.float64()))], names=["t"])
 
         parts = members.select("n_tokens", "posterior").mapInArrow(total, "t array<double>")
-        now = parts.select(F.posexplode("t")).groupBy("pos").agg(F.sum("col")).collect()
+        # A task sends one row: one task adds them up, however many partitions the session's shuffles have.
+        now = parts.repartition(1).select(F.posexplode("t")).groupBy("pos").agg(F.sum("col")).collect()
         got = np.zeros(size + size * size)
         for pos, x in now:
             got[pos] = x

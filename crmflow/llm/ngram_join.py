@@ -125,8 +125,8 @@ def common_grams(source: DataFrame, n: int) -> np.ndarray:
                 yield pa.record_batch([pa.array(_signed(gram_sets(grid, n)[0]))], names=["g"])
 
     sampled = source.join(F.broadcast(chosen), F.col("doc_id") == F.col("id"), "left_semi").select("text").distinct()
-    found = sampled.mapInArrow(count, "g long").groupBy("g").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "g").limit(MOST_COMMON).select("g").toPandas()
-    return np.sort(found["g"].to_numpy(np.int64).view(np.uint64))
+    found = sampled.mapInArrow(count, "g long").groupBy("g").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "g").limit(MOST_COMMON).select("g").toArrow()
+    return np.sort(found["g"].to_numpy().view(np.uint64))
 
 
 def _signed(x):

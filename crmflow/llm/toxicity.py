@@ -37,14 +37,15 @@ def logistic(features, extra, y, epochs=10, rate=0.3, seed=3):
         (up if t > 0.5 else down)[f] += 1
     scale = np.abs(np.log(up / up.sum()) - np.log(down / down.sum()))
     scale[up + down < 2 + LEAST_ROWS] = 0
-    values = [scale[f] for f in features]
+    del up, down
     weight, past = np.zeros(1 << BITS), np.full(1 << BITS, 1e-1)
     dense, dense_past = np.zeros(extra.shape[1] + 1), np.full(extra.shape[1] + 1, 1e-1)
     inputs = np.hstack([extra, np.ones((len(y), 1))])
     draw = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in draw.permutation(len(y)):
-            f, v, x = features[i], values[i], inputs[i]
+            f, x = features[i], inputs[i]
+            v = scale[f]
             g = 1 / (1 + np.exp(-min(max(weight[f] @ v + dense @ x, -40), 40))) - y[i]
             if abs(g) < 1e-3:
                 continue

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from crmflow.llm import decontaminate, hpy_model, line_labels, mixing, pii, sharding, textgrid, token_files
+from crmflow.llm import components as components_module
 from crmflow.llm.components import components
 
 
@@ -37,6 +38,45 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {**{i: 0 for i in range(31)}, **{i: 100 for i in range(100, 160)}}
 
 
+def tasks_of(spark, job):
+    """Tasks that ``job`` runs where a shuffle has 20 partitions, none of them merged, and nothing is broadcast."""
+    sc, group = spark.sparkContext, f"tasks-{random.random()}"
+    held = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in held}
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        sc.setJobGroup(group, "")
+        job()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return sum(tracker.getStageInfo(s).numCompletedTasks for s in stages)
+
+
+def test_a_round_of_components_shuffles_four_times(spark, monkeypatch):
+    rounds, keep = [], components_module.saved
+    monkeypatch.setattr(components_module, "saved", lambda *a: rounds.append(1) or keep(*a))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long").coalesce(1)
+    tasks = tasks_of(spark, lambda: components(edges))
+    # The first shuffle and the write of all edges; then three joins and sums read by 20 tasks, two scans of up to 8 and a sum.
+    assert len(rounds) > 3 and tasks <= 60 + (len(rounds) - 1) * 120
+
+
+def test_a_pass_of_the_mix_adds_up_in_one_task(spark):
+    rows = [(5, [0.9, 0.1]), (7, [0.2, 0.8]), (11, [0.6, 0.4])] * 4
+    members = spark.createDataFrame(rows, "n_tokens long, posterior array<double>").repartition(4).localCheckpoint()
+    found = []
+    tasks = tasks_of(spark, lambda: found.append(mixing.descend(members, ["x", "y"], {"x": 0.5, "y": 0.5}, 0.0, 1.0)))
+    steps, unmet = found[0]
+    assert steps and unmet < 1e-3
+    # Four partial sums a pass, and one task that adds them.
+    assert tasks <= (len(steps) + 1) * 6
+
+
 def test_longest_first_in_bulk_equals_one_by_one():
     draw = random.Random(2)
     sizes = sorted(draw.sample(range(1, 2000), 60), reverse=True)
