@@ -12,13 +12,17 @@ pairs below the bound.
 The number of column blocks follows the size of the smaller set: sizes are cut into intervals so that linked sets lie in
 the same or in neighbouring intervals, and a row has the slices of its own interval and of the one below. Empty slices say
 nothing: there are some blocks to spare, so that a full one with n-grams remains; a row with more empty slices than that
-has the slices of a second, independent dealing too. N-grams of passages that many documents share would tie unrelated rows
-together; they are left out of the slices of rows that have enough others (leaving columns out adds no differences).
+has the slices of further, independent dealings of all its n-grams too, and only the last of these holds empty slices. N-grams
+of passages that many documents share would tie unrelated rows together; they are left out of the slices of rows that have
+enough others (leaving columns out adds no differences).
 Slices are sent as packed arrays, one for each batch and bucket of keys.
 
 Skew: equal sets are one row of the matrix (a class). In each batch rows with a slice in common are linked to the first
 of them, and only that one is sent on, so a slice that a third of all rows have arrives once per batch. Families are cut
-into blocks of bounded size.
+into blocks of bounded size; only blocks of the same or of neighbouring size intervals are paired. Chance ties make families
+grow faster than the input, and the rows sent grow with the square of a family. So a family of several blocks is first cut by parity
+sketches of one to two bits for each n-gram: two sketches differ in at most as many bits as their sets in n-grams, and rows that are
+held together only by pairs whose sketches differ in more than a link allows are no longer one family.
 
 Nulls and empty texts: no n-grams, linked with nothing. Null doc_id: such rows are classed, linked and returned with the others,
 but do not name a component (null where no row of it has an id). A doc_id with several texts: each row is judged by its own
@@ -38,6 +42,9 @@ from crmflow.llm.textgrid import grids, mix
 #: Most documents, and n-grams, of one block of rows (in expectation).
 BLOCK_DOCS = 1024
 BLOCK_GRAMS = 1 << 20
+#: Most documents, and n-grams, of one block of parity sketches (in expectation).
+SKETCH_DOCS = 16_384
+SKETCH_GRAMS = 1 << 25
 #: A column in more rows of a block pair than this is multiplied densely.
 DENSE = 48
 #: Texts and n-grams of the sample that shows common n-grams, and in how many of the texts those are.
@@ -76,7 +83,7 @@ def _slices(value, doc, size, low, blocks, back, seed):
     filled = np.zeros(first[-1], bool)
     filled[slot] = True
     owner = np.repeat(np.arange(len(size)), count)
-    name = (np.arange(first[-1]) - first[owner]) * 4096 + at[owner] * 8 + seed
+    name = (np.arange(first[-1]) - first[owner]) * (1 << 20) + at[owner] * 16 + seed
     return mix(total + mix(name.astype(np.uint64))), owner, ~filled
 
 
@@ -95,22 +102,22 @@ def slice_keys(value, doc, size, percent, common):
     # these two choices is made for both of them.
     some = 4 * left >= size
     whole = left < size / 4 + 1.25 * size * (100 - percent) / percent + 1
+    every = np.ones(len(value), bool)
     keys, owners = [], []
-    for chosen, mine, seed in ((some, own, 1), (whole & (left < size), np.ones(len(value), bool), 3)):
-        kept = mine & chosen[doc]
+    for chosen, dealings, seed in ((some, (own, every, every, every), 1), (whole & (left < size), (every, every, every), 9)):
         for back in (0, 1):
             wanted = chosen
-            for level in (seed, seed + 1):
-                has = kept & wanted[doc]
-                key, owner, empty = _slices(value[has], doc[has], np.where(wanted, size, 0), low, blocks, back, level)
+            for k, mine in enumerate(dealings):
+                has = mine & wanted[doc]
+                key, owner, empty = _slices(value[has], doc[has], np.where(wanted, size, 0), low, blocks, back, seed + k)
                 # Without empty slices one equal slice remains for sure, unless both rows have more empty ones than are to spare.
+                # Such rows are dealt again; equal empty slices would tie unrelated rows together, so they count in the last dealing only.
                 at = np.maximum(np.searchsorted(low, size, "right") - 1 - back, 0)
-                many = np.bincount(owner[empty], minlength=len(size)) > spare[at]
-                use = ~empty if level == seed else np.ones(len(key), bool)
+                wanted = np.bincount(owner[empty], minlength=len(size)) > spare[at]
+                use = ~empty if k < len(dealings) - 1 else np.ones(len(key), bool)
                 keys.append(key[use])
                 owners.append(owner[use])
-                wanted = many
-                if not many.any():
+                if not wanted.any():
                     break
     return np.concatenate(keys), np.concatenate(owners)
 
@@ -285,7 +292,82 @@ def spanning_links(sets: list, percent: int) -> list:
     return found
 
 
-def _products(percent):
+def sketches(value, doc, size):
+    """Parity of the number of n-grams on each bit of a text's sketch, as bytes; a sketch has the least power of two bits from its size on, 64 at least."""
+    bits = sketch_words(size) * 64
+    edge = np.concatenate([[0], np.cumsum(bits)])
+    slot = edge[doc] + (value & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=edge[-1]) & 1).astype(np.uint8), bitorder="little").tobytes(), edge // 8
+
+
+def sketch_words(size):
+    """64-bit words of a sketch."""
+    return np.left_shift(1, np.ceil(np.log2(np.maximum(size, 64) / 64)).astype(np.int64))
+
+
+def _folded(sketch, words):
+    """Sketches as columns of ``words`` words: the halves of a longer one are added up."""
+    out = np.empty((words, len(sketch)), np.uint64)
+    for k, x in enumerate(sketch):
+        x = np.frombuffer(x, "<u8")
+        while len(x) > words:
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        out[:, k] = x
+    return out
+
+
+def _joined(label, x, y):
+    """``label`` (position of an earlier member of the own set, its own for the first) with the sets of x and y made one."""
+    while True:
+        a, b = label[x], label[y]
+        apart = a != b
+        if not apart.any():
+            return label
+        x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
+
+
+def near_links(sketch: list, size, side, percent: int) -> list:
+    """Pairs of positions that connect all rows whose sketches allow a link. If there are two sides, only rows of different ones are compared."""
+    size, side = np.asarray(size, np.int64), np.asarray(side, bool)
+    order = np.argsort(size, kind="stable")
+    size, side = size[order], side[order]
+    words, label, across = sketch_words(size), np.arange(len(size)), side.any() and not side.all()
+    # Rows after the last one that is small enough for a link with this one.
+    ends = np.searchsorted(size * percent, size * 100, "right")
+    for w in np.unique(words).tolist():
+        a, b = np.searchsorted(words, [w, w + 1]).tolist()
+        table = _folded([sketch[k] for k in order[a:ends[b - 1]].tolist()], w)
+        short = table[:w // 2] ^ table[w // 2:] if w > 1 else table
+        x = a
+        while x < b:
+            step = max(1, min(b - x, 256, (1 << 20) // max(1, int(ends[min(b, x + 256) - 1]) - x)))
+            mine, other = slice(x, x + step), slice(x + 1, int(ends[x + step - 1]))
+            most = (size[mine, None] + size[None, other]) * (100 - percent) // (100 + percent)
+            fits = (np.arange(other.start, other.stop) > np.arange(x, x + step)[:, None]) & (np.arange(other.start, other.stop) < ends[mine, None])
+            if across:
+                fits &= side[mine, None] != side[None, other]
+            apart = np.zeros(most.shape, np.int32)
+            for row in short:
+                apart += np.bitwise_count(row[x - a:x - a + step, None] ^ row[None, x + 1 - a:other.stop - a])
+            i, j = np.nonzero(fits & (apart <= most))
+            # Folded sketches tell unrelated rows apart; the others are compared by the whole ones.
+            apart = np.zeros(len(i), np.int32)
+            for row in table:
+                apart += np.bitwise_count(row[i + (x - a)] ^ row[j + (x + 1 - a)])
+            near = apart <= most[i, j]
+            i, j = i[near], j[near]
+            label = _joined(label, i + x, j + x + 1)
+            x += step
+    return [(int(order[label[k]]), int(order[k])) for k in np.flatnonzero(label != np.arange(len(label)))]
+
+
+def _products(percent, linked):
     def links(frames):
         kept = None
         for frame in frames:
@@ -295,27 +377,34 @@ def _products(percent):
                 continue
             mine = (frame["fam"] == last["fam"]) & (frame["i"] == last["i"]) & (frame["j"] == last["j"])
             kept, whole = frame[mine], frame[~mine]
-            yield _linked(whole, percent)
+            yield linked(whole, percent)
         if kept is not None:
-            yield _linked(kept, percent)
+            yield linked(kept, percent)
     return links
 
 
 def _linked(frame, percent):
+    return _edges(frame, lambda part: spanning_links([np.frombuffer(g, np.uint64) for g in part["grams"]], percent))
+
+
+def _near(frame, percent):
+    return _edges(frame, lambda part: near_links(part["grams"].tolist(), part["n"], part["mine"] == part["i"], percent))
+
+
+def _edges(frame, links):
     a, b = [], []
     node = frame["node"].to_numpy()
-    grams = frame["grams"].tolist()
     mark = np.stack([frame["fam"].to_numpy(), frame["i"].to_numpy(), frame["j"].to_numpy()], 1) if len(frame) else np.empty((0, 3), np.int64)
     cut = np.flatnonzero(np.any(mark[1:] != mark[:-1], axis=1)) + 1
     for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(frame)]):
         if j - i > 1:
-            for x, y in spanning_links([np.frombuffer(g, np.uint64) for g in grams[i:j]], percent):
+            for x, y in links(frame.iloc[i:j]):
                 a.append(node[i + x])
                 b.append(node[i + y])
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def _rows(n):
+def _rows(n, sketch):
     def rows(batches):
         sent = np.empty(0, np.int64)
         for batch in batches:
@@ -327,13 +416,66 @@ def _rows(n):
             batch = batch.take(pa.array(first))
             for i, j, grid in grids(batch.column(0)):
                 value, doc = gram_sets(grid, n)
-                ends = np.cumsum(np.bincount(doc, minlength=j - i))
-                raw, cut = value.tobytes(), [0, *(8 * ends).tolist()]
+                size = np.bincount(doc, minlength=j - i)
+                raw, cut = sketches(value, doc, size) if sketch else (value.tobytes(), 8 * np.concatenate([[0], np.cumsum(size)]))
+                cut = cut.tolist()
                 grams = pa.array([raw[x:y] for x, y in zip(cut, cut[1:])], pa.binary())
-                yield pa.record_batch([batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i), batch.column(3).slice(i, j - i), grams], names=["node", "fam", "blocks", "grams"])
+                yield pa.record_batch([*(batch.column(k).slice(i, j - i) for k in range(1, 5)), pa.array(size.astype(np.int32)), grams], names=["node", "fam", "mine", "places", "n", "grams"])
     return rows
 
 
+def _blocks(families: DataFrame, docs: int, grams: int):
+    """Families of more than one block of ``docs`` rows and ``grams`` n-grams: fam and blocks."""
+    blocks = F.ceil(F.greatest(F.count("*") / docs, F.sum("n") / grams)).cast("int")
+    return families.groupBy("fam").agg(blocks.alias("blocks")).where("blocks > 1")
+
+
+def _placed(families: DataFrame, large: DataFrame, percent: int, docs: int, grams: int, alone: bool) -> DataFrame:
+    """``families`` with ``mine`` (block) and ``places``: the block pairs that a row goes to, (0, 0) in families that are not ``large``.
+
+    Sets that link lie in the same or in neighbouring size intervals, so blocks are cut within intervals, and only those of the same or
+    of neighbouring ones are paired. ``alone``: a block is also paired with itself, else only if there is no other.
+    """
+    low = ", ".join(f"{x}L" for x in intervals(percent).tolist())
+    families = families.withColumn("at", F.expr(f"cast(size(filter(array({low}), x -> x <= n)) as long)"))
+    # A family of one block is the rule: only the others are looked up.
+    counts = families.join(F.broadcast(large.select("fam")), "fam", "left_semi").groupBy("fam", "at").agg(F.ceil(F.greatest(F.count("*") / docs, F.sum("n") / grams)).alias("k"))
+    counts = counts.groupBy("fam").agg(F.map_from_entries(F.collect_list(F.struct("at", "k"))).alias("ks"))
+    placed = families.join(F.broadcast(counts), "fam", "left")
+    block = "(({at}) * 4294967296L + ({x}))"
+    mine = block.format(at="at", x="pmod(xxhash64(node), ks[at])")
+    own = f"transform(sequence(0L, ks[at] - 1), x -> {block.format(at='at', x='x')})"
+    others = [f"transform(filter({own}, x -> {str(alone).lower()} or x <> mine), x -> struct(least(x, mine) as i, greatest(x, mine) as j))"]
+    for step, pair in ((-1, "struct(x as i, mine as j)"), (1, "struct(mine as i, x as j)")):
+        near = f"transform(sequence(0L, ks[at + {step}] - 1), x -> {block.format(at=f'at + {step}', x='x')})"
+        others.append(f"if(ks[at + {step}] is null, array(), transform({near}, x -> {pair}))")
+    placed = placed.withColumn("mine", F.expr(f"if(ks is null, 0L, {mine})"))
+    placed = placed.withColumn("places", F.expr(f"if(ks is null, array(struct(0L as i, 0L as j)), concat({', '.join(others)}))"))
+    return placed.withColumn("places", F.expr("if(size(places) = 0, array(struct(mine as i, mine as j)), places)")).drop("ks", "at")
+
+
+def _compared(source: DataFrame, placed: DataFrame, n: int, percent: int, sketch: bool) -> DataFrame:
+    """Edges (a, b) between the rows of ``placed``, compared block pair by block pair: by their sketches, or by their n-grams."""
+    members = saved(placed.select(F.col("rep.doc_id").alias("rep_id"), F.col("rep.h").alias("rep_h"), "node", "fam", "mine", "places"), "members")
+    own = (source["h"] == F.col("rep_h")) & source["doc_id"].eqNullSafe(F.col("rep_id"))
+    grams = source.join(small_side(members, members.count()), own).select("text", "node", "fam", "mine", "places")
+    grams = grams.mapInArrow(_rows(n, sketch), "node long, fam long, mine long, places array<struct<i: long, j: long>>, n int, grams binary")
+    grams = grams.withColumn("p", F.explode("places")).select("fam", "p.i", "p.j", "node", "mine", "n", "grams")
+    grams = grams.repartition(spread(grams), "fam", "i", "j").sortWithinPartitions("fam", "i", "j", "node")
+    return grams.mapInPandas(_products(percent, _near if sketch else _linked), "a long, b long")
+
+
+def _finer(source: DataFrame, families: DataFrame, n: int, percent: int) -> DataFrame:
+    """``families`` with those of more than one block cut into parts between which no two rows can link; rows that can't link at all go."""
+    large = saved(_blocks(families, BLOCK_DOCS, BLOCK_GRAMS), "large")
+    if not large.limit(1).count():
+        return families
+    members = families.join(F.broadcast(large.select("fam")), "fam", "left_semi")
+    parts = components(_compared(source, _placed(members, large, percent, SKETCH_DOCS, SKETCH_GRAMS, True), n, percent, True))
+    parts = members.drop("fam").join(parts.withColumnRenamed("component", "fam"), "node").select(families.columns)
+    return saved(families.join(F.broadcast(large.select("fam")), "fam", "left_anti").select(families.columns).unionByName(parts), "families")
+
+
 def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, h (hash of the text), n, node (class), component and component_id (least doc_id) of every row of ``docs``."""
     source = texts(docs).withColumn("h", F.xxhash64("text"))
@@ -353,20 +495,9 @@ def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     rows = rows.drop("c")
     families = components(edges)
     families = families.join(classes.select("node", "rep", "n"), "node").withColumnRenamed("component", "fam")
-    families = saved(families, "families")
-    cuts = families.groupBy("fam").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    # A family of one block is the rule: only the others are looked up.
-    cuts = cuts.where("blocks > 1")
-    members = families.join(cuts, "fam", "left").select(F.col("rep.doc_id").alias("rep_id"), F.col("rep.h").alias("rep_h"), "node", "fam", F.coalesce("blocks", F.lit(1)).alias("blocks"))
-    members = saved(members, "members")
-    grams = source.join(small_side(members, members.count()), (source["h"] == F.col("rep_h")) & source["doc_id"].eqNullSafe(F.col("rep_id"))).select("text", "node", "fam", "blocks")
-    grams = grams.mapInArrow(_rows(n), "node long, fam long, blocks int, grams binary")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    pairs = F.when(F.col("blocks") == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
-        F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != mine), lambda x: F.struct(F.least(x, mine).alias("i"), F.greatest(x, mine).alias("j"))))
-    grams = grams.withColumn("p", F.explode(pairs)).select("fam", "p.i", "p.j", "node", "grams")
-    grams = grams.repartition(spread(grams), "fam", "i", "j").sortWithinPartitions("fam", "i", "j", "node")
-    links = grams.mapInPandas(_products(percent), "a long, b long")
+    families = _finer(source, saved(families, "families"), n, percent)
+    large = saved(_blocks(families, BLOCK_DOCS, BLOCK_GRAMS), "large")
+    links = _compared(source, _placed(families, large, percent, BLOCK_DOCS, BLOCK_GRAMS, False), n, percent, False)
     joined = components(links)
     named = classes.select("node", "least").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
