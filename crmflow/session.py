@@ -39,6 +39,8 @@ def build_session(app: str = "crmflow", cpus: str = "*", shuffle_partitions: int
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # The status tracker forgets skipped stages of a job that has just ended once a long session has more stages than this.
+        .config("spark.ui.retainedStages", "100000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
